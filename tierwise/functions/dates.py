@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, functions as F
 
 # Release windows by calendar month.
@@ -16,7 +14,7 @@ SEASON_MONTHS = {
 }
 
 # Fixed value: the date some sources send for "unknown".
-UNKNOWN_DATE = dt.date(1, 1, 1)
+UNKNOWN_DATE = "0001-01-01"
 
 
 def safe_date(value: Column, fmt: str | None = None) -> Column:
@@ -27,7 +25,7 @@ def safe_date(value: Column, fmt: str | None = None) -> Column:
 
 def clean_date(value: Column, fmt: str | None = None) -> Column:
     """:func:`safe_date`, with the unknown-date sentinel turned into NULL."""
-    return F.nullif(safe_date(value, fmt), F.lit(UNKNOWN_DATE))
+    return F.nullif(safe_date(value, fmt), F.lit(UNKNOWN_DATE).cast("date"))
 
 
 def day_of_week(date: Column) -> Column:

@@ -123,6 +123,15 @@ class Check:
             return ~self.rule
         return None
 
+    def missing(self, tables: Mapping[str, DataFrame]) -> bool:
+        """Whether a table or column of the check is absent."""
+        needed = [(self.table, self.column), (self.parent, self.parent_column)]
+        return any(
+            table not in tables or (column is not None and column not in tables[table].columns)
+            for table, column in needed
+            if table is not None
+        )
+
     def failing_rows(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         df, condition = tables[self.table], self.failed_row()
         if condition is not None:
@@ -167,6 +176,8 @@ def run_checks(
     parts, broken, by_table = [], [], {}
     for check in checks:
         try:
+            if check.missing(tables):
+                raise KeyError(check.name)
             rows = check.failing_rows(tables)
         except (AnalysisException, KeyError):
             broken.append((check.table, check.name, None, "error"))
