@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tierwise.operators.joins import MAX_BROADCAST_ROWS
 from tierwise.sources.shared_folder import cut_lineage
 
 KINDS = ("row_number", "rank", "dense_rank", "percent_rank", "ntile")
@@ -55,12 +56,7 @@ def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties:
     ``ties`` make every row distinct, so range partitioning can also cut through a run of equal keys
     that is larger than a task should hold.
     """
-    order = [*group, *keys, *ties]
-    chunked = rows.repartitionByRange(*order).withColumn("_chunk", F.spark_partition_id())
-    # Range bounds come from a sample and differ between runs. The chunk numbers are used twice
-    # below and must survive a lost executor, so the chunked rows are written out first.
-    chunked = cut_lineage(chunked)
-
+    chunked = rows.repartitionByRange(*group, *keys, *ties).withColumn("_chunk", F.spark_partition_id())
     here = Window.partitionBy("_chunk", *group)
     local = chunked.select(
         "*",
@@ -68,8 +64,11 @@ def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties:
         F.rank().over(here.orderBy(*keys)).alias("_first"),
         F.dense_rank().over(here.orderBy(*keys)).alias("_nth"),
     )
+    # Range bounds come from a sample and differ between runs. The numbers are read twice below and
+    # must agree, also after a lost executor, so the numbered rows are written out here.
+    local = cut_lineage(local)
     key = F.struct(*keys)
-    chunks = local.groupBy(*group, "_chunk").agg(
+    chunks = local.groupBy("_chunk", *group).agg(
         F.count(F.lit(1)).alias("n"),
         F.max("_nth").alias("d"),
         F.max("_first").alias("last_start"),
@@ -92,7 +91,10 @@ def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties:
         .withColumn("_rows", F.sum("n").over(Window.partitionBy(*group)))
         .select(*group, "_chunk", "rows_before", "keys_before", "runs_on", "head_start", "_rows")
     )
-    placed = local.join(chunks, [*group, "_chunk"])
+    # Few groups: the totals are small, counted here, and broadcast. Many groups: both sides shuffle.
+    chunks = cut_lineage(chunks)
+    few = chunks.count() <= MAX_BROADCAST_ROWS
+    placed = local.join(F.broadcast(chunks) if few else chunks.hint("merge"), ["_chunk", *group])
     return placed.select(
         *rows.columns,
         (F.col("rows_before") + F.col("_row")).alias("_pos"),
@@ -104,24 +106,40 @@ def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties:
     )
 
 
-def _slot(key: Key | None, dtype: T.DataType | None, slot: int) -> list[Column]:
-    """A sort key as three columns whose plain ascending order is the wanted order.
+def _slot_type(dtype: T.DataType) -> str:
+    """The column type in which a sort key is compared."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return "double"
+    if isinstance(dtype, T.IntegralType):
+        return "bigint"
+    if isinstance(dtype, T.DecimalType):
+        return dtype.simpleString()
+    raise TypeError(f"a rank key must be numeric, not {dtype.simpleString()}")
+
 
-    The flag places NULL and NaN; the value goes to the decimal or the double column, negated for
-    descending order, so that measures of different types can be sorted in one pass.
+def _sort_columns(keys: Sequence[Key], types: dict[str, str], layout: Sequence[Sequence[str]]) -> list[Column]:
+    """The keys of one order as columns whose plain ascending order is the wanted order.
+
+    Each slot of ``layout`` has a flag, which places NULL and NaN, and one value column per type that
+    any order needs there. Values are negated for descending order. So measures of different types
+    can be sorted in one pass, and narrow types stay narrow.
     """
-    flag, exact, real = F.lit(2), F.lit(None).cast("decimal(38,6)"), F.lit(None).cast("double")
-    if key is not None:
-        c = F.col(key.column)
-        if isinstance(dtype, (T.DoubleType, T.FloatType)):
-            flag = F.when(F.isnan(c), F.lit(1 if key.descending else 3)).otherwise(flag)
-            real = F.when(~F.isnan(c), (-c if key.descending else c).cast("double"))
-        elif isinstance(dtype, T.NumericType):
-            exact = (-c if key.descending else c).cast("decimal(38,6)")
-        else:
-            raise TypeError(f"rank key {key.column} must be numeric, not {dtype}")
-        flag = F.when(c.isNull(), F.lit(4 if key.nulls_last else 0)).otherwise(flag)
-    return [flag.alias(f"_f{slot}"), exact.alias(f"_x{slot}"), real.alias(f"_r{slot}")]
+    columns = []
+    for slot, slot_types in enumerate(layout):
+        key = keys[slot] if slot < len(keys) else None
+        flag, value, own = F.lit(2), None, None
+        if key is not None:
+            value, own = F.col(key.column), types[key.column]
+            if own == "double":
+                flag = F.when(F.isnan(value), F.lit(1 if key.descending else 3)).otherwise(flag)
+                value = F.when(~F.isnan(value), value)
+            flag = F.when(F.col(key.column).isNull(), F.lit(4 if key.nulls_last else 0)).otherwise(flag)
+            value = -value if key.descending else value
+        columns.append(flag.cast("tinyint").alias(f"_f{slot}"))
+        for n, slot_type in enumerate(slot_types):
+            here = value if slot_type == own else F.lit(None)
+            columns.append(here.cast(slot_type).alias(f"_v{slot}_{n}"))
+    return columns
 
 
 def _value(rank: Rank) -> Column:
@@ -151,18 +169,19 @@ def global_ranks(df: DataFrame, identity: Sequence[str], ranks: Sequence[Rank])
     identity. Join the result back on ``identity`` for the other columns.
     """
     orders = list(dict.fromkeys((r.partition, r.order) for r in ranks))
-    types = {f.name: f.dataType for f in df.schema.fields}
-    slots = max(len(keys) for _, keys in orders)
+    used = {key.column for _, order in orders for key in order}
+    types = {f.name: _slot_type(f.dataType) for f in df.schema.fields if f.name in used}
+    layout = [
+        sorted({types[order[slot].column] for _, order in orders if slot < len(order)})
+        for slot in range(max(len(order) for _, order in orders))
+    ]
     stacked = []
-    for number, (partition, keys) in enumerate(orders):
+    for number, (partition, order) in enumerate(orders):
         part = F.to_json(F.struct(*partition)) if partition else F.lit("")
-        columns = [F.lit(number).alias("_order"), part.alias("_part")]
-        for slot in range(slots):
-            key = keys[slot] if slot < len(keys) else None
-            columns += _slot(key, types[key.column] if key else None, slot)
-        stacked.append(F.struct(*columns))
-    rows = df.select(*identity, F.explode(F.array(*stacked)).alias("_s")).select(*identity, "_s.*")
-    keys = [f"_{kind}{slot}" for slot in range(slots) for kind in "fxr"]
+        columns = [F.lit(number).cast("tinyint").alias("_order"), part.alias("_part")]
+        stacked.append(F.struct(*columns, *_sort_columns(order, types, layout)))
+    rows = df.select(*identity, F.inline(F.array(*stacked)))
+    keys = [c for c in rows.columns if c.startswith(("_f", "_v"))]
     placed = _positions(rows, ["_order", "_part"], keys, identity)
     values = [
         F.max(F.when(F.col("_order") == orders.index((r.partition, r.order)), _value(r))).alias(r.name)
@@ -203,8 +222,7 @@ def group_medians(
     )
     rows = (
         df.na.drop(subset=list(group))
-        .select(*group, *identity, F.explode(stacked).alias("_s"))
-        .select(*group, *identity, "_s.*")
+        .select(*group, *identity, F.inline(stacked))
         .filter("_v is not null")
     )
     placed = _positions(rows, ["_m", *group], ["_v"], identity)

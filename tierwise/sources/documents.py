@@ -31,11 +31,13 @@ def parse_documents(
     """Split lines of JSON text into documents and rejects.
 
     Documents are ``key, raw_data``. Rejects are malformed text (a repeated object key counts as
-    malformed) and documents without a usable id, with the reason; no line is lost.
+    malformed) and documents without a usable id, with the reason; only blank lines are dropped.
     """
-    parsed = lines.filter(F.trim(text) != "").select(
-        F.col(text).alias("text"), F.try_parse_json(text).alias("raw_data")
-    )
+    # Parsing is the costly step. A filter on a plain projection would be pushed below it and parse
+    # every line twice; it is not pushed below a generator.
+    document = F.struct(F.try_parse_json(text).alias("raw_data"))
+    once = F.inline(F.when(F.trim(text) != "", F.array(document)))
+    parsed = lines.select(F.col(text).alias("text"), once)
     number = F.try_variant_get("raw_data", path, "decimal(38,0)").cast("bigint")
     parsed = parsed.withColumn(key, F.nullif(number, F.lit(0).cast("bigint")))
     documents = parsed.filter(F.col(key).isNotNull()).select(key, "raw_data")
