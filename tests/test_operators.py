@@ -4,12 +4,18 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tierwise.operators import dedup, history, joins, merge, nested
+from tierwise.operators import dedup, history, joins, merge, nested, ranking
 from tierwise.operators.calendar import date_dimension
 from tierwise.operators.ranking import (
     Key, Rank, change_from_previous, global_ranks, group_medians, window_ranks,
 )
 
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 DAY = [dt.datetime(2024, 1, d) for d in range(1, 10)]
 
 
@@ -19,8 +25,8 @@ def test_keep_latest_breaks_ties_and_limits_before_the_shuffle(spark, rows):
     )
     latest = dedup.keep_latest(df, ["k"], "t", ["v"])
     assert rows(latest, "k", "v") == [(1, "c"), (2, "d")]
-    plan = latest._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+    text = plan(latest)
+    assert text.index("WindowGroupLimit") < text.index("Exchange") < text.rindex("WindowGroupLimit")
 
 
 def test_keep_first_lowest_child_and_latest_row(spark, rows):
@@ -136,14 +142,18 @@ def test_snapshot_life_cycle(spark, rows):
     assert rows(kept.filter("k = 3"), "valid_to") == [(None,)]
 
 
-def test_lookup_salted_equals_unsalted(spark, rows):
+@pytest.mark.parametrize("limit", [0, 100])
+def test_lookup_salted_equals_unsalted(spark, rows, monkeypatch, limit):
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", limit)
     facts = spark.createDataFrame(
         [(i, None if i % 3 == 0 else (7 if i % 3 == 1 else i)) for i in range(60)], "id int, k int"
     )
     dim = spark.createDataFrame([(7, "seven"), (8, "eight")], "key int, name string")
     args = (facts, dim, {"k": "key"}, {"label": "name"}, {"label": "UNKNOWN"})
     plain = rows(joins.lookup(*args))
-    assert plain == rows(joins.lookup(*args, spread_by=["id"], spread=5))
+    salted = joins.lookup(*args, spread_by=["id"], spread=5)
+    assert plain == rows(salted)
+    assert ("SortMergeJoin" if limit == 0 else "BroadcastHashJoin") in plan(salted)
     assert len(plain) == 60 and sum(r[2] == "seven" for r in plain) == 20
 
 
@@ -158,12 +168,14 @@ def test_range_lookup_boundaries(spark, rows):
         (-1, None), (0, "LOW"), (9, "LOW"), (10, "MID"), (99, "MID"), (100, "TOP"), (5000, "TOP"), (None, None),
     ]
     assert rows(joins.range_lookup(*args)) == expected
-    assert rows(joins.range_lookup(*args, cell=7.0, max_broadcast_rows=0)) == expected
+    assert rows(joins.range_lookup(*args, cell=7.0, max_intervals=0)) == expected
     with pytest.raises(ValueError, match="cell"):
-        joins.range_lookup(*args, max_broadcast_rows=2)
+        joins.range_lookup(*args, max_intervals=2)
 
 
-def test_point_in_time_meets_one_version_on_a_boundary(spark, rows):
+@pytest.mark.parametrize("limit", [0, 100])
+def test_point_in_time_meets_one_version_on_a_boundary(spark, rows, monkeypatch, limit):
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", limit)
     current = spark.createDataFrame([(1, "a")], "k int, v string")
     versions = history.snapshot(None, current, "k", ["v"], F.lit(DAY[0]))
     versions = history.snapshot(versions, current.withColumn("v", F.lit("b")), "k", ["v"], F.lit(DAY[2]))
@@ -226,18 +238,22 @@ def test_rank_rejects_what_it_cannot_sort(spark):
         Rank("r", "median", (Key("s"),))
 
 
-def test_group_medians_equal_builtin(spark, rows):
+@pytest.mark.parametrize("margin, accuracy", [(0.002, 10_000), (0.2, 10_000), (0.0, 2)])
+def test_group_medians_equal_builtin(spark, rows, monkeypatch, margin, accuracy):
+    """With a usual and a wide bracket, and with one that misses the middle."""
+    monkeypatch.setattr(ranking, "MEDIAN_MARGIN", margin)
+    monkeypatch.setattr(ranking, "MEDIAN_ACCURACY", accuracy)
     rng = random.Random(3)
-    data = [(i, rng.choice("pqr") if i % 10 else "one", rng.choice([None, *range(9)])) for i in range(301)]
-    data.append((999, "empty", None))
+    data = [(i, rng.choice("pqr") if i % 10 else "one", rng.choice([None, *range(90)])) for i in range(301)]
+    data += [(400 + i, "hot", 5 if i % 3 else i) for i in range(60)]
+    data += [(500, "pair", 1), (501, "pair", 4), (502, "single", 9), (999, "empty", None), (998, None, 1)]
     df = spark.createDataFrame(data, "id int, g string, v bigint")
+    expected = rows(df.groupBy("g").agg(F.median("v")).filter("g <> 'empty'"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        got = rows(group_medians(df, ["g"], ["v"], ["id"]))
+        assert rows(group_medians(df, ["g"], ["v"], ["id"])) == expected
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    expected = rows(df.groupBy("g").agg(F.median("v")).filter("g <> 'empty'"))
-    assert got == expected
 
 
 def test_change_from_previous_skips_gaps(spark, rows):

@@ -11,21 +11,26 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 SPREAD = 16
-MAX_BROADCAST_ROWS = 10_000
+MAX_BROADCAST_ROWS = 100_000
+MAX_INTERVALS = 1_000
 
 
 def _spread(
     rows: DataFrame, side: DataFrame, by: Sequence[str] | None, ways: int
 ) -> tuple[DataFrame, DataFrame, Column]:
-    """Split every key of ``rows`` over ``ways`` salts and repeat ``side`` once per salt.
+    """Broadcast ``side`` when it is small; else split every key of ``rows`` over ``ways`` salts.
 
-    The salt is a hash of row columns, not a random number, so a retried task gives the same rows.
+    The size is counted, up to the limit only. Beyond it ``side`` is repeated once per salt, and the
+    join shuffles. The salt is a hash of row columns, not a random number, so a retried task gives
+    the same rows.
     """
     if not by:
         return rows, side, F.lit(True)
+    if side.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        return rows, F.broadcast(side), F.lit(True)
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(ways)).cast("int"))
     side = side.withColumn("_side_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
-    return rows, side, F.col("_salt") == F.col("_side_salt")
+    return rows.hint("merge"), side, F.col("_salt") == F.col("_side_salt")
 
 
 def lookup(
@@ -43,18 +48,17 @@ def lookup(
     ``on`` maps row columns to dimension columns and ``columns`` output names to dimension columns.
     Unmatched rows keep NULL, or the unknown member in ``defaults``. Set ``spread_by`` (columns that
     differ between rows) when one key may hold a large share of the rows and the dimension can
-    outgrow a broadcast: NULL keys and hot keys are then salted over ``spread`` tasks.
+    outgrow a broadcast: NULL keys and hot keys are then salted over ``spread`` tasks. Without it
+    Spark chooses the join, and splits skewed partitions when it shuffles.
     """
     keep, defaults = rows.columns, defaults or {}
     side = dimension.select(
         *[F.col(d).alias(f"_on_{i}") for i, d in enumerate(on.values())],
         *[F.col(d).alias(f"_out_{name}") for name, d in columns.items()],
     )
-    left, side, same_salt = _spread(rows, side, spread_by, spread)
-    condition = same_salt if spread_by else None
+    left, side, condition = _spread(rows, side, spread_by, spread)
     for i, key in enumerate(on):
-        equal = F.col(key) == F.col(f"_on_{i}")
-        condition = equal if condition is None else condition & equal
+        condition = condition & (F.col(key) == F.col(f"_on_{i}"))
     joined = left.join(side, condition, how)
     found = []
     for name in columns:
@@ -71,11 +75,11 @@ def range_lookup(
     high: str,
     columns: Mapping[str, str],
     cell: float | None = None,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_intervals: int = MAX_INTERVALS,
 ) -> DataFrame:
     """Left join on ``low <= value < high``; a NULL ``high`` is open.
 
-    Up to ``max_broadcast_rows`` intervals (counted here) are broadcast. More of them need ``cell``:
+    Up to ``max_intervals`` intervals (counted here) are broadcast. More of them need ``cell``:
     both sides are cut into cells of that width and joined on the cell number, so the join is an
     equi join that shuffles and no row meets intervals outside its cell.
     """
@@ -89,10 +93,10 @@ def range_lookup(
         (F.col(value) < F.col("_high")) | F.col("_high").isNull()
     )
     found = [F.col(f"_out_{name}").alias(name) for name in columns]
-    if intervals.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+    if intervals.limit(max_intervals + 1).count() <= max_intervals:
         return rows.join(F.broadcast(side), inside, "left").select(*keep, *found)
     if cell is None:
-        raise ValueError(f"more than {max_broadcast_rows} intervals: pass the cell width")
+        raise ValueError(f"more than {max_intervals} intervals: pass the cell width")
     number = lambda c: F.floor(c / F.lit(cell))
     top = rows.agg(F.max(value).alias("top")).first()["top"]
     end = F.least(F.coalesce(F.col("_high"), F.lit(top)), F.lit(top))

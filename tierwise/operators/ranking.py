@@ -50,6 +50,12 @@ class Rank:
             raise ValueError(f"unknown rank kind {self.kind!r}")
 
 
+def _with_small(rows: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Join to a written-out table: broadcast when it is counted small, else a shuffled join."""
+    few = small.count() <= MAX_BROADCAST_ROWS
+    return rows.join(F.broadcast(small) if few else small.hint("merge"), list(on))
+
+
 def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties: Sequence[str]) -> DataFrame:
     """Add ``_pos``, ``_rank``, ``_dense`` and ``_rows`` (group size) by ascending ``keys``.
 
@@ -91,10 +97,7 @@ def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties:
         .withColumn("_rows", F.sum("n").over(Window.partitionBy(*group)))
         .select(*group, "_chunk", "rows_before", "keys_before", "runs_on", "head_start", "_rows")
     )
-    # Few groups: the totals are small, counted here, and broadcast. Many groups: both sides shuffle.
-    chunks = cut_lineage(chunks)
-    few = chunks.count() <= MAX_BROADCAST_ROWS
-    placed = local.join(F.broadcast(chunks) if few else chunks.hint("merge"), ["_chunk", *group])
+    placed = _with_small(local, cut_lineage(chunks), ["_chunk", *group])
     return placed.select(
         *rows.columns,
         (F.col("rows_before") + F.col("_row")).alias("_pos"),
@@ -208,14 +211,25 @@ def window_ranks(df: DataFrame, identity: Sequence[str], ranks: Sequence[Rank])
     return df
 
 
+# Share of a group kept on each side of its approximate median, and the sketch's accuracy. The share
+# is well above the sketch's error of 1 / accuracy; a group that it still misses is taken whole.
+MEDIAN_MARGIN = 0.002
+MEDIAN_ACCURACY = 10_000
+
+
 def group_medians(
     df: DataFrame, group: Sequence[str], values: Sequence[str], identity: Sequence[str]
 ) -> DataFrame:
     """Exact median of each value column per group, NULLs skipped.
 
     The built-in exact median keeps all distinct values of a group in one task; here a group may be
-    any share of the table. Values of one call must share a type. Groups without a known value are
-    absent, and so are groups whose key is NULL.
+    any share of the table. A quantile sketch (combined on the map side) brackets the middle of each
+    group, one more pass counts what lies below and on the bracket, and only the few rows strictly
+    inside it are sorted. A value that fills the middle of a group is a bracket end, and its rows are
+    only counted.
+
+    ``identity`` columns tell rows apart. Values of one call must share a type. Groups without a
+    known value, or with a NULL key, are absent.
     """
     stacked = F.array(
         *[F.struct(F.lit(i).alias("_m"), F.col(v).alias("_v")) for i, v in enumerate(values)]
@@ -225,12 +239,45 @@ def group_medians(
         .select(*group, *identity, F.inline(stacked))
         .filter("_v is not null")
     )
-    placed = _positions(rows, ["_m", *group], ["_v"], identity)
-    middle = placed.filter(
-        (F.col("_pos") == F.floor((F.col("_rows") + 1) / 2)) | (F.col("_pos") == F.floor(F.col("_rows") / 2) + 1)
+    keys, v = ["_m", *group], F.col("_v")
+    ends = [0.5 - MEDIAN_MARGIN, 0.5 + MEDIAN_MARGIN]
+    bracket = rows.groupBy(*keys).agg(F.percentile_approx("_v", ends, MEDIAN_ACCURACY).alias("b"))
+    bracket = cut_lineage(bracket.select(*keys, F.col("b")[0].alias("lo"), F.col("b")[1].alias("hi")))
+    sizes = _with_small(rows, bracket, keys).groupBy(*keys).agg(
+        F.first("lo").alias("lo"),
+        F.first("hi").alias("hi"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(v < F.col("lo")).alias("below"),
+        F.count_if(v == F.col("lo")).alias("at_lo"),
+        F.count_if((v > F.col("lo")) & (v < F.col("hi"))).alias("inside"),
+        F.count_if((v == F.col("hi")) & (F.col("lo") < F.col("hi"))).alias("at_hi"),
+    )
+    first, last = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    end = F.col("below") + F.col("at_lo") + F.col("inside") + F.col("at_hi")
+    missed = (first <= F.col("below")) | (last > end)
+    whole = {"lo": None, "hi": None, "below": 0, "at_lo": 0, "inside": F.col("n")}
+    sizes = sizes.withColumn("_missed", missed)
+    for name, value in whole.items():
+        taken = value if name == "inside" else F.lit(value)
+        sizes = sizes.withColumn(name, F.when(~F.col("_missed"), F.col(name)).otherwise(taken))
+    sizes = cut_lineage(sizes.drop("_missed", "at_hi"))
+
+    inside = F.col("lo").isNull() | ((v > F.col("lo")) & (v < F.col("hi")))
+    middle = _with_small(rows, sizes, keys).filter(inside).select(*keys, *identity, "_v")
+    placed = _positions(middle, keys, ["_v"], identity)
+    wanted = [(p - F.col("below") - F.col("at_lo")) for p in (first, last)]
+    picked = _with_small(placed, sizes, keys).filter(F.col("_pos").isin(*wanted)).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_pos") == p, v)).alias(f"_p{i}") for i, p in enumerate(wanted)]
     )
-    medians = [F.avg(F.when(F.col("_m") == i, F.col("_v"))).alias(v) for i, v in enumerate(values)]
-    return middle.groupBy(*group).agg(*medians)
+    # An end that is not among the picked rows lies on the bracket.
+    both = sizes.join(picked, keys, "left")
+    found = [
+        F.when(p <= 0, F.col("lo")).when(p > F.col("inside"), F.col("hi")).otherwise(F.col(f"_p{i}"))
+        for i, p in enumerate(wanted)
+    ]
+    median = both.select(*keys, ((found[0] + found[1]) / 2).alias("_v"))
+    columns = [F.max(F.when(F.col("_m") == i, v)).alias(name) for i, name in enumerate(values)]
+    return median.groupBy(*group).agg(*columns)
 
 
 def change_from_previous(df: DataFrame, order: str, columns: Sequence[str]) -> DataFrame:

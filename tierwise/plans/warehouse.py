@@ -56,10 +56,17 @@ class Warehouse:
     def _replace(self, name: str, df: DataFrame) -> int:
         return self.store.replace(df, LAYERS[name], name)
 
-    def load_documents(self, documents: DataFrame) -> None:
-        """Merge stamped documents into the raw table; the newest per movie wins."""
-        current = self.store.find(LAYERS["raw_movies"], "raw_movies")
-        self._replace("raw_movies", land_upsert(current, documents))
+    def load_documents(self, documents: DataFrame, append: bool = False) -> None:
+        """Merge stamped documents into the raw table; the newest per movie wins.
+
+        A merge rewrites the table. ``append`` only adds the batch: earlier documents stay, bronze
+        keeps the newest, and the load costs as much as the batch.
+        """
+        if append:
+            self.store.append(documents, LAYERS["raw_movies"], "raw_movies")
+        else:
+            current = self.store.find(LAYERS["raw_movies"], "raw_movies")
+            self._replace("raw_movies", land_upsert(current, documents))
         require_rows(self.table("raw_movies"), "raw_movies")
 
     def load_genres(self, snapshot_row: DataFrame) -> None:

@@ -128,23 +128,27 @@ def genre_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class Movies:
-    """The tables of the warehouse as one query's DataFrames."""
+    """The tables of the warehouse as one query's DataFrames.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    Those that several models read are written once, as in the stored warehouse.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, keep_fact: bool = False):
         at = loaded_at()
-        # Four models read bronze. It is written once, as in the stored warehouse.
         self.bronze = cut_lineage(bronze_movies(spark, sf_dir))
         self.movies = silver.silver_movies(self.bronze, at)
         self.movie_genres = silver.silver_movie_genres(self.bronze, at)
         self.movie_companies = silver.silver_movie_companies(self.bronze, at)
         self.genres = gold.dim_genres(silver.silver_genres(genre_list(spark, sf_dir), at), at)
-        self.companies = gold.dim_production_companies(
-            silver.silver_production_companies(self.bronze, at), at
+        self.companies = cut_lineage(
+            gold.dim_production_companies(silver.silver_production_companies(self.bronze, at), at)
         )
         self.fact = gold.fact_movies(
             self.movies, self.movie_genres, self.movie_companies, gold.dim_dates(spark),
             self.genres, self.companies, gold.budget_tiers(spark), at,
         )
+        if keep_fact:
+            self.fact = cut_lineage(self.fact)
 
 
 def _sql_list(values: list) -> str:

@@ -10,6 +10,7 @@ from tierwise.functions.measures import decimal_sum, rounded_mean
 from tierwise.operators.calendar import date_dimension
 from tierwise.operators.history import snapshot
 from tierwise.operators.joins import lookup, point_in_time, range_lookup, unmatched
+from tierwise.operators.ranking import Key, Rank, global_ranks
 from tierwise.plans.gold import budget_tiers
 from tierwise.registry.catalog import mean6, query, read
 
@@ -39,8 +40,6 @@ LEFT JOIN bands ON unit >= lo AND (unit < hi OR hi IS NULL)"""
 )
 def unit_price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range join whose intervals grow with the data: cells turn it into an equi join."""
-    from tierwise.operators.ranking import Key, Rank, global_ranks
-
     prices = read(spark, sf_dir, "part").groupBy("p_retailprice").agg(F.min("p_partkey").alias("p_partkey"))
     order = (Key("p_retailprice"),)
     ranked = prices.join(global_ranks(prices, ["p_partkey"], [Rank("n", "row_number", order)]), "p_partkey")
@@ -50,7 +49,7 @@ def unit_price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit")
     )
     return range_lookup(
-        lines, "unit", bands, "p_retailprice", "high", {"band": "p_partkey"}, cell=10.0, max_broadcast_rows=0
+        lines, "unit", bands, "p_retailprice", "high", {"band": "p_partkey"}, cell=10.0, max_intervals=0
     )
 
 

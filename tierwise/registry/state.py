@@ -11,7 +11,7 @@ from tierwise.operators.merge import (
     incremental, merge_upsert, purge_keys, replace_children, require_unique,
 )
 from tierwise.registry.catalog import query, read, scratch_store, stamp
-from tierwise.sources.shared_folder import scratch_path
+from tierwise.sources.shared_folder import cut_lineage, scratch_path
 from tierwise.streaming.upsert import upsert_stream
 
 CUT = dt.datetime(2000, 1, 1)
@@ -95,7 +95,7 @@ def _customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     history = None
     for current, moment in zip((customers, second, third), MOMENTS):
-        history = snapshot(history, current, "c_custkey", ["c_mktsegment"], F.lit(moment))
+        history = cut_lineage(snapshot(history, current, "c_custkey", ["c_mktsegment"], F.lit(moment)))
     return history
 
 
