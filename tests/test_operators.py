@@ -248,7 +248,7 @@ def test_group_medians_equal_builtin(spark, rows, monkeypatch, margin, accuracy)
     data += [(400 + i, "hot", 5 if i % 3 else i) for i in range(60)]
     data += [(500, "pair", 1), (501, "pair", 4), (502, "single", 9), (999, "empty", None), (998, None, 1)]
     df = spark.createDataFrame(data, "id int, g string, v bigint")
-    expected = rows(df.groupBy("g").agg(F.median("v")).filter("g <> 'empty'"))
+    expected = rows(df.groupBy("g").agg(F.median("v")).filter("g is not null"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         assert rows(group_medians(df, ["g"], ["v"], ["id"])) == expected

@@ -228,56 +228,67 @@ def group_medians(
     inside it are sorted. A value that fills the middle of a group is a bracket end, and its rows are
     only counted.
 
-    ``identity`` columns tell rows apart. Values of one call must share a type. Groups without a
-    known value, or with a NULL key, are absent.
+    ``identity`` columns tell rows apart. Values of one call must share a type. Groups with a NULL
+    key are left out.
     """
-    stacked = F.array(
-        *[F.struct(F.lit(i).alias("_m"), F.col(v).alias("_v")) for i, v in enumerate(values)]
-    )
-    rows = (
-        df.na.drop(subset=list(group))
-        .select(*group, *identity, F.inline(stacked))
-        .filter("_v is not null")
-    )
-    keys, v = ["_m", *group], F.col("_v")
+    rows = df.na.drop(subset=list(group)).select(*group, *identity, *values)
+    every = list(enumerate(values))
     ends = [0.5 - MEDIAN_MARGIN, 0.5 + MEDIAN_MARGIN]
-    bracket = rows.groupBy(*keys).agg(F.percentile_approx("_v", ends, MEDIAN_ACCURACY).alias("b"))
-    bracket = cut_lineage(bracket.select(*keys, F.col("b")[0].alias("lo"), F.col("b")[1].alias("hi")))
-    sizes = _with_small(rows, bracket, keys).groupBy(*keys).agg(
-        F.first("lo").alias("lo"),
-        F.first("hi").alias("hi"),
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(v < F.col("lo")).alias("below"),
-        F.count_if(v == F.col("lo")).alias("at_lo"),
-        F.count_if((v > F.col("lo")) & (v < F.col("hi"))).alias("inside"),
-        F.count_if((v == F.col("hi")) & (F.col("lo") < F.col("hi"))).alias("at_hi"),
-    )
-    first, last = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-    end = F.col("below") + F.col("at_lo") + F.col("inside") + F.col("at_hi")
-    missed = (first <= F.col("below")) | (last > end)
-    whole = {"lo": None, "hi": None, "below": 0, "at_lo": 0, "inside": F.col("n")}
-    sizes = sizes.withColumn("_missed", missed)
-    for name, value in whole.items():
-        taken = value if name == "inside" else F.lit(value)
-        sizes = sizes.withColumn(name, F.when(~F.col("_missed"), F.col(name)).otherwise(taken))
-    sizes = cut_lineage(sizes.drop("_missed", "at_hi"))
-
-    inside = F.col("lo").isNull() | ((v > F.col("lo")) & (v < F.col("hi")))
-    middle = _with_small(rows, sizes, keys).filter(inside).select(*keys, *identity, "_v")
-    placed = _positions(middle, keys, ["_v"], identity)
-    wanted = [(p - F.col("below") - F.col("at_lo")) for p in (first, last)]
-    picked = _with_small(placed, sizes, keys).filter(F.col("_pos").isin(*wanted)).groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_pos") == p, v)).alias(f"_p{i}") for i, p in enumerate(wanted)]
-    )
-    # An end that is not among the picked rows lies on the bracket.
-    both = sizes.join(picked, keys, "left")
-    found = [
-        F.when(p <= 0, F.col("lo")).when(p > F.col("inside"), F.col("hi")).otherwise(F.col(f"_p{i}"))
-        for i, p in enumerate(wanted)
+    sketches = [F.percentile_approx(v, ends, MEDIAN_ACCURACY).alias(f"b{i}") for i, v in every]
+    bracket = rows.groupBy(*group).agg(*sketches)
+    lows_highs = [F.col(f"b{i}")[k].alias(f"{end}{i}") for i, _ in every for k, end in enumerate(("lo", "hi"))]
+    bracket = cut_lineage(bracket.select(*group, *lows_highs))
+
+    counts = []
+    for i, name in every:
+        v, lo, hi = F.col(name), F.col(f"lo{i}"), F.col(f"hi{i}")
+        counts += [
+            F.first(lo).alias(f"lo{i}"),
+            F.first(hi).alias(f"hi{i}"),
+            F.count(v).alias(f"n{i}"),
+            F.count_if(v < lo).alias(f"below{i}"),
+            F.count_if(v == lo).alias(f"at{i}"),
+            F.count_if((v > lo) & (v < hi)).alias(f"inside{i}"),
+            F.count_if((v == hi) & (lo < hi)).alias(f"top{i}"),
+        ]
+    sizes = _with_small(rows, bracket, group).groupBy(*group).agg(*counts)
+    kept = list(group)
+    for i, _ in every:
+        n, below, at, inside = (F.col(f"{c}{i}") for c in ("n", "below", "at", "inside"))
+        first, last = F.floor((n + 1) / 2), F.floor(n / 2) + 1
+        missed = (first <= below) | (last > below + at + inside + F.col(f"top{i}"))
+        skipped = F.when(missed, 0).otherwise(below + at)
+        kept += [
+            F.when(~missed, F.col(f"lo{i}")).alias(f"lo{i}"),
+            F.when(~missed, F.col(f"hi{i}")).alias(f"hi{i}"),
+            F.when(missed, n).otherwise(inside).alias(f"inside{i}"),
+            (first - skipped).alias(f"first{i}"),
+            (last - skipped).alias(f"last{i}"),
+        ]
+    sizes = cut_lineage(sizes.select(*kept))
+
+    inner = []
+    for i, name in every:
+        v, lo, hi = F.col(name), F.col(f"lo{i}"), F.col(f"hi{i}")
+        taken = F.when(lo.isNull() | ((v > lo) & (v < hi)), v)
+        inner.append(F.struct(F.lit(i).alias("_m"), taken.alias("_v")))
+    middle = _with_small(rows, sizes, group).select(*group, *identity, F.inline(F.array(*inner)))
+    placed = _positions(cut_lineage(middle.filter("_v is not null")), ["_m", *group], ["_v"], identity)
+    picks = [
+        F.max(F.when((F.col("_m") == i) & (F.col("_pos") == F.col(f"{p}{i}")), F.col("_v"))).alias(f"_{p}{i}")
+        for i, _ in every
+        for p in ("first", "last")
     ]
-    median = both.select(*keys, ((found[0] + found[1]) / 2).alias("_v"))
-    columns = [F.max(F.when(F.col("_m") == i, v)).alias(name) for i, name in enumerate(values)]
-    return median.groupBy(*group).agg(*columns)
+    picked = _with_small(placed, sizes, group).groupBy(*group).agg(*picks)
+
+    def found(p: str, i: int) -> Column:
+        """The value at one middle position: on the low end, on the high end, or between them."""
+        at = F.col(f"{p}{i}")
+        on_high = F.when(at > F.col(f"inside{i}"), F.col(f"hi{i}")).otherwise(F.col(f"_{p}{i}"))
+        return F.when(at <= 0, F.col(f"lo{i}")).otherwise(on_high)
+
+    medians = [((found("first", i) + found("last", i)) / 2).alias(name) for i, name in every]
+    return sizes.join(picked, list(group), "left").select(*group, *medians)
 
 
 def change_from_previous(df: DataFrame, order: str, columns: Sequence[str]) -> DataFrame:
