@@ -38,66 +38,62 @@ def loaded_at() -> Column:
     return F.lit(AS_OF).cast("timestamp_ntz")
 
 
-def _pick(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _sql_list(values: list, opening: str = "[", closing: str = "]") -> str:
+    quoted = ["'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v) for v in values]
+    return opening + ", ".join(quoted) + closing
 
 
-def _entries(count: Column, make) -> Column:
-    items = F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), make)
-    return F.when(count > 0, items)
+def _pick(values: list, index: str) -> str:
+    return f"element_at({_sql_list(values, 'array(', ')')}, CAST({index} AS INT) + 1)"
+
+
+def _entries(count: str, entry: str) -> str:
+    return f"CASE WHEN {count} > 0 THEN transform(sequence(0, greatest(CAST({count} AS INT), 1) - 1), i -> {entry}) END"
+
+
+_BUDGET = "CASE WHEN k % 7 = 0 THEN 0 ELSE k * 7919009 % 200000000 END"
+
+
+def _document(suppliers: int, added_revenue: int) -> str:
+    """Spark SQL for the JSON text of one document."""
+    genre, company = f"(k + 5 * i) % {len(GENRES)}", f"(k + i) % {suppliers}"
+    genre_entry = (
+        f"named_struct('id', {_pick([g[0] for g in GENRES], genre)}, 'name', {_pick([g[1] for g in GENRES], genre)})"
+    )
+    company_entry = f"""named_struct('id', {company} + 1,
+        'name', CASE WHEN {company} % 20 < 16 THEN {_pick(STUDIOS, f"{company} % 20 % 16")}
+                     ELSE concat(' Studio ', {company}) END,
+        'origin_country', {_pick(COUNTRIES, f"{company} % 6")})"""
+    return f"""to_json(named_struct(
+      'id', k + 1,
+      'title', CASE WHEN k % 97 = 0 THEN '' ELSE concat('  ', p_name, ' ', k, ' ') END,
+      'release_date', CASE WHEN k % 41 = 0 THEN '' WHEN k % 53 = 0 THEN '2023-02-30'
+          ELSE CAST(date_add(DATE '1980-01-01', CAST(k * 37 % 16800 AS INT)) AS STRING) END,
+      'budget', budget,
+      'revenue', {added_revenue} + CASE WHEN (k + 1) % 59 = 0 AND budget > 0 THEN budget
+          WHEN k % 5 = 0 THEN 0 ELSE k * 104729003 % 900000000 END,
+      'runtime', CASE WHEN k % 11 = 0 THEN 0 ELSE 60 + 2 * p_size END,
+      'popularity', p_retailprice / 10,
+      'vote_average', k * 31 % 101 / 10D,
+      'vote_count', k * 13 % 500,
+      'status', CASE WHEN k % 19 = 0 THEN 'Rumored' WHEN k % 23 <> 0 THEN 'Released' END,
+      'original_language', CASE WHEN p_size <= 25 THEN 'en' ELSE 'fr' END,
+      'adult', k % 2,
+      'genres', CASE WHEN k % 8 = 0 THEN CAST(array() AS ARRAY<STRUCT<id: INT, name: STRING>>)
+          ELSE {_entries("k % 4", genre_entry)} END,
+      'production_companies', {_entries("k % 3", company_entry)}))"""
 
 
 def document_lines(spark: SparkSession, sf_dir: str, resent: bool = False) -> DataFrame:
     """One line of JSON per part; ``resent`` gives the second batch."""
     suppliers = read(spark, sf_dir, "supplier").count()
-    part = read(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("k"), "p_name", "p_size", "p_retailprice"
-    )
+    part = read(spark, sf_dir, "part").selectExpr("p_partkey AS k", "p_name", "p_size", "p_retailprice")
     if resent:
         part = part.filter("p_size >= 46")
     # Building and parsing documents is the work here; a small table would otherwise be one task.
     part = part.repartition(spark.sparkContext.defaultParallelism, "k")
-    k = F.col("k")
-    budget = F.when(k % 7 == 0, 0).otherwise(k * 7919009 % 200000000)
-    revenue = F.when(k % 5 == 0, 0).otherwise(k * 104729003 % 900000000)
-    revenue = F.when(((k + 1) % 59 == 0) & (budget > 0), budget).otherwise(revenue)
-    day = F.date_add(F.lit(dt.date(1980, 1, 1)), (k * 37 % 16800).cast("int"))
-
-    def genre(i):
-        index = (k + 5 * i) % len(GENRES)
-        return F.struct(
-            _pick([g[0] for g in GENRES], index).alias("id"),
-            _pick([g[1] for g in GENRES], index).alias("name"),
-        )
-
-    def company(i):
-        index = (k + i) % suppliers
-        name = F.when(index % 20 < len(STUDIOS), _pick(STUDIOS, index % 20 % len(STUDIOS)))
-        return F.struct(
-            (index + 1).alias("id"),
-            F.coalesce(name, F.concat(F.lit(" Studio "), index.cast("string"))).alias("name"),
-            _pick(COUNTRIES, index % len(COUNTRIES)).alias("origin_country"),
-        )
-
-    title = F.concat(F.lit("  "), "p_name", F.lit(" "), k.cast("string"), F.lit(" "))
-    document = F.struct(
-        (k + 1).alias("id"),
-        F.when(k % 97 == 0, "").otherwise(title).alias("title"),
-        F.when(k % 41 == 0, "").when(k % 53 == 0, "2023-02-30").otherwise(day.cast("string")).alias("release_date"),
-        budget.alias("budget"),
-        (revenue + (1000000 if resent else 0)).alias("revenue"),
-        F.when(k % 11 == 0, 0).otherwise(60 + 2 * F.col("p_size")).alias("runtime"),
-        (F.col("p_retailprice") / 10).alias("popularity"),
-        (k * 31 % 101 / 10.0).alias("vote_average"),
-        (k * 13 % 500).alias("vote_count"),
-        F.when(k % 19 == 0, "Rumored").when(k % 23 != 0, "Released").alias("status"),
-        F.when(F.col("p_size") <= 25, "en").otherwise("fr").alias("original_language"),
-        (k % 2).alias("adult"),
-        F.when(k % 8 == 0, F.array().cast("array<struct<id:int,name:string>>"))
-        .otherwise(_entries((k % 4).cast("int"), genre)).alias("genres"),
-        _entries((k % 3).cast("int"), company).alias("production_companies"),
-    )
-    return part.select(F.to_json(document).alias("value"))
+    document = _document(suppliers, 1000000 if resent else 0)
+    return part.selectExpr("*", f"{_BUDGET} AS budget").selectExpr(f"{document} AS value")
 
 
 def batch(spark: SparkSession, sf_dir: str, resent: bool = False) -> DataFrame:
@@ -115,16 +111,16 @@ def bronze_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.bronze_movies_raw(raw_movies(spark, sf_dir))
 
 
-def genre_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+def genre_list(documents: DataFrame) -> DataFrame:
     """The reference list: the genres named in the documents, landed as one array.
 
     It has at most one entry per catalogue genre, so it is small enough for one row.
     """
-    named = silver.silver_movie_genres(batch(spark, sf_dir), loaded_at())
+    named = silver.silver_movie_genres(documents, loaded_at())
     listed = named.select(F.col("genre_id").alias("id"), F.col("genre_name_raw").alias("name")).distinct()
     entries = F.array_sort(F.collect_list(F.struct("id", "name")))
     text = listed.agg(F.to_json(entries).alias("text")).first()["text"]
-    return land_snapshot(spark, text, "batch-1", FIRST)
+    return land_snapshot(documents.sparkSession, text, "batch-1", FIRST)
 
 
 class Movies:
@@ -139,7 +135,7 @@ class Movies:
         self.movies = silver.silver_movies(self.bronze, at)
         self.movie_genres = silver.silver_movie_genres(self.bronze, at)
         self.movie_companies = silver.silver_movie_companies(self.bronze, at)
-        self.genres = gold.dim_genres(silver.silver_genres(genre_list(spark, sf_dir), at), at)
+        self.genres = gold.dim_genres(silver.silver_genres(genre_list(self.bronze), at), at)
         self.companies = cut_lineage(
             gold.dim_production_companies(silver.silver_production_companies(self.bronze, at), at)
         )
@@ -151,17 +147,12 @@ class Movies:
             self.fact = cut_lineage(self.fact)
 
 
-def _sql_list(values: list) -> str:
-    return "[" + ", ".join("'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v) for v in values) + "]"
-
-
 def _case(labels: dict, column: str, default: str) -> str:
     whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in labels.items())
     return f"CASE {column} {whens} ELSE '{default}' END"
 
 
 _TITLE = "CASE WHEN k % 97 = 0 THEN '' ELSE '  ' || p_name || ' ' || k || ' ' END"
-_BUDGET = "CASE WHEN k % 7 = 0 THEN 0 ELSE k * 7919009 % 200000000 END"
 _ROI6 = half_up("revenue_usd - budget_usd", "budget_usd", 6)
 
 # The raw documents of both batches, already typed.
