@@ -169,6 +169,7 @@ def test_range_lookup_boundaries(spark, rows):
     ]
     assert rows(joins.range_lookup(*args)) == expected
     assert rows(joins.range_lookup(*args, cell=7.0, max_intervals=0)) == expected
+    assert rows(joins.range_lookup(*args, cell=7.0, max_intervals=0, spread_by=["v"])) == expected
     with pytest.raises(ValueError, match="cell"):
         joins.range_lookup(*args, max_intervals=2)
 

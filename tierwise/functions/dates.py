@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, functions as F
 
 # Release windows by calendar month.
@@ -17,6 +19,11 @@ SEASON_MONTHS = {
 UNKNOWN_DATE = "0001-01-01"
 
 
+def moment(at: dt.datetime) -> Column:
+    """A fixed clock reading as TIMESTAMP_NTZ, whatever the time zone of the driver's Python."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def safe_date(value: Column, fmt: str | None = None) -> Column:
     """Parse to DATE, NULL when the text is not a valid date."""
     text = value.cast("string")

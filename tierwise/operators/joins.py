@@ -15,22 +15,27 @@ MAX_BROADCAST_ROWS = 100_000
 MAX_INTERVALS = 1_000
 
 
-def _spread(
-    rows: DataFrame, side: DataFrame, by: Sequence[str] | None, ways: int
+def _salted(
+    rows: DataFrame, side: DataFrame, by: Sequence[str], ways: int
 ) -> tuple[DataFrame, DataFrame, Column]:
-    """Broadcast ``side`` when it is small; else split every key of ``rows`` over ``ways`` salts.
+    """Split every key of ``rows`` over ``ways`` salts and repeat ``side`` once per salt.
 
-    The size is counted, up to the limit only. Beyond it ``side`` is repeated once per salt, and the
-    join shuffles. The salt is a hash of row columns, not a random number, so a retried task gives
-    the same rows.
+    The salt is a hash of row columns, not a random number, so a retried task gives the same rows.
     """
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(ways)).cast("int"))
+    side = side.withColumn("_side_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
+    return rows.hint("merge"), side, F.col("_salt") == F.col("_side_salt")
+
+
+def _spread(
+    rows: DataFrame, side: DataFrame, by: Sequence[str] | None, ways: int
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Broadcast ``side`` when it is small (counted, up to the limit only), else salt both sides."""
     if not by:
         return rows, side, F.lit(True)
     if side.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
         return rows, F.broadcast(side), F.lit(True)
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(ways)).cast("int"))
-    side = side.withColumn("_side_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
-    return rows.hint("merge"), side, F.col("_salt") == F.col("_side_salt")
+    return _salted(rows, side, by, ways)
 
 
 def lookup(
@@ -76,12 +81,15 @@ def range_lookup(
     columns: Mapping[str, str],
     cell: float | None = None,
     max_intervals: int = MAX_INTERVALS,
+    spread_by: Sequence[str] | None = None,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """Left join on ``low <= value < high``; a NULL ``high`` is open.
 
     Up to ``max_intervals`` intervals (counted here) are broadcast. More of them need ``cell``:
     both sides are cut into cells of that width and joined on the cell number, so the join is an
-    equi join that shuffles and no row meets intervals outside its cell.
+    equi join that shuffles and no row meets intervals outside its cell. Set ``spread_by`` when one
+    cell may hold a large share of the rows: cells are then salted.
     """
     keep = rows.columns
     side = intervals.select(
@@ -104,7 +112,10 @@ def range_lookup(
         "_cell", F.explode(F.sequence(number(F.col("_low")), number(end)))
     )
     left = rows.withColumn("_row_cell", number(F.col(value)))
-    joined = left.join(side, (F.col("_row_cell") == F.col("_cell")) & inside, "left")
+    condition = F.lit(True)
+    if spread_by:
+        left, side, condition = _salted(left, side, spread_by, spread)
+    joined = left.join(side, condition & (F.col("_row_cell") == F.col("_cell")) & inside, "left")
     return joined.select(*keep, *found)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -10,22 +9,22 @@ from pyspark.sql import DataFrame, functions as F
 from tierwise.operators.dedup import keep_latest
 
 
-def high_water_mark(target: DataFrame, stamp: str) -> dt.datetime | None:
-    """Newest load time in ``target``: one aggregated row."""
-    return target.agg(F.max(stamp).alias("newest")).first()["newest"]
+def high_water_mark(target: DataFrame, stamp: str) -> str | None:
+    """Newest load time in ``target`` as text: one aggregated row."""
+    return target.agg(F.max(stamp).cast("string").alias("newest")).first()["newest"]
 
 
-def since_lookback(
-    source: DataFrame, stamp: str, mark: dt.datetime | None, days: int = 3
-) -> DataFrame:
+def since_lookback(source: DataFrame, stamp: str, mark: str | None, days: int = 3) -> DataFrame:
     """Source rows no older than ``days`` before the mark.
 
-    The bound is a literal, so it reaches the file scan. No mark (an absent or empty target) keeps
-    every row; a plain comparison with a NULL maximum would load nothing, for ever.
+    The bound folds to a literal of the column's own type, so it reaches the file scan. No mark (an
+    absent or empty target) keeps every row; a plain comparison with a NULL maximum would load
+    nothing, for ever.
     """
     if mark is None:
         return source
-    return source.filter(F.col(stamp) >= F.lit(mark - dt.timedelta(days=days)))
+    bound = F.lit(mark).cast(source.schema[stamp].dataType) - F.make_dt_interval(F.lit(days))
+    return source.filter(F.col(stamp) >= bound)
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
+from tierwise.functions.dates import moment
 from tierwise.operators.audit import RunLog, require_rows
 from tierwise.operators.merge import incremental, purge_keys
 from tierwise.operators.quality import run_checks
@@ -83,7 +84,7 @@ class Warehouse:
 
     def build(self, name: str, now: dt.datetime, full_refresh: bool = False) -> int:
         """Rebuild or merge one model from the stored tables below it; returns its row count."""
-        t, at = self.table, F.lit(now).cast("timestamp_ntz")
+        t, at = self.table, moment(now)
         if name == "bronze_movies_raw":
             return self._replace(name, bronze.bronze_movies_raw(t("raw_movies")))
         if name == "silver_movies":

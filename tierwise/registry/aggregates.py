@@ -20,7 +20,7 @@ from tierwise.operators.calendar import date_dimension
 from tierwise.operators.merge import high_water_mark, since_lookback
 from tierwise.operators.ranking import group_medians
 from tierwise.plans.reference_data import OTHER
-from tierwise.registry.catalog import half_up, mean6, query, read, sum6
+from tierwise.registry.catalog import half_up, mean6, query, read, season_sql, sum6
 
 MONEY = "decimal(18,2)"
 
@@ -170,12 +170,10 @@ def clean_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderkey, year(o_orderdate) AS d_year, month(o_orderdate) AS d_month,
+    f"""SELECT o_orderkey, year(o_orderdate) AS d_year, month(o_orderdate) AS d_month,
        quarter(o_orderdate) AS d_quarter, day(o_orderdate) AS d_day, dayofweek(o_orderdate) AS d_dow,
        strftime(o_orderdate, '%a') AS d_day_name, strftime(o_orderdate, '%Y-%m') AS d_month_label,
-       CASE WHEN month(o_orderdate) IN (6, 7, 8) THEN 'SUMMER' WHEN month(o_orderdate) IN (11, 12) THEN 'HOLIDAY'
-         WHEN month(o_orderdate) IN (1, 2, 3) THEN 'WINTER' WHEN month(o_orderdate) IN (4, 5) THEN 'SPRING'
-         ELSE 'FALL' END AS season,
+       {season_sql("o_orderdate")} AS season,
        year(o_orderdate) + CAST(month(o_orderdate) >= 10 AS BIGINT) AS fiscal_oct,
        year(o_orderdate) + CAST(month(o_orderdate) >= 7 AS BIGINT) AS fiscal_jul,
        year(o_orderdate) AS fiscal_jan, 'Q' || quarter(o_orderdate) AS quarter_label
@@ -195,15 +193,13 @@ def order_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_sk, CAST(d AS DATE) AS full_date,
+    f"""SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_sk, CAST(d AS DATE) AS full_date,
        year(d) AS calendar_year, quarter(d) AS calendar_quarter, month(d) AS calendar_month,
        day(d) AS day_of_month, dayofweek(d) AS day_of_week, dayofyear(d) AS day_of_year,
        weekofyear(d) AS week_of_year, monthname(d) AS month_name, strftime(d, '%b') AS month_name_short,
        dayname(d) AS day_name, 'Q' || quarter(d) AS quarter_label, strftime(d, '%Y-%m') AS year_month,
        dayofweek(d) IN (0, 6) AS is_weekend, dayofweek(d) NOT IN (0, 6) AS is_weekday,
-       CASE WHEN month(d) IN (6, 7, 8) THEN 'SUMMER' WHEN month(d) IN (11, 12) THEN 'HOLIDAY'
-         WHEN month(d) IN (1, 2, 3) THEN 'WINTER' WHEN month(d) IN (4, 5) THEN 'SPRING'
-         ELSE 'FALL' END AS release_season,
+       {season_sql("d")} AS release_season,
        year(d) AS fiscal_year, quarter(d) AS fiscal_quarter, count(o_orderkey) AS n_orders
 FROM (SELECT unnest(range((SELECT min(o_orderdate) FROM orders), (SELECT max(o_orderdate) FROM orders),
                           INTERVAL 1 DAY)) AS d)

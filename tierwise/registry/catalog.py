@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tierwise.functions.dates import SEASON_MONTHS
 from tierwise.sources.shared_folder import scratch_path
 from tierwise.sources.tables import TableStore
 
@@ -59,6 +60,13 @@ def stamp(expression: str) -> str:
     return f"strftime({expression}, '%Y-%m-%d %H:%M:%S')"
 
 
+def season_sql(date: str) -> str:
+    """SQL for the season of a date, as an entry of the list of twelve months."""
+    by_month = {month: season for season, months in SEASON_MONTHS.items() for month in months}
+    listed = ", ".join(f"'{by_month[month]}'" for month in range(1, 13))
+    return f"([{listed}])[month({date})]"
+
+
 def half_up(number: str, divisor: str, places: int) -> str:
     """SQL for ``number / divisor`` of whole numbers, rounded half away from zero, as DOUBLE."""
     n, d, scale = f"CAST({number} AS HUGEINT)", f"CAST({divisor} AS HUGEINT)", 10**places

@@ -12,9 +12,10 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tierwise.functions.dates import moment
 from tierwise.plans import bronze, gold, silver
 from tierwise.plans.reference_data import SOURCE_URL, STUDIO_TIERS
-from tierwise.registry.catalog import half_up, read
+from tierwise.registry.catalog import half_up, read, season_sql
 from tierwise.sources.documents import land_snapshot, parse_documents, stamp_batch
 from tierwise.sources.shared_folder import cut_lineage
 
@@ -35,7 +36,7 @@ STUDIOS = list(STUDIO_TIERS)
 
 
 def loaded_at() -> Column:
-    return F.lit(AS_OF).cast("timestamp_ntz")
+    return moment(AS_OF)
 
 
 def _sql_list(values: list, opening: str = "[", closing: str = "]") -> str:
@@ -197,11 +198,7 @@ silver_movies AS (
   SELECT *, CAST(year(release_date) AS BIGINT) AS release_year,
     CAST(month(release_date) AS BIGINT) AS release_month,
     CAST(quarter(release_date) AS BIGINT) AS release_quarter,
-    CASE WHEN month(release_date) IN (6, 7, 8) THEN 'SUMMER'
-         WHEN month(release_date) IN (11, 12) THEN 'HOLIDAY'
-         WHEN month(release_date) IN (1, 2, 3) THEN 'WINTER'
-         WHEN month(release_date) IN (4, 5) THEN 'SPRING'
-         WHEN month(release_date) IN (9, 10) THEN 'FALL' END AS release_season,
+    {season_sql("release_date")} AS release_season,
     revenue_usd - budget_usd AS profit_usd,
     CASE WHEN budget_usd > 0 AND revenue_usd IS NOT NULL
          THEN {half_up(f"round({_ROI6} * 1000000)", "10000", 2)} END AS roi_pct

@@ -49,7 +49,8 @@ def unit_price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit")
     )
     return range_lookup(
-        lines, "unit", bands, "p_retailprice", "high", {"band": "p_partkey"}, cell=10.0, max_intervals=0
+        lines, "unit", bands, "p_retailprice", "high", {"band": "p_partkey"}, cell=10.0,
+        max_intervals=0, spread_by=["l_orderkey"],
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tierwise.functions.dates import moment
 from tierwise.operators.dedup import keep_first
 from tierwise.operators.merge import merge_upsert
 
@@ -19,7 +20,7 @@ def stamp_batch(
     return df.withColumns(
         {
             "source_url": url,
-            "ingested_at": F.lit(ingested_at).cast("timestamp_ntz"),
+            "ingested_at": moment(ingested_at),
             "batch_id": F.lit(batch_id),
         }
     )
