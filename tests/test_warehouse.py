@@ -136,6 +136,16 @@ def test_purge_and_full_refresh(spark, demo):
     assert set(warehouse.tables()) == set(LAYERS)
 
 
+def test_appended_documents_leave_the_newest_in_bronze(spark, store, rows):
+    warehouse = Warehouse(store)
+    for docs, number, at in (([FIRST, SECOND], 1, T0), ([UPDATED], 2, T1)):
+        warehouse.load_documents(batch(spark, docs, number, at), append=True)
+    assert warehouse.table("raw_movies").count() == 3
+    warehouse.build("bronze_movies_raw", T1)
+    newest = rows(warehouse.table("bronze_movies_raw"), "movie_id", "batch_id")
+    assert newest == [(99999991, "DEMO_BATCH_001"), (99999992, "DEMO_BATCH_002")]
+
+
 EDGE = [
     {"id": 1, "budget": 1000000, "revenue": 1000000, "release_date": "", "status": None, "vote_count": 100},
     {"id": 2, "budget": 999999, "release_date": "1999-12-31", "status": "Released", "vote_count": 99},
