@@ -8,10 +8,9 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tierwise.registry import ORACLES, QUERIES
 from tierwise.registry.catalog import read
 
-QUERIES, ORACLES = queries(), oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
@@ -45,8 +44,9 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
     assert table(got.columns, got.collect()) == table(relation.columns, relation.fetchall())
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_entered():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry_gives_the_top_ten(spark):
