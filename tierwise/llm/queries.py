@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierwise.llm import near_dedup, substring_dedup
+from tierwise.llm import exact_dedup, line_dedup, mixing, near_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,19 +16,90 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _query(function: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[function.__name__] = function
-    return function
+def _query(sql: str | None = None):
+    def register(function: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLES[function.__name__] = sql
+        return function
 
+    return register
 
-@_query
+
+@_query(
+    """
+    WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
+    SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,
+        doc_id = max(doc_id) OVER (PARTITION BY x) AS kept, sha256(x) AS text_sha256
+    FROM t
+    """
+)
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts."""
+    return exact_dedup.exact_groups(_read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@_query(
+    r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    windows AS (SELECT doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w)),
+    firsts AS (SELECT k, min(doc_id) AS f FROM windows GROUP BY k),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM windows JOIN firsts USING (k) WHERE f < doc_id),
+    words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS x, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(x, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)
+    """
+)
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left when passages of 50 words that a smaller document has are removed."""
     done = substring_dedup.remove_repeats(_read(spark, sf_dir, "documents"))
     return done.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-@_query
+@_query(
+    r"""
+    WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+    k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    frequent AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+    SELECT doc_id, count(*) AS n_lines, count(frequent.key) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE frequent.key IS NULL), '')) AS kept_sha256
+    FROM k LEFT JOIN frequent USING (key) GROUP BY doc_id
+    """
+)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without the lines that ten documents have."""
+    done = line_dedup.drop_frequent_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@_query(
+    r"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, source, coalesce(text, '') AS x, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+    k AS (SELECT doc_id, source, size, -ln((CAST(concat('0x', substr(sha256(concat('0:', doc_id)), 1, 13)) AS BIGINT) + 1) / 4503599627370496.0::DOUBLE)
+        / greatest(0.05::DOUBLE, CASE WHEN x = '' THEN 1.0::DOUBLE
+            ELSE length(translate(x, '!"#$%&*+<=>@[\]^_{|}~0123456789', ''))::DOUBLE / length(x) END) AS key FROM d),
+    r AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k),
+    s AS (SELECT source, sum(size)::DOUBLE AS source_size, ([3.0, 1.0, 2.0])[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS w
+        FROM d GROUP BY source),
+    lev AS (SELECT 0 AS i, 1.5 * sum(source_size) / sum(w) AS lvl FROM s
+        UNION ALL
+        SELECT i + 1, (1.5 * sum(source_size) - coalesce(sum(2 * source_size) FILTER (WHERE 2 * source_size <= w * lvl), 0))
+            / sum(w) FILTER (WHERE 2 * source_size > w * lvl) FROM lev, s WHERE i < 25 GROUP BY i, lvl),
+    t AS (SELECT source, source_size, least(2 * source_size, w * (SELECT max(lvl) FROM lev)) AS target FROM s),
+    e AS (SELECT doc_id, size, before, source_size, target, floor(target / source_size) AS epochs FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, size, source_size::BIGINT AS source_size, target,
+        (epochs * size + greatest(0, least(size, floor(target) - epochs * source_size - before)))::BIGINT AS taken FROM e
+    """
+)
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources takes of every document."""
+    return mixing.mix(_read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@_query()
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
     found = near_dedup.near_duplicates(_read(spark, sf_dir, "documents"))
