@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierwise.llm import exact_dedup, line_dedup, mixing, near_dedup, substring_dedup
+from tierwise.llm import decontaminate, exact_dedup, line_dedup, mixing, near_dedup, quality, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +39,22 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@_query()
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark, with the item and the place."""
+    found = decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "edits", "start", "end")
+
+
+@_query()
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labels that are not held out."""
+    docs = _read(spark, sf_dir, "documents")
+    model = quality.train(docs, _read(spark, sf_dir, "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), model, "score")
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 @_query(
     r"""
     WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
