@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierwise.llm import decontaminate, exact_dedup, line_dedup, mixing, near_dedup, quality, substring_dedup
+from tierwise.llm import decontaminate, exact_dedup, html_text, line_dedup, mixing, near_dedup, pii, quality, secrets, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,12 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "edits", "start", "end")
 
 
+@_query()
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, told apart by who has the same value."""
+    return secrets.digest_columns(secrets.scan(_read(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 @_query()
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from the labels that are not held out."""
@@ -73,6 +79,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@_query()
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii.digest_columns(pii.scan(_read(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 @_query(
     r"""
     WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -115,6 +127,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@_query()
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(_read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @_query()
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
