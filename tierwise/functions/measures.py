@@ -10,6 +10,8 @@ from pyspark.sql import Column, functions as F
 
 WHOLE = "decimal(20,0)"
 FRACTION = "decimal(18,6)"
+#: Returns on a tiny cost have many digits before the point.
+PERCENT = "decimal(38,2)"
 
 
 def difference_if_known(left: Column, right: Column) -> Column:

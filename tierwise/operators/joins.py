@@ -1,41 +1,31 @@
 """Dimension lookups, range joins and point-in-time joins.
 
-No dimension is broadcast by hint unless its size was counted first. Without a hint Spark broadcasts
-a side whose measured size is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it beyond.
+Nothing is broadcast by hint but intervals that were counted. Spark broadcasts a side whose measured size is below
+``spark.sql.autoBroadcastJoinThreshold`` and shuffles it beyond, and adaptive execution splits the partitions of hot keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-SPREAD = 16
-MAX_BROADCAST_ROWS = 100_000
-MAX_INTERVALS = 1_000
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tierwise.sources.shared_folder import cut_lineage
 
-def _salted(
-    rows: DataFrame, side: DataFrame, by: Sequence[str], ways: int
-) -> tuple[DataFrame, DataFrame, Column]:
-    """Split every key of ``rows`` over ``ways`` salts and repeat ``side`` once per salt.
-
-    The salt is a hash of row columns, not a random number, so a retried task gives the same rows.
-    """
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(ways)).cast("int"))
-    side = side.withColumn("_side_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
-    return rows.hint("merge"), side, F.col("_salt") == F.col("_side_salt")
+#: Intervals that a range join broadcasts at most; more are joined by a sort.
+MAX_INTERVALS = 1_000
+_NULL_WAYS = 4096
 
 
-def _spread(
-    rows: DataFrame, side: DataFrame, by: Sequence[str] | None, ways: int
-) -> tuple[DataFrame, DataFrame, Column]:
-    """Broadcast ``side`` when it is small (counted, up to the limit only), else salt both sides."""
+def _nulls_apart(rows: DataFrame, on: Sequence[str], by: Sequence[str] | None) -> tuple[DataFrame, Column]:
+    """Deal rows without a key over many partitions: they match nothing, and must not meet in one task."""
     if not by:
-        return rows, side, F.lit(True)
-    if side.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
-        return rows, F.broadcast(side), F.lit(True)
-    return _salted(rows, side, by, ways)
+        return rows, F.lit(True)
+    unknown = F.lit(False)
+    for key in on:
+        unknown = unknown | F.col(key).isNull()
+    ways = F.when(unknown, F.pmod(F.xxhash64(*by), F.lit(_NULL_WAYS))).otherwise(-1)
+    return rows.withColumn("_ways", ways), F.col("_ways") == F.col("_matched")
 
 
 def lookup(
@@ -46,22 +36,21 @@ def lookup(
     defaults: Mapping[str, object] | None = None,
     how: str = "left",
     spread_by: Sequence[str] | None = None,
-    spread: int = SPREAD,
 ) -> DataFrame:
     """Join ``rows`` to a dimension that is unique on its key.
 
     ``on`` maps row columns to dimension columns and ``columns`` output names to dimension columns.
     Unmatched rows keep NULL, or the unknown member in ``defaults``. Set ``spread_by`` (columns that
-    differ between rows) when one key may hold a large share of the rows and the dimension can
-    outgrow a broadcast: NULL keys and hot keys are then salted over ``spread`` tasks. Without it
-    Spark chooses the join, and splits skewed partitions when it shuffles.
+    differ between rows) when a large share of the rows may have no key: these are then dealt
+    over many tasks. Hot keys are split by adaptive execution.
     """
     keep, defaults = rows.columns, defaults or {}
     side = dimension.select(
         *[F.col(d).alias(f"_on_{i}") for i, d in enumerate(on.values())],
         *[F.col(d).alias(f"_out_{name}") for name, d in columns.items()],
+        F.lit(-1).cast("long").alias("_matched"),
     )
-    left, side, condition = _spread(rows, side, spread_by, spread)
+    left, condition = _nulls_apart(rows, list(on), spread_by)
     for i, key in enumerate(on):
         condition = condition & (F.col(key) == F.col(f"_on_{i}"))
     joined = left.join(side, condition, how)
@@ -72,6 +61,24 @@ def lookup(
     return joined.select(*keep, *found)
 
 
+def _last_before(points: DataFrame, order: Sequence[str], value: str) -> DataFrame:
+    """Add ``_last``: the newest non-null ``value`` of an earlier row by ``order``, over all rows.
+
+    Rows are dealt to chunks by range, and written once; within a chunk a window carries the value on, and the last
+    value of each chunk is handed to the next ones.
+    """
+    dealt = points.repartitionByRange(*order).withColumn("_chunk", F.spark_partition_id())
+    dealt = cut_lineage(dealt)
+    earlier = Window.partitionBy("_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    tails = dealt.filter(F.col(value).isNotNull()).groupBy("_chunk").agg(F.max_by(value, F.struct(*order)).alias("_tail"))
+    # One row per chunk from here on.
+    chunks = dealt.select("_chunk").distinct().join(tails, "_chunk", "left")
+    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = chunks.select("_chunk", F.last("_tail", ignorenulls=True).over(before).alias("_carried"))
+    inside = dealt.withColumn("_near", F.last(value, ignorenulls=True).over(earlier))
+    return inside.join(carried, "_chunk").select(*points.columns, F.coalesce("_near", "_carried").alias("_last"))
+
+
 def range_lookup(
     rows: DataFrame,
     value: str,
@@ -79,17 +86,13 @@ def range_lookup(
     low: str,
     high: str,
     columns: Mapping[str, str],
-    cell: float | None = None,
     max_intervals: int = MAX_INTERVALS,
-    spread_by: Sequence[str] | None = None,
-    spread: int = SPREAD,
 ) -> DataFrame:
     """Left join on ``low <= value < high``; a NULL ``high`` is open.
 
-    Up to ``max_intervals`` intervals (counted here) are broadcast. More of them need ``cell``:
-    both sides are cut into cells of that width and joined on the cell number, so the join is an
-    equi join that shuffles and no row meets intervals outside its cell. Set ``spread_by`` when one
-    cell may hold a large share of the rows: cells are then salted.
+    Up to ``max_intervals`` intervals (counted here) are broadcast. Any number beyond that must not overlap; rows and
+    lower bounds are then sorted together by range, and each row gets the last bound at or below its value. A value
+    that a large share of the rows has may run over many tasks.
     """
     keep = rows.columns
     side = intervals.select(
@@ -97,26 +100,23 @@ def range_lookup(
         F.col(high).alias("_high"),
         *[F.col(c).alias(f"_out_{name}") for name, c in columns.items()],
     )
-    inside = (F.col(value) >= F.col("_low")) & (
-        (F.col(value) < F.col("_high")) | F.col("_high").isNull()
-    )
-    found = [F.col(f"_out_{name}").alias(name) for name in columns]
+    open_end = F.col("_high").isNull()
     if intervals.limit(max_intervals + 1).count() <= max_intervals:
+        inside = (F.col(value) >= F.col("_low")) & ((F.col(value) < F.col("_high")) | open_end)
+        found = [F.col(f"_out_{name}").alias(name) for name in columns]
         return rows.join(F.broadcast(side), inside, "left").select(*keep, *found)
-    if cell is None:
-        raise ValueError(f"more than {max_intervals} intervals: pass the cell width")
-    number = lambda c: F.floor(c / F.lit(cell))
-    top = rows.agg(F.max(value).alias("top")).first()["top"]
-    end = F.least(F.coalesce(F.col("_high"), F.lit(top)), F.lit(top))
-    side = side.filter(F.col("_low") <= F.lit(top)).withColumn(
-        "_cell", F.explode(F.sequence(number(F.col("_low")), number(end)))
-    )
-    left = rows.withColumn("_row_cell", number(F.col(value)))
-    condition = F.lit(True)
-    if spread_by:
-        left, side, condition = _salted(left, side, spread_by, spread)
-    joined = left.join(side, condition & (F.col("_row_cell") == F.col("_cell")) & inside, "left")
-    return joined.select(*keep, *found)
+    bounds = side.select(F.col("_low").alias("_at"), F.struct(*side.columns).alias("_interval"))
+    previous = _last_before(bounds, ["_at"], "_interval").select("_at", "_last.*", F.col("_last").isNotNull().alias("_some"))
+    if not previous.filter(F.col("_some") & (open_end | (F.col("_high") > F.col("_at")))).isEmpty():
+        raise ValueError("the intervals overlap")
+    at = rows.select(F.col(value).alias("_at"), F.struct(*[F.col(c) for c in keep]).alias("_row"))
+    tie = F.when(F.col("_row").isNull(), 0).otherwise(F.pmod(F.xxhash64("_row"), F.lit(2**31)) + 1)
+    points = at.filter("_at is not null").unionByName(bounds, allowMissingColumns=True).withColumn("_tie", tie)
+    last = _last_before(points, ["_at", "_tie"], "_interval").filter("_row is not null")
+    fits = F.col("_last").isNotNull() & (F.col("_last._high").isNull() | (F.col("_at") < F.col("_last._high")))
+    found = [F.when(fits, F.col(f"_last._out_{name}")).alias(name) for name in columns]
+    placed = last.select("_row.*", *found)
+    return placed.unionByName(rows.filter(F.col(value).isNull()), allowMissingColumns=True)
 
 
 def point_in_time(
@@ -128,7 +128,6 @@ def point_in_time(
     prefix: str = "",
     how: str = "left",
     spread_by: Sequence[str] | None = None,
-    spread: int = SPREAD,
 ) -> DataFrame:
     """Join each row to the version in force at ``moment``.
 
@@ -140,8 +139,9 @@ def point_in_time(
         F.col(f"{prefix}valid_from").alias("_from"),
         F.col(f"{prefix}valid_to").alias("_to"),
         *[F.col(d).alias(f"_out_{name}") for name, d in columns.items()],
+        F.lit(-1).cast("long").alias("_matched"),
     )
-    left, side, condition = _spread(rows, side, spread_by, spread)
+    left, condition = _nulls_apart(rows, list(on), spread_by)
     for i, key in enumerate(on):
         condition = condition & (F.col(key) == F.col(f"_on_{i}"))
     t = F.col(moment)

@@ -13,7 +13,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tierwise.operators.joins import MAX_BROADCAST_ROWS
 from tierwise.sources.shared_folder import cut_lineage
 
 KINDS = ("row_number", "rank", "dense_rank", "percent_rank", "ntile")
@@ -50,10 +49,13 @@ class Rank:
             raise ValueError(f"unknown rank kind {self.kind!r}")
 
 
-def _with_small(rows: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Join to a written-out table: broadcast when it is counted small, else a shuffled join."""
-    few = small.count() <= MAX_BROADCAST_ROWS
-    return rows.join(F.broadcast(small) if few else small.hint("merge"), list(on))
+def _null_safe_join(rows: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns in which NULL equals NULL. The small side is written out, so the planner knows its size."""
+    renamed = small.select(*[F.col(c).alias(f"_by_{c}") if c in on else F.col(c) for c in small.columns])
+    condition = F.lit(True)
+    for c in on:
+        condition = condition & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return rows.join(renamed, condition, how).drop(*[f"_by_{c}" for c in on])
 
 
 def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties: Sequence[str]) -> DataFrame:
@@ -97,7 +99,7 @@ def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties:
         .withColumn("_rows", F.sum("n").over(Window.partitionBy(*group)))
         .select(*group, "_chunk", "rows_before", "keys_before", "runs_on", "head_start", "_rows")
     )
-    placed = _with_small(local, cut_lineage(chunks), ["_chunk", *group])
+    placed = _null_safe_join(local, cut_lineage(chunks), ["_chunk", *group])
     return placed.select(
         *rows.columns,
         (F.col("rows_before") + F.col("_row")).alias("_pos"),
@@ -228,10 +230,10 @@ def group_medians(
     inside it are sorted. A value that fills the middle of a group is a bracket end, and its rows are
     only counted.
 
-    ``identity`` columns tell rows apart. Values of one call must share a type. Groups with a NULL
-    key are left out.
+    ``identity`` columns tell rows apart. Values of one call must share a type. A NULL key is a group like any other.
+    The narrow rows are written once and read by each pass.
     """
-    rows = df.na.drop(subset=list(group)).select(*group, *identity, *values)
+    rows = cut_lineage(df.select(*group, *identity, *values))
     every = list(enumerate(values))
     ends = [0.5 - MEDIAN_MARGIN, 0.5 + MEDIAN_MARGIN]
     sketches = [F.percentile_approx(v, ends, MEDIAN_ACCURACY).alias(f"b{i}") for i, v in every]
@@ -251,7 +253,7 @@ def group_medians(
             F.count_if((v > lo) & (v < hi)).alias(f"inside{i}"),
             F.count_if((v == hi) & (lo < hi)).alias(f"top{i}"),
         ]
-    sizes = _with_small(rows, bracket, group).groupBy(*group).agg(*counts)
+    sizes = _null_safe_join(rows, bracket, group).groupBy(*group).agg(*counts)
     kept = list(group)
     for i, _ in every:
         n, below, at, inside = (F.col(f"{c}{i}") for c in ("n", "below", "at", "inside"))
@@ -272,14 +274,14 @@ def group_medians(
         v, lo, hi = F.col(name), F.col(f"lo{i}"), F.col(f"hi{i}")
         taken = F.when(lo.isNull() | ((v > lo) & (v < hi)), v)
         inner.append(F.struct(F.lit(i).alias("_m"), taken.alias("_v")))
-    middle = _with_small(rows, sizes, group).select(*group, *identity, F.inline(F.array(*inner)))
-    placed = _positions(cut_lineage(middle.filter("_v is not null")), ["_m", *group], ["_v"], identity)
+    middle = _null_safe_join(rows, sizes, group).select(*group, *identity, F.inline(F.array(*inner)))
+    placed = _positions(middle.filter("_v is not null"), ["_m", *group], ["_v"], identity)
     picks = [
         F.max(F.when((F.col("_m") == i) & (F.col("_pos") == F.col(f"{p}{i}")), F.col("_v"))).alias(f"_{p}{i}")
         for i, _ in every
         for p in ("first", "last")
     ]
-    picked = _with_small(placed, sizes, group).groupBy(*group).agg(*picks)
+    picked = _null_safe_join(placed, sizes, group).groupBy(*group).agg(*picks)
 
     def found(p: str, i: int) -> Column:
         """The value at one middle position: on the low end, on the high end, or between them."""
@@ -288,7 +290,7 @@ def group_medians(
         return F.when(at <= 0, F.col(f"lo{i}")).otherwise(on_high)
 
     medians = [((found("first", i) + found("last", i)) / 2).alias(name) for i, name in every]
-    return sizes.join(picked, list(group), "left").select(*group, *medians)
+    return _null_safe_join(sizes, picked, group, "left").select(*group, *medians)
 
 
 def change_from_previous(df: DataFrame, order: str, columns: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from tierwise.functions.keys import surrogate_key
 from tierwise.operators.calendar import date_dimension
 from tierwise.operators.dedup import lowest_child
 from tierwise.operators.joins import lookup, range_lookup
+from tierwise.sources.seeds import read_seed
 from tierwise.plans.reference_data import (
     BLOCKBUSTER_GENRES, BUDGET_TIER_SCHEMA, BUDGET_TIERS, CALENDAR_END, CALENDAR_START,
     GENRE_GROUPS, OTHER, REGIONS, STUDIO_TIERS, UNKNOWN, UNKNOWN_DATE_KEY,
@@ -25,10 +26,21 @@ FACT_COLUMNS = (
 )
 
 
-def budget_tiers(spark: SparkSession) -> DataFrame:
+def budget_tiers(spark: SparkSession, seeds: str | None = None) -> DataFrame:
+    """The tiers in ``budget_tiers.csv`` of the seed folder, or the fixed ones."""
+    if seeds is not None:
+        return read_seed(spark, f"{seeds.rstrip('/')}/budget_tiers.csv", BUDGET_TIER_SCHEMA)
     return spark.createDataFrame(BUDGET_TIERS, BUDGET_TIER_SCHEMA)
 
 
+def _with_unknown(dimension: DataFrame, key: str, wanted: bool) -> DataFrame:
+    """With the member that unmatched facts point to: an UNKNOWN key, all else NULL."""
+    if not wanted:
+        return dimension
+    unknown = dimension.sparkSession.range(1).select(F.lit(UNKNOWN).alias(key))
+    return dimension.unionByName(unknown, allowMissingColumns=True)
+
+
 def dim_dates(
     spark: SparkSession,
     start: dt.date = CALENDAR_START,
@@ -38,9 +50,9 @@ def dim_dates(
     return date_dimension(spark, start, end, unknown_member)
 
 
-def dim_genres(genres: DataFrame, loaded_at: Column) -> DataFrame:
+def dim_genres(genres: DataFrame, loaded_at: Column, unknown_member: bool = False) -> DataFrame:
     name = F.col("genre_name")
-    return genres.select(
+    dimension = genres.select(
         surrogate_key(F.col("genre_id")).alias("genre_sk"),
         "genre_id",
         "genre_name",
@@ -49,11 +61,12 @@ def dim_genres(genres: DataFrame, loaded_at: Column) -> DataFrame:
         "_silver_loaded_at",
         loaded_at.alias("_gold_loaded_at"),
     )
+    return _with_unknown(dimension, "genre_sk", unknown_member)
 
 
-def dim_production_companies(companies: DataFrame, loaded_at: Column) -> DataFrame:
+def dim_production_companies(companies: DataFrame, loaded_at: Column, unknown_member: bool = False) -> DataFrame:
     country = F.col("origin_country")
-    return companies.select(
+    dimension = companies.select(
         surrogate_key(F.col("company_id")).alias("company_sk"),
         "company_id",
         "company_name",
@@ -63,6 +76,7 @@ def dim_production_companies(companies: DataFrame, loaded_at: Column) -> DataFra
         "_silver_loaded_at",
         loaded_at.alias("_gold_loaded_at"),
     )
+    return _with_unknown(dimension, "company_sk", unknown_member)
 
 
 def fact_movies(

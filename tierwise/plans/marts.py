@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tierwise.functions.measures import (
-    FRACTION, WHOLE, decimal_sum, rounded_mean, rounded_sum, share_pct, weighted_rating,
+    FRACTION, PERCENT, WHOLE, decimal_sum, rounded_mean, rounded_sum, share_pct, weighted_rating,
 )
 from tierwise.operators.joins import lookup
 from tierwise.operators.ranking import (
@@ -16,7 +16,7 @@ from tierwise.plans.reference_data import (
 )
 
 MILLION = 1_000_000
-ROI = "decimal(38,2)"
+ROI = PERCENT
 
 
 def _best(name: str, column: str) -> Rank:
@@ -53,7 +53,7 @@ def kpi_genre_performance(
         rounded_mean(only("budget_usd"), 2, MILLION).alias("avg_budget_millions"),
         rounded_mean(only("profit_usd"), 2, MILLION).alias("avg_profit_millions"),
         decimal_sum(only("profit_usd")).alias("_profit"),
-        rounded_mean(only("roi_pct"), 2, dtype=FRACTION).alias("avg_roi_pct"),
+        rounded_mean(only("roi_pct"), 2, dtype=PERCENT).alias("avg_roi_pct"),
         share_pct(F.count_if(complete & (F.col("profit_usd") > 0)), F.count_if(complete)).alias(
             "pct_movies_profitable"
         ),
@@ -136,7 +136,7 @@ def kpi_yearly_trends(fact: DataFrame, loaded_at: Column) -> DataFrame:
             rounded_sum(F.col("revenue_usd"), 1, MILLION).alias("total_revenue_millions"),
             rounded_mean(F.col("revenue_usd"), 1, MILLION).alias("avg_revenue_millions"),
             rounded_mean(F.col("budget_usd"), 1, MILLION).alias("avg_budget_millions"),
-            rounded_mean(F.col("roi_pct"), 1, dtype=FRACTION).alias("avg_roi_pct"),
+            rounded_mean(F.col("roi_pct"), 1, dtype=PERCENT).alias("avg_roi_pct"),
             share_pct(F.count_if(F.col("profitability_flag") == "PROFITABLE"), with_budget).alias(
                 "pct_profitable"
             ),

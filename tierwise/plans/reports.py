@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tierwise.functions.measures import FRACTION, rounded_mean
+from tierwise.functions.measures import PERCENT, rounded_mean
 from tierwise.operators.joins import lookup
 
 
@@ -58,7 +58,7 @@ def profitability_counts(fact: DataFrame) -> DataFrame:
 
 def season_roi(fact: DataFrame) -> DataFrame:
     return fact.groupBy("release_season").agg(
-        rounded_mean(F.col("roi_pct"), 2, dtype=FRACTION).alias("avg_roi_pct")
+        rounded_mean(F.col("roi_pct"), 2, dtype=PERCENT).alias("avg_roi_pct")
     )
 
 
