@@ -80,3 +80,20 @@ def test_declared_checks_by_kind(spark):
         "row_count": 8, "rule": 3,
     }
     assert len({(c.table, c.name) for c in checks}) == len(checks) == 116
+
+
+def test_a_check_that_breaks_at_run_time_is_alone_in_error(spark):
+    from tierwise.operators.quality import stored_failures
+
+    df = spark.createDataFrame([(1, "x"), (None, "3"), (-4, "4")], "n int, t string")
+    checks = [
+        Check("t", "known", "not_null", "n"),
+        Check("t", "cast", "rule", rule=F.col("t").cast("int") > 0),
+        Check("t", "positive", "rule", rule=F.col("n") > 0),
+        Check("t", "few", "row_count", low=0, high=2),
+        Check("t", "ids", "unique", "n"),
+    ]
+    got = {r["check"]: (r["failures"], r["status"]) for r in quality.run_checks(spark, {"t": df}, checks).collect()}
+    assert got == {"known": (1, "fail"), "cast": (None, "error"), "positive": (1, "fail"), "few": (1, "fail"), "ids": (0, "pass")}
+    failed = stored_failures({"t": df}, [c for c in checks if c.name != "cast"]).collect()
+    assert sorted((r["t"] or "", r["n_rows"], r["failed_checks"]) for r in failed) == [("", 3, ["few"]), ("3", None, ["known"]), ("4", None, ["positive"])]

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -148,21 +147,21 @@ class Check:
 SUMMARY = "table string, check string, failures bigint, status string"
 
 
-def _scan_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Failure counts of all row-level and row-count checks of one table in a single pass."""
-    counts = []
-    for i, check in enumerate(checks):
-        if check.kind == "row_count":
-            n = (~F.count(F.lit(1)).between(check.low, check.high)).cast("bigint")
-        else:
-            n = F.count_if(check.failed_row())
-        counts.append(n.alias(f"c{i}"))
-    rows = [
-        F.struct(F.lit(c.table).alias("table"), F.lit(c.name).alias("check"), F.col(f"c{i}").alias("failures"),
-                 F.lit(c.severity).alias("severity"))
-        for i, c in enumerate(checks)
-    ]
-    return df.agg(*counts).select(F.inline(F.array(*rows)))
+def _count(check: Check) -> Column:
+    """Failures of a check that one pass over its table can count."""
+    if check.kind == "row_count":
+        return (~F.count(F.lit(1)).between(check.low, check.high)).cast("bigint")
+    return F.count_if(check.failed_row())
+
+
+def _failures(tables: Mapping[str, DataFrame], table: str, checks: Sequence[Check]) -> list[int | None]:
+    """Failure counts in one pass over a table; when it breaks off, check by check, None for those that break off."""
+    try:
+        return list(tables[table].agg(*[_count(c).alias(f"c{i}") for i, c in enumerate(checks)]).first())
+    except Exception:  # noqa: BLE001  whatever ends a job is the check's result
+        if len(checks) == 1:
+            return [None]
+        return [_failures(tables, table, [c])[0] for c in checks]
 
 
 def run_checks(
@@ -170,30 +169,38 @@ def run_checks(
 ) -> DataFrame:
     """Summary of a suite, one row per check: failures and pass, warn, fail or error.
 
-    A failing check never stops the others; one that cannot even be analysed (an absent table or
-    column) is reported as error.
+    A check never stops the others: one that cannot be analysed (an absent table or column) or that fails
+    while it runs (a bad cast) is reported as error, with no count. The row-level checks of a table share one pass.
     """
-    parts, broken, by_table = [], [], {}
-    for check in checks:
-        try:
-            if check.missing(tables):
-                raise KeyError(check.name)
-            rows = check.failing_rows(tables)
-        except (AnalysisException, KeyError):
-            broken.append((check.table, check.name, None, "error"))
-            continue
-        if check.kind in ("unique", "relationships"):
-            parts.append(
-                rows.agg(F.count(F.lit(1)).alias("failures")).select(
-                    F.lit(check.table).alias("table"), F.lit(check.name).alias("check"), "failures",
-                    F.lit(check.severity).alias("severity"),
-                )
-            )
+    found: dict[int, int | None] = {}
+    scans: dict[str, list[int]] = {}
+    for i, check in enumerate(checks):
+        if check.missing(tables):
+            found[i] = None
+        elif check.kind in ("unique", "relationships"):
+            try:
+                found[i] = check.failing_rows(tables).count()
+            except Exception:  # noqa: BLE001
+                found[i] = None
         else:
-            by_table.setdefault(check.table, []).append(check)
-    parts += [_scan_counts(tables[table], group) for table, group in by_table.items()]
-    status = F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.col("severity"))
-    results = [p.select("table", "check", "failures", status.alias("status")) for p in parts]
-    if broken or not results:
-        results.append(spark.createDataFrame(broken, SUMMARY))
-    return reduce(DataFrame.unionByName, results)
+            scans.setdefault(check.table, []).append(i)
+    for table, numbers in scans.items():
+        found |= dict(zip(numbers, _failures(tables, table, [checks[i] for i in numbers]), strict=True))
+    status = lambda n, c: "error" if n is None else "pass" if n == 0 else c.severity
+    rows = [(c.table, c.name, found[i], status(found[i], c)) for i, c in enumerate(checks)]
+    return spark.createDataFrame(rows, SUMMARY)
+
+
+def stored_failures(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """The rows of one table that fail any of its ``checks``, in one pass, with the names of those they fail.
+
+    Checks of more than one row (unique keys, missing parents, row counts) add their own rows.
+    """
+    single = [c for c in checks if c.failed_row() is not None]
+    parts = [
+        c.failing_rows(tables).withColumn("failed_checks", F.array(F.lit(c.name))) for c in checks if c.failed_row() is None
+    ]
+    if single:
+        names = F.array_compact(F.array(*[F.when(c.failed_row(), c.name) for c in single]))
+        parts.insert(0, tables[single[0].table].withColumn("failed_checks", names).filter(F.size("failed_checks") > 0))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
