@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierwise.functions.cleaning import (
@@ -102,9 +104,9 @@ def median_and_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     spread = lines.groupBy("l_returnflag").agg(
         F.round(F.stddev_samp("l_quantity"), 4).alias("quantity_stddev")
     )
-    return spread.join(medians, "l_returnflag", "left").withColumn(
-        "median_price", F.round("median_price", 3)
-    )
+    named = medians.withColumnRenamed("l_returnflag", "_flag")
+    joined = spread.join(named, F.col("l_returnflag").eqNullSafe(F.col("_flag")), "left").drop("_flag")
+    return joined.withColumn("median_price", F.round("median_price", 3))
 
 
 @query(
@@ -201,7 +203,7 @@ def order_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
        dayofweek(d) IN (0, 6) AS is_weekend, dayofweek(d) NOT IN (0, 6) AS is_weekday,
        {season_sql("d")} AS release_season,
        year(d) AS fiscal_year, quarter(d) AS fiscal_quarter, count(o_orderkey) AS n_orders
-FROM (SELECT unnest(range((SELECT min(o_orderdate) FROM orders), (SELECT max(o_orderdate) FROM orders),
+FROM (SELECT unnest(range((SELECT min(o_orderdate) FROM orders), (SELECT max(o_orderdate) FROM orders) + INTERVAL 1 DAY,
                           INTERVAL 1 DAY)) AS d)
 LEFT JOIN orders ON CAST(o_orderdate AS DATE) = CAST(d AS DATE) GROUP BY d"""
 )
@@ -210,7 +212,7 @@ def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("full_date"))
     span = orders.agg(F.min("full_date").alias("a"), F.max("full_date").alias("b")).first()
     daily = orders.groupBy("full_date").agg(F.count(F.lit(1)).alias("n_orders"))
-    calendar = date_dimension(spark, span["a"], span["b"])
+    calendar = date_dimension(spark, span["a"], span["b"] + dt.timedelta(days=1))
     return calendar.join(daily, "full_date", "left").fillna(0, ["n_orders"])
 
 
@@ -270,8 +272,8 @@ FROM lineitem GROUP BY 1"""
 def supplier_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scaled sums and a recent-years count per supplier."""
     lines = read(spark, sf_dir, "lineitem")
-    newest = lines.agg(F.year(F.max("l_shipdate")).alias("y")).first()["y"]
-    return lines.groupBy("l_suppkey").agg(
+    newest = lines.agg(F.year(F.max("l_shipdate")).alias("newest"))
+    return lines.join(F.broadcast(newest)).groupBy("l_suppkey").agg(
         F.round(decimal_sum(F.col("l_extendedprice"), "decimal(18,6)") / 1000, 2).alias("revenue_thousands"),
-        F.count_if(F.year("l_shipdate") >= newest - 2).alias("lines_last_years"),
+        F.count_if(F.year("l_shipdate") >= F.col("newest") - 2).alias("lines_last_years"),
     )

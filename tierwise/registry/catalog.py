@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tierwise.functions.dates import SEASON_MONTHS
 from tierwise.sources.shared_folder import scratch_path
 from tierwise.sources.tables import TableStore
 
@@ -61,10 +60,12 @@ def stamp(expression: str) -> str:
 
 
 def season_sql(date: str) -> str:
-    """SQL for the season of a date, as an entry of the list of twelve months."""
-    by_month = {month: season for season, months in SEASON_MONTHS.items() for month in months}
-    listed = ", ".join(f"'{by_month[month]}'" for month in range(1, 13))
-    return f"([{listed}])[month({date})]"
+    """SQL for the season of a date. The release windows by calendar month."""
+    return (
+        f"CASE month({date}) WHEN 1 THEN 'WINTER' WHEN 2 THEN 'WINTER' WHEN 3 THEN 'WINTER' WHEN 4 THEN 'SPRING' "
+        "WHEN 5 THEN 'SPRING' WHEN 6 THEN 'SUMMER' WHEN 7 THEN 'SUMMER' WHEN 8 THEN 'SUMMER' WHEN 9 THEN 'FALL' "
+        "WHEN 10 THEN 'FALL' WHEN 11 THEN 'HOLIDAY' WHEN 12 THEN 'HOLIDAY' END"
+    )
 
 
 def half_up(number: str, divisor: str, places: int) -> str:

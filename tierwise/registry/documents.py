@@ -68,6 +68,11 @@ def _document(suppliers: int, added_revenue: int) -> str:
     return f"""to_json(named_struct(
       'id', k + 1,
       'title', CASE WHEN k % 97 = 0 THEN '' ELSE concat('  ', p_name, ' ', k, ' ') END,
+      'original_title', p_name,
+      'tagline', CASE WHEN k % 3 = 0 THEN '' ELSE concat(' Tag ', k) END,
+      'overview', concat(p_type, ' of size ', p_size),
+      'homepage', CASE WHEN k % 4 = 0 THEN concat('https://movies.example.org/', k) END,
+      'imdb_id', concat('tt', lpad(CAST(k AS STRING), 7, '0')),
       'release_date', CASE WHEN k % 41 = 0 THEN '' WHEN k % 53 = 0 THEN '2023-02-30'
           ELSE CAST(date_add(DATE '1980-01-01', CAST(k * 37 % 16800 AS INT)) AS STRING) END,
       'budget', budget,
@@ -88,11 +93,11 @@ def _document(suppliers: int, added_revenue: int) -> str:
 def document_lines(spark: SparkSession, sf_dir: str, resent: bool = False) -> DataFrame:
     """One line of JSON per part; ``resent`` gives the second batch."""
     suppliers = read(spark, sf_dir, "supplier").count()
-    part = read(spark, sf_dir, "part").selectExpr("p_partkey AS k", "p_name", "p_size", "p_retailprice")
+    part = read(spark, sf_dir, "part").selectExpr("p_partkey AS k", "p_name", "p_type", "p_size", "p_retailprice")
     if resent:
         part = part.filter("p_size >= 46")
     # Building and parsing documents is the work here; a small table would otherwise be one task.
-    part = part.repartition(spark.sparkContext.defaultParallelism, "k")
+    part = part.repartition("k")
     document = _document(suppliers, 1000000 if resent else 0)
     return part.selectExpr("*", f"{_BUDGET} AS budget").selectExpr(f"{document} AS value")
 
@@ -148,18 +153,13 @@ class Movies:
             self.fact = cut_lineage(self.fact)
 
 
-def _case(labels: dict, column: str, default: str) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in labels.items())
-    return f"CASE {column} {whens} ELSE '{default}' END"
-
-
 _TITLE = "CASE WHEN k % 97 = 0 THEN '' ELSE '  ' || p_name || ' ' || k || ' ' END"
 _ROI6 = half_up("revenue_usd - budget_usd", "budget_usd", 6)
 
 # The raw documents of both batches, already typed.
 RAW_SQL = f"""
 part_rows AS (
-  SELECT p_partkey AS k, p_name, p_size, p_retailprice, {_BUDGET} AS budget FROM part
+  SELECT p_partkey AS k, p_name, p_type, p_size, p_retailprice, {_BUDGET} AS budget FROM part
 ),
 documents_sent AS (
   SELECT *, CASE WHEN (k + 1) % 59 = 0 AND budget > 0 THEN budget
@@ -183,7 +183,10 @@ bronze AS (
 # Typed movies; amounts are whole numbers.
 SILVER_SQL = f"""
 silver_typed AS (
-  SELECT movie_id, nullif(trim({_TITLE}), '') AS title,
+  SELECT movie_id, nullif(trim({_TITLE}), '') AS title, nullif(trim(p_name), '') AS original_title,
+    CASE WHEN k % 3 <> 0 THEN 'Tag ' || k END AS tagline, p_type || ' of size ' || p_size AS overview,
+    CASE WHEN k % 4 = 0 THEN 'https://movies.example.org/' || k END AS homepage,
+    'tt' || CASE WHEN k < 10000000 THEN right('0000000' || k, 7) ELSE left(CAST(k AS VARCHAR), 7) END AS imdb_id,
     CASE WHEN k % 19 = 0 THEN 'Rumored' WHEN k % 23 <> 0 THEN 'Released' END AS status,
     CASE WHEN p_size <= 25 THEN 'en' ELSE 'fr' END AS original_language,
     CASE WHEN k % 41 <> 0 AND k % 53 <> 0
@@ -232,28 +235,37 @@ movie_companies AS (
 companies AS (
   SELECT * FROM (
     SELECT company_id, company_name, origin_country, ingested_at,
-           row_number() OVER (PARTITION BY company_id ORDER BY ingested_at DESC, movie_id DESC) AS rn
+           row_number() OVER (PARTITION BY company_id ORDER BY ingested_at DESC, movie_id DESC, company_position) AS rn
     FROM movie_companies) WHERE rn = 1
 )"""
 
 BLOCKBUSTERS = "('ACTION', 'ADVENTURE', 'SCIENCE FICTION', 'FANTASY', 'ANIMATION')"
 
 
-def dimensions_sql() -> str:
-    from tierwise.plans.reference_data import GENRE_GROUPS, REGIONS
-
-    return f"""
+# Genre groups, regions and studio tiers.
+DIMENSIONS_SQL = f"""
 dim_genres AS (
   SELECT md5(CAST(genre_id AS VARCHAR)) AS genre_sk, genre_id, genre_name,
-         {_case(GENRE_GROUPS, "genre_name", "OTHER")} AS genre_group,
+         CASE WHEN genre_name IN ('ACTION', 'ADVENTURE', 'THRILLER') THEN 'HIGH_OCTANE'
+              WHEN genre_name IN ('DRAMA', 'ROMANCE', 'HISTORY') THEN 'NARRATIVE'
+              WHEN genre_name IN ('COMEDY', 'FAMILY', 'ANIMATION') THEN 'LIGHT'
+              WHEN genre_name IN ('HORROR', 'SCIENCE FICTION', 'FANTASY', 'MYSTERY', 'CRIME') THEN 'NICHE'
+              WHEN genre_name IN ('DOCUMENTARY', 'MUSIC', 'WESTERN') THEN 'ARTS' ELSE 'OTHER' END AS genre_group,
          genre_name IN {BLOCKBUSTERS} AS is_blockbuster_genre
   FROM (SELECT DISTINCT genre_id, upper(genre_name_raw) AS genre_name FROM movie_genres)
 ),
 dim_companies AS (
   SELECT md5(CAST(company_id AS VARCHAR)) AS company_sk, company_id, company_name,
          coalesce(origin_country, 'UNKNOWN') AS origin_country,
-         {_case(REGIONS, "origin_country", "OTHER")} AS region,
-         {_case(STUDIO_TIERS, "company_name", "UNKNOWN")} AS studio_tier
+         CASE WHEN origin_country IN ('US', 'CA', 'MX') THEN 'NORTH_AMERICA'
+              WHEN origin_country IN ('GB', 'FR', 'DE', 'IT', 'ES') THEN 'EUROPE'
+              WHEN origin_country IN ('JP', 'CN', 'KR', 'IN', 'AU') THEN 'ASIA_PACIFIC' ELSE 'OTHER' END AS region,
+         CASE WHEN company_name IN ('Universal Pictures', 'Paramount Pictures', 'Warner Bros. Pictures',
+                'Columbia Pictures', 'Walt Disney Pictures', '20th Century Fox', '20th Century Studios',
+                'New Line Cinema', 'Metro-Goldwyn-Mayer', 'DreamWorks Pictures') THEN 'MAJOR_STUDIO'
+              WHEN company_name IN ('Lionsgate', 'Focus Features', 'Miramax') THEN 'MINI_MAJOR'
+              WHEN company_name IN ('A24', 'Blumhouse Productions', 'Bad Robot') THEN 'INDIE'
+              ELSE 'UNKNOWN' END AS studio_tier
   FROM companies
 )"""
 
@@ -265,7 +277,7 @@ fact AS (
          THEN CAST(strftime(release_date, '%Y%m%d') AS BIGINT) ELSE -1 END AS date_sk,
     coalesce(g.genre_sk, 'UNKNOWN') AS genre_sk, coalesce(c.company_sk, 'UNKNOWN') AS company_sk,
     m.movie_id, pg.genre_id AS primary_genre_id, pc.company_id AS primary_company_id, title,
-    original_language, status, release_year, release_month, release_season, budget_usd, revenue_usd,
+    original_language, status, release_year, release_month, release_season, imdb_id, budget_usd, revenue_usd,
     profit_usd, roi_pct, runtime_minutes, popularity_score, vote_average, vote_count,
     CASE WHEN revenue_usd > budget_usd THEN 'PROFITABLE' WHEN revenue_usd = budget_usd THEN 'BREAK_EVEN'
          WHEN revenue_usd < budget_usd THEN 'LOSS' ELSE 'UNKNOWN' END AS profitability_flag,
@@ -292,4 +304,4 @@ def movie_sql(select: str) -> str:
 
 def star_sql(select: str, *more: str) -> str:
     """A select over all tables up to the fact, and ``more`` common tables."""
-    return with_sql(select, RAW_SQL, SILVER_SQL, CHILDREN_SQL, dimensions_sql(), FACT_SQL, *more)
+    return with_sql(select, RAW_SQL, SILVER_SQL, CHILDREN_SQL, DIMENSIONS_SQL, FACT_SQL, *more)

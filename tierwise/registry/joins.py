@@ -39,7 +39,7 @@ FROM (SELECT *, l_extendedprice / l_quantity AS unit FROM lineitem) l
 LEFT JOIN bands ON unit >= lo AND (unit < hi OR hi IS NULL)"""
 )
 def unit_price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A range join whose intervals grow with the data: cells turn it into an equi join."""
+    """A range join whose intervals grow with the data: rows and lower bounds are sorted together."""
     prices = read(spark, sf_dir, "part").groupBy("p_retailprice").agg(F.min("p_partkey").alias("p_partkey"))
     order = (Key("p_retailprice"),)
     ranked = prices.join(global_ranks(prices, ["p_partkey"], [Rank("n", "row_number", order)]), "p_partkey")
@@ -48,10 +48,7 @@ def unit_price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit")
     )
-    return range_lookup(
-        lines, "unit", bands, "p_retailprice", "high", {"band": "p_partkey"}, cell=10.0,
-        max_intervals=0, spread_by=["l_orderkey"],
-    )
+    return range_lookup(lines, "unit", bands, "p_retailprice", "high", {"band": "p_partkey"}, max_intervals=0)
 
 
 @query(
@@ -78,16 +75,15 @@ def unmatched_to_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT n_name, coalesce(customers, 0) AS customers, avg_balance
-FROM nation LEFT JOIN (SELECT c_nationkey, count(*) AS customers, """
+FROM nation LEFT JOIN (SELECT c_nationkey, count(*) FILTER (WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 9000) AS customers, """
     + mean6("c_acctbal", 2)
-    + """ AS avg_balance FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 9000 GROUP BY 1)
-ON n_nationkey = c_nationkey"""
+    + """ AS avg_balance FROM customer GROUP BY 1) ON n_nationkey = c_nationkey"""
 )
 def nations_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every nation appears, with or without such customers; counted before the join."""
-    customers = read(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING' AND c_acctbal > 9000")
-    stats = customers.groupBy("c_nationkey").agg(
-        F.count(F.lit(1)).alias("customers"),
+    """Every nation appears, with the number of its rich builders, none or many; counted before the join."""
+    rich_builder = (F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") > 9000)
+    stats = read(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
+        F.count_if(rich_builder).alias("customers"),
         rounded_mean(F.col("c_acctbal"), 2, dtype="decimal(18,6)").alias("avg_balance"),
     )
     nations = read(spark, sf_dir, "nation")

@@ -44,10 +44,15 @@ def primary_child(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)"""
 )
 def events_of_latest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that go with the newest row: a top-1 and a join on its value."""
-    events = read(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date"))
-    newest = latest_row(events, "ts", ["event_id"]).select("day")
-    return events.join(newest, "day", "left_semi").select("event_id", "ts", "event_type")
+    """Rows that go with the newest row: its day as bounds that reach the scan."""
+    events = read(spark, sf_dir, "events")
+    newest = latest_row(events.select("ts", "event_id"), "ts", ["event_id"])
+    bounds = newest.select(F.date_trunc("day", "ts").cast("string").alias("a"), (F.date_trunc("day", "ts") + F.expr("INTERVAL 1 DAY")).cast("string").alias("b")).first()
+    ts, kind = F.col("ts"), events.schema["ts"].dataType
+    if bounds is None:
+        return events.select("event_id", "ts", "event_type")
+    of_day = (ts >= F.lit(bounds["a"]).cast(kind)) & (ts < F.lit(bounds["b"]).cast(kind))
+    return events.filter(of_day).select("event_id", "ts", "event_type")
 
 
 _PRICE = (Key("o_totalprice", descending=True, nulls_last=True),)
