@@ -142,18 +142,23 @@ def test_snapshot_life_cycle(spark, rows):
     assert rows(kept.filter("k = 3"), "valid_to") == [(None,)]
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_lookup_salted_equals_unsalted(spark, rows, monkeypatch, limit):
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", limit)
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_lookup_with_nulls_apart_equals_the_plain_one(spark, rows, threshold):
     facts = spark.createDataFrame(
         [(i, None if i % 3 == 0 else (7 if i % 3 == 1 else i)) for i in range(60)], "id int, k int"
     )
-    dim = spark.createDataFrame([(7, "seven"), (8, "eight")], "key int, name string")
+    dim = spark.createDataFrame([(7, "seven"), (8, "eight"), (None, "none")], "key int, name string")
     args = (facts, dim, {"k": "key"}, {"label": "name"}, {"label": "UNKNOWN"})
-    plain = rows(joins.lookup(*args))
-    salted = joins.lookup(*args, spread_by=["id"], spread=5)
-    assert plain == rows(salted)
-    assert ("SortMergeJoin" if limit == 0 else "BroadcastHashJoin") in plan(salted)
+    default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        plain = rows(joins.lookup(*args))
+        apart = joins.lookup(*args, spread_by=["id"])
+        assert plain == rows(apart)
+        # The dimension is never copied, whatever its size.
+        assert "explode" not in plan(apart).lower()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
     assert len(plain) == 60 and sum(r[2] == "seven" for r in plain) == 20
 
 
@@ -168,15 +173,29 @@ def test_range_lookup_boundaries(spark, rows):
         (-1, None), (0, "LOW"), (9, "LOW"), (10, "MID"), (99, "MID"), (100, "TOP"), (5000, "TOP"), (None, None),
     ]
     assert rows(joins.range_lookup(*args)) == expected
-    assert rows(joins.range_lookup(*args, cell=7.0, max_intervals=0)) == expected
-    assert rows(joins.range_lookup(*args, cell=7.0, max_intervals=0, spread_by=["v"])) == expected
-    with pytest.raises(ValueError, match="cell"):
-        joins.range_lookup(*args, max_intervals=2)
+    assert rows(joins.range_lookup(*args, max_intervals=0)) == expected
+    overlapping = tiers.unionByName(spark.createDataFrame([("ODD", 50, 60)], tiers.schema))
+    with pytest.raises(ValueError, match="overlap"):
+        joins.range_lookup(values, "v", overlapping, "lo", "hi", {"tier": "tier"}, max_intervals=0)
+
+
+def test_range_lookup_with_many_intervals_gaps_and_outliers(spark):
+    tiers = spark.range(1500).select((F.col("id") * 10).alias("lo"), (F.col("id") * 10 + 7).alias("hi"), F.col("id").alias("tier"))
+    tiers = tiers.withColumn("hi", F.when(F.col("tier") < 1499, F.col("hi")))
+    values = spark.range(20_000).select((F.col("id") - 5).alias("v")).unionAll(spark.createDataFrame([(10**12,), (None,), (-(10**12),)], "v long"))
+    hot = spark.range(5_000).select(F.lit(42).cast("long").alias("v"))
+    got = joins.range_lookup(values.unionAll(hot), "v", tiers, "lo", "hi", {"tier": "tier"}).collect()
+    assert len(got) == 25_003
+
+    def tier(v):
+        if v is None or v < 0:
+            return None
+        return 1499 if v >= 14990 else v // 10 if v % 10 < 7 else None
+
+    assert all(r.tier == tier(r.v) for r in got)
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_point_in_time_meets_one_version_on_a_boundary(spark, rows, monkeypatch, limit):
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", limit)
+def test_point_in_time_meets_one_version_on_a_boundary(spark, rows):
     current = spark.createDataFrame([(1, "a")], "k int, v string")
     versions = history.snapshot(None, current, "k", ["v"], F.lit(DAY[0]))
     versions = history.snapshot(versions, current.withColumn("v", F.lit("b")), "k", ["v"], F.lit(DAY[2]))
@@ -249,7 +268,7 @@ def test_group_medians_equal_builtin(spark, rows, monkeypatch, margin, accuracy)
     data += [(400 + i, "hot", 5 if i % 3 else i) for i in range(60)]
     data += [(500, "pair", 1), (501, "pair", 4), (502, "single", 9), (999, "empty", None), (998, None, 1)]
     df = spark.createDataFrame(data, "id int, g string, v bigint")
-    expected = rows(df.groupBy("g").agg(F.median("v")).filter("g is not null"))
+    expected = rows(df.groupBy("g").agg(F.median("v")))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         assert rows(group_medians(df, ["g"], ["v"], ["id"])) == expected
@@ -269,3 +288,71 @@ def test_calendar_end_is_exclusive(spark, rows):
     first = calendar.filter("date_sk = 20230101").first()
     assert (first["day_of_week"], first["week_of_year"], first["is_weekend"], first["is_weekday"]) == (0, 52, True, False)
     assert (first["month_name"], first["month_name_short"], first["day_name"]) == ("January", "Jan", "Sunday")
+
+
+def test_newest_row_does_not_depend_on_the_order_of_the_input(spark, rows):
+    from tierwise.functions.keys import document_hash
+    from tierwise.plans import bronze, silver
+
+    lines = [
+        '{"id": 1, "title": "a", "production_companies": [{"id": 9, "name": "One"}, {"id": 9, "name": "Two"}]}',
+        '{"id": 1, "title": "b", "production_companies": [{"id": 9, "name": "Three"}]}',
+    ]
+    picks = set()
+    for order in (lines, lines[::-1]):
+        df = spark.createDataFrame([(1, x, "u", DAY[0], "batch") for x in order], "movie_id bigint, t string, source_url string, ingested_at timestamp_ntz, batch_id string")
+        raw = df.coalesce(1).withColumn("raw_data", F.parse_json("t")).drop("t")
+        from tierwise.sources.documents import land_upsert
+
+        newest = bronze.bronze_movies_raw(raw)
+        companies = silver.silver_production_companies(newest, F.lit(DAY[0]))
+        landed = land_upsert(None, raw).select(document_hash(F.col("raw_data")))
+        picks.add((rows(newest, "row_hash")[0], rows(companies, "company_name")[0], rows(landed)[0]))
+    assert len(picks) == 1
+    twice = spark.createDataFrame([(1, lines[0], "u", DAY[0], "batch")], "movie_id bigint, t string, source_url string, ingested_at timestamp_ntz, batch_id string")
+    companies = silver.silver_production_companies(bronze.bronze_movies_raw(twice.withColumn("raw_data", F.parse_json("t")).drop("t")), F.lit(DAY[0]))
+    assert rows(companies, "company_name") == [("One",)]
+
+
+def test_new_columns_are_kept_and_lost_ones_refused(spark, rows):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(2, "B", 5)], "k int, v string, extra int")
+    assert rows(merge.merge_upsert(old, new, ["k"])) == [(1, "a", None), (2, "B", 5)]
+    assert rows(merge.replace_children(old, new, ["k"])) == [(1, "a", None), (2, "B", 5)]
+    with pytest.raises(ValueError, match="lack"):
+        merge.merge_upsert(new, old, ["k"])
+    table = history.snapshot(None, old, "k", ["v"], F.lit(DAY[0]))
+    table = history.snapshot(table, new, "k", ["v"], F.lit(DAY[1]))
+    assert rows(table, "k", "v", "extra") == [(1, "a", None), (2, "B", 5), (2, "b", None)]
+
+
+def test_second_snapshot_at_one_moment_changes_the_version(spark, rows):
+    states = [spark.createDataFrame([(1, v)], "k int, v string") for v in "abc"]
+    table = history.snapshot(None, states[0], "k", ["v"], F.lit(DAY[0]))
+    for state in states[1:]:
+        table = history.snapshot(table, state, "k", ["v"], F.lit(DAY[1]))
+    assert rows(table, "v", F.dayofmonth("valid_from"), F.dayofmonth("valid_to")) == [("a", 1, 2), ("c", 2, None)]
+    assert table.select("scd_id").distinct().count() == 2
+
+
+def test_incremental_aggregates_rebuild_whole_groups(spark, rows):
+    source = spark.createDataFrame([(k, DAY[d]) for k, d in ((1, 0), (1, 3), (2, 0))], "k int, t timestamp_ntz")
+    build = lambda df: df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("t"))
+    target = build(source.filter(F.col("t") < DAY[1]))
+    fresh = merge.incremental(build, source, "t", target, "t", ["k"], lookback_days=0, group_by=["k"])
+    assert rows(fresh, "k", "n") == [(1, 2), (2, 1)]
+
+
+def test_median_of_the_null_group(spark, rows):
+    data = spark.createDataFrame([(g, i, float(v)) for i, (g, v) in enumerate([("a", 1), ("a", 3), (None, 5), (None, 9), (None, 7)])], "g string, i int, v double")
+    from tierwise.operators.ranking import group_medians
+
+    assert rows(group_medians(data, ["g"], ["v"], ["i"]), "g", "v") == [("a", 2.0), (None, 7.0)]
+
+
+def test_return_on_a_tiny_cost_does_not_overflow(spark):
+    from tierwise.functions.measures import PERCENT, return_pct, rounded_mean
+
+    huge = spark.createDataFrame([(1, 5 * 10**10), (1, 10**12)], "cost bigint, revenue bigint")
+    mean = huge.select(return_pct(F.col("revenue"), F.col("cost")).alias("r")).agg(rounded_mean(F.col("r"), 2, dtype=PERCENT)).first()[0]
+    assert float(mean) == pytest.approx(5.25e13, rel=1e-6)

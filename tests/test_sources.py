@@ -5,10 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierwise.functions.cleaning import variant_field
-from tierwise.operators.audit import RunLog, load_window, models_of_latest_run, require_rows, table_counts
+from tierwise.operators.audit import RunLog, load_window, models_of_latest_run, require_rows, run_log, table_counts
+from tierwise.operators.merge import merge_upsert
 from tierwise.sources import documents, seeds
 from tierwise.sources.shared_folder import scratch_path, shared_folder
-from tierwise.sources.tables import namespace
+from tierwise.sources.tables import Conflict, TableStore, namespace
 from tierwise.streaming.upsert import upsert_stream
 
 LINES = [
@@ -46,6 +47,16 @@ def test_array_files(spark, rows, tmp_path):
     assert [r[0] for r in rows(landed, "movie_id")] == [1, 2, 3] and rejects.isEmpty()
 
 
+def test_bad_array_files_are_rejected(spark, rows, tmp_path):
+    for name, text in (("a.json", '[{"id": 1}, {"x": 2}, 5]'), ("b.json", '[{"id": 2'), ("c.json", '{"id": 3, "deep": {"id": 4}}'), ("d.json", "[]"), ("e.json", "")):
+        (tmp_path / name).write_text(text)
+    landed, rejects = documents.parse_documents(documents.read_array_files(spark, str(tmp_path)))
+    assert [r[0] for r in rows(landed, "movie_id")] == [1]
+    got = rows(rejects)
+    assert [r[1] for r in got].count("malformed") == 1 and len(got) == 4
+    assert any("no array" in r[0] and '"id": 3' in r[0].replace("\\", "") for r in got)
+
+
 def test_land_upsert_and_snapshot(spark, rows):
     def batch(pairs, day):
         lines = spark.createDataFrame([(json.dumps({"id": i, "v": v}),) for i, v in pairs], "value string")
@@ -140,10 +151,12 @@ def test_run_log(spark, store, rows):
     failed.model("b", "GOLD", NOW, "error")
     failed.finish(NOW + dt.timedelta(hours=2))
     columns = ["run_status", "models_total", "models_completed", "models_errored"]
-    assert rows(store.read(None, "dbt_run_log"), *columns) == [("FAILED", 1, 0, 1), ("SUCCESS", 3, 2, 0)]
+    assert rows(run_log(store), *columns) == [("FAILED", 1, 0, 1), ("SUCCESS", 3, 2, 0)]
+    # The log only grows: two events a run.
+    assert store.read(None, "dbt_run_log").count() == 4
     models = store.read(None, "dbt_model_log")
     assert rows(models, "model_name", "model_schema") == [("b", "GOLD")]
-    assert models_of_latest_run(store.read(None, "dbt_run_log"), models).isEmpty()
+    assert models_of_latest_run(run_log(store), models).isEmpty()
 
 
 def test_counts_and_load_window(spark, rows):
@@ -154,6 +167,65 @@ def test_counts_and_load_window(spark, rows):
         require_rows(df.limit(0), "raw")
 
 
+def test_a_table_outlives_its_session(spark, store, rows):
+    store.append(spark.range(3), "GOLD", "t")
+    # Another session, or another cluster, knows the root folder only.
+    for name in (store.name("GOLD", "t"),):
+        spark.sql(f"DROP TABLE {name}")
+    later = TableStore(spark.newSession(), store.root, prefix=store.prefix)
+    assert later.exists("GOLD", "t")
+    assert later.append(spark.range(10, 12), "GOLD", "t") == 2
+    assert rows(later.read("GOLD", "t")) == [(0,), (1,), (2,), (10,), (11,)]
+    assert rows(store.read("GOLD", "t")) == [(0,), (1,), (2,), (10,), (11,)]
+    assert spark.sql(f"select sum(id) from {store.name('GOLD', 't')}").first()[0] == 24
+
+
+def test_data_without_a_state_is_not_started_over(spark, store):
+    spark.range(1).write.parquet(f"{store.folder('GOLD', 't')}/data-1")
+    with pytest.raises(ValueError, match="refusing"):
+        store.append(spark.range(1), "GOLD", "t")
+
+
+def test_a_half_written_state_does_not_count(spark, store, tmp_path):
+    store.replace(spark.range(2), "GOLD", "t")
+    (tmp_path / store.database("GOLD") / "t" / "states" / "000000000001").write_text('{"parts": [')
+    assert store.read("GOLD", "t").count() == 2
+
+
+def test_of_two_writers_one_is_refused_and_appends_go_on(spark, store, rows, monkeypatch):
+    store.replace(spark.range(1), "GOLD", "t")
+    first, other = store.state("GOLD", "t"), TableStore(spark, store.root, prefix=store.prefix)
+    other.append(spark.range(5, 6), "GOLD", "t")
+    stale, real = [first], store.state
+    monkeypatch.setattr(store, "state", lambda *a: stale.pop() if stale else real(*a))
+    with pytest.raises(Conflict):
+        store.replace(spark.range(9), "GOLD", "t")
+    stale.append(first)
+    assert store.append(spark.range(7, 8), "GOLD", "t") == 1
+    assert rows(store.read("GOLD", "t")) == [(0,), (5,), (7,)]
+
+
+def test_an_update_touches_only_the_buckets_of_its_keys(spark, store, rows):
+    table = spark.range(200).select("id", F.lit("old").alias("v"))
+    store.replace(table, "GOLD", "t", ["id"], buckets=8)
+    before = dict(store.state("GOLD", "t").parts)
+    assert len(before) == 8
+    new = spark.createDataFrame([(3, "new", 1), (1000, "new", 2)], "id long, v string, extra int")
+    written = store.update(new, lambda past: merge_upsert(past, new, ["id"]), "GOLD", "t")
+    after = dict(store.state("GOLD", "t").parts)
+    changed = {b for b in before if before[b] != after[b]}
+    assert 1 <= len(changed) <= 2 and 2 <= written < 120
+    got = store.read("GOLD", "t")
+    assert got.count() == 201 and rows(got.filter("v = 'new'")) == [(3, "new", 1), (1000, "new", 2)]
+    assert spark.sql(f"select count(*) from {store.name('GOLD', 't')} where extra is null").first()[0] == 199
+    gone = spark.createDataFrame([(3,)], "id long")
+    store.update(gone, lambda past: past.join(gone, "id", "left_anti"), "GOLD", "t")
+    assert store.append(spark.createDataFrame([(3, "again", None)], "id long, v string, extra int"), "GOLD", "t") == 1
+    assert rows(store.read("GOLD", "t").filter("id = 3"), "v") == [("again",)]
+    with pytest.raises(ValueError, match="lack"):
+        store.append(gone, "GOLD", "t")
+
+
 def test_stream_upsert_keeps_the_newest_over_several_runs(spark, store, rows, tmp_path):
     folder, schema = str(tmp_path / "in"), "k int, t int, v string"
 

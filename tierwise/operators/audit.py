@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from tierwise.operators.merge import merge_upsert
+from tierwise.operators.dedup import keep_latest
 from tierwise.sources.tables import TableStore
 
 RUN_LOG = (
@@ -48,15 +48,16 @@ def require_rows(df: DataFrame, name: str) -> None:
 
 
 class RunLog:
-    """One row per run, from RUNNING to SUCCESS or FAILED, and one row per model built.
+    """Events of a run, RUNNING and then SUCCESS or FAILED, and one row per model built.
 
-    Both tables grow by a few rows per run; they hold no data rows.
+    Both tables are only appended to, so runs side by side lose nothing; :func:`run_log` gives the state of each run.
     """
 
     def __init__(self, store: TableStore, layer: str | None = None, run_by: str = "spark"):
         self.store, self.layer, self.run_by = store, layer, run_by
         self.invocation_id = str(uuid.uuid4())
         self.statuses: list[str] = []
+        self.built: list[tuple] = []
         self.started: tuple | None = None
 
     def _frame(self, rows: list[tuple], schema: str) -> DataFrame:
@@ -70,14 +71,13 @@ class RunLog:
     def model(
         self, name: str, schema: str, at: dt.datetime, status: str = "success", listed: bool = True
     ) -> None:
-        """Count a model's result; successful ones get a row unless not ``listed``."""
+        """Count a model's result; successful ones get a row at the end unless not ``listed``."""
         self.statuses.append(status)
         if listed and status in ("success", "pass"):
-            row = (self.invocation_id, name, schema, self.store.root, at, self.store.environment)
-            self.store.append(self._frame([row], MODEL_LOG), self.layer, "dbt_model_log")
+            self.built.append((self.invocation_id, name, schema, self.store.root, at, self.store.environment))
 
     def finish(self, at: dt.datetime) -> None:
-        """Close the run; any status but success, pass, error and fail counts as neither."""
+        """Log the end of the run; any status but success, pass, error and fail counts as neither."""
         done = sum(s in ("success", "pass") for s in self.statuses)
         errors = sum(s in ("error", "fail") for s in self.statuses)
         begun, models, arguments = self.started
@@ -86,9 +86,14 @@ class RunLog:
             self.invocation_id, self.store.environment, begun, at, status,
             models, done, errors, arguments, self.run_by,
         )
-        log = self.store.read(self.layer, "dbt_run_log")
-        merged = merge_upsert(log, self._frame([row], RUN_LOG), ["invocation_id"])
-        self.store.replace(merged, self.layer, "dbt_run_log")
+        self.store.append(self._frame([row], RUN_LOG), self.layer, "dbt_run_log")
+        if self.built:
+            self.store.append(self._frame(self.built, MODEL_LOG), self.layer, "dbt_model_log")
+
+
+def run_log(store: TableStore, layer: str | None = None) -> DataFrame:
+    """One row per run: its last event."""
+    return keep_latest(store.read(layer, "dbt_run_log"), ["invocation_id"], "run_end_at")
 
 
 def models_of_latest_run(runs: DataFrame, models: DataFrame) -> DataFrame:

@@ -14,9 +14,9 @@ def _first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_row", F.row_number().over(window)).filter("_row = 1").drop("_row")
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], newest: str, ties: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the newest, ties settled by the highest ``ties`` values."""
-    order = [F.col(c).desc_nulls_last() for c in (newest, *ties)]
+def keep_latest(df: DataFrame, keys: Sequence[str], newest: str, ties: Sequence[str | Column] = ()) -> DataFrame:
+    """One row per key: the newest, ties settled by the highest ``ties`` values (names or expressions)."""
+    order = [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in (newest, *ties)]
     return _first_per_key(df, keys, order)
 
 

@@ -37,35 +37,57 @@ def snapshot(
 
     A new key opens a version; a changed ``check`` column (NULL-safe) closes the old one and opens
     another; a key gone from ``current`` is closed when ``hard_deletes``; a key that returns opens
-    again. Other columns are stored but never open a version.
+    again. Other columns are stored but never open a version. A column new in ``current`` is kept,
+    NULL in older versions. Taken twice at one moment, the second changes the version that the first
+    opened, instead of opening another.
+    """
+    if history is None:
+        return open_versions(current, key, as_of, prefix)
+    is_open = F.col(f"{prefix}valid_to").isNull()
+    moved = next_versions(history.filter(is_open), current, key, check, as_of, hard_deletes, prefix)
+    return history.filter(~is_open).unionByName(moved, allowMissingColumns=True)
+
+
+def next_versions(
+    opened: DataFrame,
+    current: DataFrame,
+    key: str,
+    check: Sequence[str],
+    as_of: Column,
+    hard_deletes: bool = True,
+    prefix: str = "",
+) -> DataFrame:
+    """The open versions after a snapshot, and those it closes; closed versions of before play no part.
 
     Open versions and current rows meet in one full outer join on the unique key, and each pair
     yields its one or two rows there, so both sides are read and shuffled once.
     """
-    if history is None:
-        return open_versions(current, key, as_of, prefix)
-    valid_to = f"{prefix}valid_to"
-    columns = history.columns
-    fresh = open_versions(current, key, as_of, prefix).select(*columns)
-    closed = history.filter(F.col(valid_to).isNotNull())
-    old = history.filter(F.col(valid_to).isNull()).select(
-        F.col(key).alias("_old_key"), F.struct(*columns).alias("_old")
-    )
-    new = fresh.select(F.col(key).alias("_new_key"), F.struct(*columns).alias("_new"))
+    valid_from, valid_to = f"{prefix}valid_from", f"{prefix}valid_to"
+    fresh = open_versions(current, key, as_of, prefix)
+    missing = set(opened.columns) - set(fresh.columns)
+    if missing:
+        raise ValueError(f"the current rows lack the columns {sorted(missing)}")
+    columns = [*opened.columns, *[c for c in fresh.columns if c not in opened.columns]]
+    types = {f.name: f.dataType for f in (*fresh.schema.fields, *opened.schema.fields)}
+    old_columns = [(F.col(c) if c in opened.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns]
+    new_columns = [F.col(c).cast(types[c]).alias(c) for c in columns]
+    old = opened.select(F.col(key).alias("_old_key"), F.struct(*old_columns).alias("_old"))
+    new = fresh.select(F.col(key).alias("_new_key"), F.struct(*new_columns).alias("_new"))
     pairs = old.join(new, F.col("_old_key") == F.col("_new_key"), "full_outer")
 
     has_old, has_new = F.col("_old_key").isNotNull(), F.col("_new_key").isNotNull()
     changed = reduce(
         lambda a, b: a | b, [~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in check]
     )
+    stamp = as_of.cast("timestamp_ntz")
+    same_moment = F.col(f"_old.{valid_from}") == stamp
     expire = has_old & ((has_new & changed) | (~has_new & F.lit(hard_deletes)))
-    expired = F.col("_old").withField(valid_to, as_of.cast("timestamp_ntz"))
+    expired = F.when(~same_moment, F.col("_old").withField(valid_to, stamp))
     versions = F.array(
         F.when(has_old, F.when(expire, expired).otherwise(F.col("_old"))),
         F.when(has_new & (~has_old | changed), F.col("_new")),
     )
-    rows = pairs.select(F.explode(versions).alias("v")).filter("v is not null").select("v.*")
-    return closed.unionByName(rows)
+    return pairs.select(F.explode(versions).alias("v")).filter("v is not null").select("v.*")
 
 
 def as_of_rows(history: DataFrame, moment: Column, prefix: str = "") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tierwise.operators.dedup import keep_latest
 
@@ -34,18 +34,27 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"duplicate merge key {twice[0].asDict()}")
 
 
+def add_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Both sides by column name. Columns new to the table are kept, NULL in its old rows; a column that the incoming rows
+    lack is an error."""
+    missing = set(existing.columns) - set(incoming.columns)
+    if missing:
+        raise ValueError(f"the incoming rows lack the columns {sorted(missing)}")
+    return existing.unionByName(incoming, allowMissingColumns=True)
+
+
 def merge_upsert(
-    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], newest: str | None = None
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], newest: str | None = None, ties: Sequence[str | Column] = ()
 ) -> DataFrame:
     """Replace matched rows, add new ones, keep the rest.
 
-    With ``newest`` the incoming side is first reduced to its newest row per key; without it the
+    With ``newest`` the incoming side is first reduced to its newest row per key, ties settled by ``ties``; without it the
     caller vouches for unique keys, see :func:`require_unique`.
     """
     if newest is not None:
-        incoming = keep_latest(incoming, keys, newest)
+        incoming = keep_latest(incoming, keys, newest, ties)
     kept = existing.join(incoming.select(*keys), list(keys), "left_anti").select(*existing.columns)
-    return kept.unionByName(incoming.select(*existing.columns))
+    return add_rows(kept, incoming)
 
 
 def replace_children(existing: DataFrame, incoming: DataFrame, parent: Sequence[str]) -> DataFrame:
@@ -56,7 +65,7 @@ def replace_children(existing: DataFrame, incoming: DataFrame, parent: Sequence[
     """
     parents = incoming.select(*parent).distinct()
     kept = existing.join(parents, list(parent), "left_anti").select(*existing.columns)
-    return kept.unionByName(incoming.select(*existing.columns))
+    return add_rows(kept, incoming)
 
 
 def purge_keys(df: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -74,18 +83,21 @@ def incremental(
     lookback_days: int = 3,
     full_refresh: bool = False,
     children_of: Sequence[str] | None = None,
+    group_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Build a keyed table from the recent part of ``source`` and merge it into ``target``.
 
     The first run and ``full_refresh`` build from everything. ``children_of`` names the parent key
     of a bridge table: every parent in the window then loses its old children, also when its new
-    array is empty, instead of a merge on ``keys``.
+    array is empty, instead of a merge on ``keys``. A table of aggregates must rebuild whole groups: pass ``group_by``,
+    and ``build`` gets all source rows of the groups that have a row in the window.
     """
     if target is None or full_refresh:
         return build(source)
     recent = since_lookback(source, source_stamp, high_water_mark(target, target_stamp), lookback_days)
+    if group_by:
+        recent = source.join(recent.select(*group_by).distinct(), list(group_by), "left_semi")
     incoming = build(recent)
     if children_of:
-        kept = purge_keys(target, recent, children_of)
-        return kept.unionByName(incoming.select(*target.columns))
+        return add_rows(purge_keys(target, recent, children_of), incoming)
     return merge_upsert(target, incoming, keys)

@@ -9,7 +9,8 @@ from tierwise.operators.dedup import keep_latest
 
 
 def bronze_movies_raw(raw: DataFrame) -> DataFrame:
-    newest = keep_latest(raw, ["movie_id"], "ingested_at", ["batch_id"])
+    """Documents of one movie in one batch are told apart by their hash, so the pick repeats."""
+    newest = keep_latest(raw, ["movie_id"], "ingested_at", ["batch_id", document_hash(F.col("raw_data"))])
     return newest.select(
         "movie_id",
         "raw_data",

@@ -93,9 +93,10 @@ COMPANY_FIELDS = {
 
 
 def silver_production_companies(bronze: DataFrame, loaded_at: Column) -> DataFrame:
-    """One row per company: its name and country as sent last."""
+    """One row per company: its name and country as sent last, at its first place in a document."""
     rows = explode_array(
-        bronze, "raw_data", "$.production_companies", COMPANY_FIELDS, keep=["movie_id", "ingested_at"]
+        bronze, "raw_data", "$.production_companies", COMPANY_FIELDS,
+        keep=["movie_id", "ingested_at"], position="at",
     ).withColumns(
         {
             "company_name": F.trim("company_name"),
@@ -103,7 +104,7 @@ def silver_production_companies(bronze: DataFrame, loaded_at: Column) -> DataFra
         }
     )
     known = drop_null_keys(rows, ["company_id", "company_name"])
-    newest = keep_latest(known, ["company_id"], "ingested_at", ["movie_id"])
+    newest = keep_latest(known, ["company_id"], "ingested_at", ["movie_id", -F.col("at")])
     return newest.select(
         "company_id", "company_name", "origin_country", "ingested_at",
         loaded_at.alias("_silver_loaded_at"),

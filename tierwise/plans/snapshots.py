@@ -33,3 +33,10 @@ def snap_dim_genres(history: DataFrame | None, genres: DataFrame, as_of: Column)
     return snapshot(
         history, genres.select(*GENRE_COLUMNS), "genre_id", GENRE_CHECKS, as_of, prefix=PREFIX
     )
+
+
+#: Key, checked columns and stored columns of each version table.
+TABLES = {
+    "snap_silver_movies": ("movie_id", MOVIE_CHECKS, MOVIE_COLUMNS),
+    "snap_dim_genres": ("genre_id", GENRE_CHECKS, GENRE_COLUMNS),
+}

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tierwise.functions.dates import moment
 from tierwise.operators.audit import RunLog, require_rows
-from tierwise.operators.merge import incremental, purge_keys
-from tierwise.operators.quality import run_checks
+from tierwise.operators.history import next_versions, open_versions
+from tierwise.operators.merge import add_rows, high_water_mark, merge_upsert, purge_keys, since_lookback
+from tierwise.operators.quality import run_checks, stored_failures
 from tierwise.plans import bronze, gold, marts, silver, snapshots
 from tierwise.plans.checks import declared_checks
 from tierwise.plans.reference_data import LOOKBACK_DAYS
 from tierwise.sources.documents import land_upsert
-from tierwise.sources.tables import TableStore
+from tierwise.sources.tables import BUCKETS, TableStore
 
 LAYERS = {
     "raw_movies": "BRONZE",
@@ -40,13 +42,47 @@ LAYERS = {
 RAW = ("raw_movies", "raw_genres")
 SNAPSHOTS = ("snap_silver_movies", "snap_dim_genres")
 MODELS = tuple(t for t in LAYERS if t not in (*RAW, *SNAPSHOTS, "budget_tiers"))
+#: Models that do not read each other, step by step, and what a model reads besides raw tables.
+STEPS = (
+    ("bronze_movies_raw", "silver_genres", "budget_tiers", "dim_dates"),
+    ("silver_movies", "silver_movie_genres", "silver_production_companies", "silver_movie_companies", "dim_genres"),
+    ("dim_production_companies",),
+    ("fact_movies",),
+    ("kpi_genre_performance", "kpi_yearly_trends", "kpi_top_movies"),
+)
+READS = {
+    "silver_movies": ("bronze_movies_raw",),
+    "silver_movie_genres": ("bronze_movies_raw",),
+    "silver_production_companies": ("bronze_movies_raw",),
+    "silver_movie_companies": ("bronze_movies_raw",),
+    "dim_genres": ("silver_genres",),
+    "dim_production_companies": ("silver_production_companies",),
+    "fact_movies": (
+        "silver_movies", "silver_movie_genres", "silver_movie_companies", "dim_dates", "dim_genres",
+        "dim_production_companies", "budget_tiers",
+    ),
+    "kpi_genre_performance": ("fact_movies", "dim_genres"),
+    "kpi_yearly_trends": ("fact_movies",),
+    "kpi_top_movies": ("fact_movies", "dim_genres", "dim_production_companies"),
+}
 
 
 class Warehouse:
     """The stored movie warehouse. Every model reads stored tables only."""
 
-    def __init__(self, store: TableStore, lookback_days: int = LOOKBACK_DAYS):
-        self.store, self.lookback_days = store, lookback_days
+    def __init__(
+        self,
+        store: TableStore,
+        lookback_days: int = LOOKBACK_DAYS,
+        seeds: str | None = None,
+        unknown_members: bool = False,
+        buckets: int = BUCKETS,
+        threads: int = 4,
+    ):
+        """``seeds`` is a folder with ``budget_tiers.csv`` (else the fixed tiers hold); ``unknown_members`` adds the member
+        that unmatched facts point to in every dimension; ``buckets`` are those of new keyed tables."""
+        self.store, self.lookback_days, self.seeds = store, lookback_days, seeds
+        self.unknown_members, self.buckets, self.threads = unknown_members, buckets, threads
 
     def table(self, name: str) -> DataFrame:
         return self.store.read(LAYERS[name], name)
@@ -60,27 +96,52 @@ class Warehouse:
     def load_documents(self, documents: DataFrame, append: bool = False) -> None:
         """Merge stamped documents into the raw table; the newest per movie wins.
 
-        A merge rewrites the table. ``append`` only adds the batch: earlier documents stay, bronze
-        keeps the newest, and the load costs as much as the batch.
+        A merge rewrites the hash buckets of the movies in the batch. ``append`` only adds the batch: earlier documents
+        stay, bronze keeps the newest, and the load costs as much as the batch.
         """
-        if append:
-            self.store.append(documents, LAYERS["raw_movies"], "raw_movies")
+        name, layer = "raw_movies", LAYERS["raw_movies"]
+        if append or not self.store.exists(layer, name):
+            rows = documents if append else land_upsert(None, documents)
+            self.store.append(rows, layer, name, ["movie_id"], self.buckets)
         else:
-            current = self.store.find(LAYERS["raw_movies"], "raw_movies")
-            self._replace("raw_movies", land_upsert(current, documents))
-        require_rows(self.table("raw_movies"), "raw_movies")
+            self.store.update(documents, lambda past: land_upsert(past, documents), layer, name)
+        require_rows(self.table(name), name)
 
     def load_genres(self, snapshot_row: DataFrame) -> None:
         """Append one reference-list row."""
         self.store.append(snapshot_row, LAYERS["raw_genres"], "raw_genres")
 
     def _merge(self, name: str, build: Callable, stamp: str, keys, full_refresh: bool, children_of=None):
-        merged = incremental(
-            build, self.table("bronze_movies_raw"), "ingested_at",
-            self.store.find(LAYERS[name], name), stamp, keys,
-            self.lookback_days, full_refresh, children_of,
-        )
-        return self._replace(name, merged)
+        """Bring a keyed table up to date from the recent part of bronze, in the buckets that it touches."""
+        layer, bronze_rows = LAYERS[name], self.table("bronze_movies_raw")
+        target = self.store.find(layer, name)
+        if target is None or full_refresh:
+            return self.store.replace(build(bronze_rows), layer, name, children_of or keys, self.buckets)
+        mark = high_water_mark(target, stamp)
+        recent = since_lookback(bronze_rows, "ingested_at", mark, self.lookback_days)
+        incoming = build(recent)
+        if children_of:
+            combine = lambda past: add_rows(purge_keys(past, recent, children_of), incoming)
+            touched = recent
+        else:
+            combine = lambda past: merge_upsert(past, incoming, keys)
+            touched = incoming
+        self.store.update(touched, combine, layer, name)
+        return self.table(name).count()
+
+    def _snapshot(self, name: str, current: DataFrame, at) -> int:
+        """Rewrite the open versions of a version table and add those that closed; older closed ones stay as they are."""
+        key, check, columns = snapshots.TABLES[name]
+        current = current.select(*columns).filter(F.col(key).isNotNull())
+        past = self.store.find(None, name)
+        if past is None:
+            rows = open_versions(current, key, at, snapshots.PREFIX)
+        else:
+            opened = self.store.read(None, name, {"open"})
+            rows = next_versions(opened, current, key, check, at, prefix=snapshots.PREFIX)
+        tag = F.when(F.col(f"{snapshots.PREFIX}valid_to").isNull(), "open").otherwise("closed")
+        self.store.replace_tags(rows, tag, ["open"], None, name)
+        return self.table(name).count()
 
     def build(self, name: str, now: dt.datetime, full_refresh: bool = False) -> int:
         """Rebuild or merge one model from the stored tables below it; returns its row count."""
@@ -109,15 +170,14 @@ class Warehouse:
                 ["movie_id", "company_id"], full_refresh, ["movie_id"],
             )
         if name == "budget_tiers":
-            return self._replace(name, gold.budget_tiers(self.store.spark))
+            return self._replace(name, gold.budget_tiers(self.store.spark, self.seeds))
         if name == "dim_dates":
-            return self._replace(name, gold.dim_dates(self.store.spark))
+            return self._replace(name, gold.dim_dates(self.store.spark, unknown_member=self.unknown_members))
         if name == "dim_genres":
-            return self._replace(name, gold.dim_genres(t("silver_genres"), at))
+            return self._replace(name, gold.dim_genres(t("silver_genres"), at, self.unknown_members))
         if name == "dim_production_companies":
-            return self._replace(
-                name, gold.dim_production_companies(t("silver_production_companies"), at)
-            )
+            companies = t("silver_production_companies")
+            return self._replace(name, gold.dim_production_companies(companies, at, self.unknown_members))
         if name == "fact_movies":
             fact = gold.fact_movies(
                 t("silver_movies"), t("silver_movie_genres"), t("silver_movie_companies"),
@@ -134,35 +194,46 @@ class Warehouse:
                 t("fact_movies"), t("dim_genres"), t("dim_production_companies"), at
             )
             return self._replace(name, mart)
-        if name == "snap_silver_movies":
-            past = self.store.find(None, name)
-            return self._replace(name, snapshots.snap_silver_movies(past, t("silver_movies"), at))
-        if name == "snap_dim_genres":
-            past = self.store.find(None, name)
-            return self._replace(name, snapshots.snap_dim_genres(past, t("dim_genres"), at))
+        if name in SNAPSHOTS:
+            return self._snapshot(name, t(name.removeprefix("snap_")), at)
         raise ValueError(f"unknown model {name!r}")
 
     def run(
         self, now: dt.datetime, models: Sequence[str] = MODELS, full_refresh: bool = False
     ) -> dict[str, int]:
-        """Build ``models`` in layer order and log the run; returns row counts.
+        """Build ``models`` and log the run; returns row counts.
 
-        The first model that fails ends the run, which is then logged as FAILED.
+        The models of one step do not read each other and are built side by side. A model that fails leaves the others
+        going: only those that read it, or one skipped for it, are skipped. The run is then logged as FAILED, and the
+        first error is raised at its end. The seed is loaded again by every run that builds the fact; it is no model.
         """
-        if not self.store.exists(LAYERS["budget_tiers"], "budget_tiers"):
-            self.build("budget_tiers", now)
-        log, rows = RunLog(self.store), {}
+        log, rows, lost, first = RunLog(self.store), {}, {}, None
+        seeds = {"budget_tiers"} if "fact_movies" in models else set()
         log.start(now, len(models), " ".join(models) if tuple(models) != MODELS else "ALL")
         try:
-            for name in (m for m in LAYERS if m in models):
-                try:
-                    rows[name] = self.build(name, now, full_refresh)
-                except Exception:
-                    log.model(name, LAYERS[name], now, "error")
-                    raise
-                log.model(name, LAYERS[name], now, listed=LAYERS[name] == "GOLD")
+            for step in STEPS:
+                wanted = [m for m in step if m in models or m in seeds]
+                blocked = [m for m in wanted if any(r in lost for r in READS.get(m, ()))]
+                for name in blocked:
+                    lost[name] = "skipped"
+                    log.model(name, LAYERS[name], now, "skipped")
+                ready = [m for m in wanted if m not in blocked]
+                with ThreadPoolExecutor(self.threads) as pool:
+                    running = {m: pool.submit(self.build, m, now, full_refresh) for m in ready}
+                for name, result in running.items():
+                    error = result.exception()
+                    if error is None and name in seeds:
+                        continue
+                    if error is None:
+                        rows[name] = result.result()
+                        log.model(name, LAYERS[name], now, listed=LAYERS[name] == "GOLD")
+                    else:
+                        lost[name], first = "error", first or error
+                        log.model(name, LAYERS[name], now, "error")
         finally:
             log.finish(now)
+        if first is not None:
+            raise first
         return rows
 
     def snapshot(self, now: dt.datetime) -> dict[str, int]:
@@ -170,7 +241,7 @@ class Warehouse:
         return {name: self.build(name, now) for name in SNAPSHOTS}
 
     def test(self, now: dt.datetime, store_failures: bool = True) -> list:
-        """Run all declared checks; rows that fail one are kept in their own table.
+        """Run all declared checks; rows that fail one are kept in the AUDIT table of the checked table.
 
         Nothing is raised: the summary rows (table, check, failures, status) are returned.
         """
@@ -178,10 +249,10 @@ class Warehouse:
         summary = run_checks(self.store.spark, tables, checks).collect()
         if store_failures:
             failing = {(r["table"], r["check"]) for r in summary if r["failures"]}
-            for check in checks:
-                if (check.table, check.name) in failing:
-                    rows = check.failing_rows(tables)
-                    self.store.replace(rows, "AUDIT", f"{check.table}__{check.name}")
+            for table in {t for t, _ in failing}:
+                mine = [c for c in checks if (c.table, c.name) in failing and c.table == table]
+                rows = stored_failures(tables, mine)
+                self.store.replace(rows, "AUDIT", f"{table}__failures")
         return summary
 
     def purge(self, movie_ids: DataFrame) -> None:
@@ -189,6 +260,10 @@ class Warehouse:
 
         Rebuild the models with ``full_refresh`` afterwards.
         """
-        for name in ("raw_movies", "snap_silver_movies"):
-            if self.store.exists(LAYERS[name], name):
-                self._replace(name, purge_keys(self.table(name), movie_ids, ["movie_id"]))
+        if self.store.exists(LAYERS["raw_movies"], "raw_movies"):
+            combine = lambda past: purge_keys(past, movie_ids, ["movie_id"])
+            self.store.update(movie_ids, combine, LAYERS["raw_movies"], "raw_movies")
+        if self.store.exists(None, "snap_silver_movies"):
+            kept = purge_keys(self.table("snap_silver_movies"), movie_ids, ["movie_id"])
+            tag = F.when(F.col(f"{snapshots.PREFIX}valid_to").isNull(), "open").otherwise("closed")
+            self.store.replace_tags(kept, tag, ["open", "closed"], None, "snap_silver_movies")

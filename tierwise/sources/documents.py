@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tierwise.functions.dates import moment
-from tierwise.operators.dedup import keep_first
+from tierwise.functions.keys import document_hash
+from tierwise.operators.dedup import keep_first, keep_latest
 from tierwise.operators.merge import merge_upsert
 
 
@@ -55,18 +56,28 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 def read_array_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """JSON files that each hold one array, as one line of text per array element.
 
-    A file is read by one task, so keep such files small or write documents one per line.
+    A malformed file, or one that holds no array, comes back whole as one line, which parsing then rejects. A file is read
+    by one task, so keep such files small or write documents one per line.
     """
-    files = spark.read.option("multiLine", True).option("singleVariantColumn", "doc").json(paths)
-    elements = spark.tvf.variant_explode(F.col("doc").outer())
-    return files.lateralJoin(elements).select(F.to_json("value").alias("value"))
+    files = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True)
+    # Parsed once, below a generator; see parse_documents.
+    parsed = files.select("value", F.inline(F.array(F.struct(F.try_parse_json("value").alias("doc")))))
+    is_array = F.col("doc").isNotNull() & F.schema_of_variant("doc").startswith("ARRAY")
+    arrays = parsed.select("value", F.when(is_array, F.col("doc")).alias("doc"))
+    elements = spark.tvf.variant_explode_outer(F.col("doc").outer()).select(F.col("value").alias("element"))
+    exploded = arrays.lateralJoin(elements)
+    no_array = F.to_json(F.struct(F.lit("the file holds no array").alias("error"), F.col("value").alias("file")))
+    rejected = F.when(F.try_parse_json("value").isNull(), F.col("value")).otherwise(no_array)
+    text = F.when(F.col("doc").isNull(), rejected).otherwise(F.to_json("element"))
+    return exploded.select(text.alias("value")).filter("value is not null")
 
 
 def land_upsert(target: DataFrame | None, documents: DataFrame, key: str = "movie_id") -> DataFrame:
-    """Raw table after one load: the newest document per key wins."""
+    """Raw table after one load: the newest document per key wins, of several the one with the highest hash."""
+    ties = ["batch_id", document_hash(F.col("raw_data"))]
     if target is None:
-        target = documents.limit(0)
-    return merge_upsert(target, documents, [key], newest="ingested_at")
+        return keep_latest(documents, [key], "ingested_at", ties)
+    return merge_upsert(target, documents, [key], "ingested_at", ties)
 
 
 def land_snapshot(
