@@ -251,7 +251,7 @@ def test_global_ranks_equal_windows(spark, rows, size, chunks):
 
 
 def test_rank_rejects_what_it_cannot_sort(spark):
-    df = spark.createDataFrame([(1, "x")], "id int, s string")
+    df = spark.createDataFrame([(1, {"x": 1})], "id int, s map<string, int>")
     with pytest.raises(TypeError):
         global_ranks(df, ["id"], [Rank("r", "rank", (Key("s"),))])
     with pytest.raises(ValueError):
@@ -356,3 +356,16 @@ def test_return_on_a_tiny_cost_does_not_overflow(spark):
     huge = spark.createDataFrame([(1, 5 * 10**10), (1, 10**12)], "cost bigint, revenue bigint")
     mean = huge.select(return_pct(F.col("revenue"), F.col("cost")).alias("r")).agg(rounded_mean(F.col("r"), 2, dtype=PERCENT)).first()[0]
     assert float(mean) == pytest.approx(5.25e13, rel=1e-6)
+
+
+def test_ranks_by_date_time_text_and_flag(spark, rows):
+    data = [(i, d, t, x, f) for i, (d, t, x, f) in enumerate([
+        (dt.date(2020, 1, 1), dt.datetime(2020, 1, 1, 5), "ab", True), (dt.date(1960, 1, 1), dt.datetime(1960, 1, 1), "abc", False),
+        (None, None, None, None), (dt.date(2020, 1, 1), dt.datetime(2020, 1, 1, 4), "", True), (dt.date(2021, 1, 1), None, "é", None), (None, None, "b", False),
+    ])]
+    df = spark.createDataFrame(data, "id int, d date, t timestamp_ntz, x string, f boolean")
+    ranks = [Rank(f"{c}{down}{last}", kind, (Key(c, down, last), Key("x", not down)), buckets=3)
+             for c in "dtxf" for down in (False, True) for last, kind in ((False, "dense_rank"), (True, "row_number"))]
+    got = global_ranks(df, ["id"], ranks)
+    names = [r.name for r in ranks]
+    assert rows(got, "id", *names) == rows(window_ranks(df, ["id"], ranks), "id", *names)

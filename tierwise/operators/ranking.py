@@ -20,7 +20,7 @@ KINDS = ("row_number", "rank", "dense_rank", "percent_rank", "ntile")
 
 @dataclass(frozen=True)
 class Key:
-    """One numeric sort key, ascending with NULLs first unless said otherwise."""
+    """One sort key (a number, date, time, flag or text), ascending with NULLs first unless said otherwise."""
 
     column: str
     descending: bool = False
@@ -119,14 +119,40 @@ def _slot_type(dtype: T.DataType) -> str:
         return "bigint"
     if isinstance(dtype, T.DecimalType):
         return dtype.simpleString()
-    raise TypeError(f"a rank key must be numeric, not {dtype.simpleString()}")
-
-
-def _sort_columns(keys: Sequence[Key], types: dict[str, str], layout: Sequence[Sequence[str]]) -> list[Column]:
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)):
+        return "bigint"
+    if isinstance(dtype, T.StringType):
+        return "string"
+    raise TypeError(f"no order of {dtype.simpleString()} keys")
+
+
+def _comparable(column: Column, dtype: T.DataType) -> Column:
+    """The key as a number or a text in the same order."""
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(column)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.unix_micros(F.to_utc_timestamp(column.cast("timestamp"), F.current_timezone()))
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(column)
+    if isinstance(dtype, T.BooleanType):
+        return column.cast("int")
+    return column
+
+
+def _backwards(value: Column, slot_type: str) -> Column:
+    """The key in the opposite order: negated, or a text with complemented bytes and an end mark above them all."""
+    if slot_type != "string":
+        return -value
+    return F.concat(F.translate(F.hex(value), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("Z"))
+
+
+def _sort_columns(
+    keys: Sequence[Key], schema: T.StructType, types: dict[str, str], layout: Sequence[Sequence[str]]
+) -> list[Column]:
     """The keys of one order as columns whose plain ascending order is the wanted order.
 
     Each slot of ``layout`` has a flag, which places NULL and NaN, and one value column per type that
-    any order needs there. Values are negated for descending order. So measures of different types
+    any order needs there. Values are turned round for descending order. So measures of different types
     can be sorted in one pass, and narrow types stay narrow.
     """
     columns = []
@@ -134,12 +160,12 @@ def _sort_columns(keys: Sequence[Key], types: dict[str, str], layout: Sequence[S
         key = keys[slot] if slot < len(keys) else None
         flag, value, own = F.lit(2), None, None
         if key is not None:
-            value, own = F.col(key.column), types[key.column]
+            value, own = _comparable(F.col(key.column), schema[key.column].dataType), types[key.column]
             if own == "double":
                 flag = F.when(F.isnan(value), F.lit(1 if key.descending else 3)).otherwise(flag)
                 value = F.when(~F.isnan(value), value)
             flag = F.when(F.col(key.column).isNull(), F.lit(4 if key.nulls_last else 0)).otherwise(flag)
-            value = -value if key.descending else value
+            value = _backwards(value, own) if key.descending else value
         columns.append(flag.cast("tinyint").alias(f"_f{slot}"))
         for n, slot_type in enumerate(slot_types):
             here = value if slot_type == own else F.lit(None)
@@ -184,7 +210,7 @@ def global_ranks(df: DataFrame, identity: Sequence[str], ranks: Sequence[Rank])
     for number, (partition, order) in enumerate(orders):
         part = F.to_json(F.struct(*partition)) if partition else F.lit("")
         columns = [F.lit(number).cast("tinyint").alias("_order"), part.alias("_part")]
-        stacked.append(F.struct(*columns, *_sort_columns(order, types, layout)))
+        stacked.append(F.struct(*columns, *_sort_columns(order, df.schema, types, layout)))
     rows = df.select(*identity, F.inline(F.array(*stacked)))
     keys = [c for c in rows.columns if c.startswith(("_f", "_v"))]
     placed = _positions(rows, ["_order", "_part"], keys, identity)
