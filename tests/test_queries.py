@@ -81,3 +81,9 @@ def test_global_ranks_never_use_one_partition_for_the_rows(spark, sf_dir):
 
 def test_queries_read_whole_tables(spark, sf_dir):
     assert QUERIES["land_documents"](spark, sf_dir).count() == read(spark, sf_dir, "part").count()
+
+
+def test_calendar_and_incremental_counts_add_up_to_all_orders(spark, sf_dir):
+    orders = read(spark, sf_dir, "orders").count()
+    for name in ("order_calendar", "incremental_customers", "dim_dates"):
+        assert QUERIES[name](spark, sf_dir).agg({"n_orders": "sum"}).first()[0] == orders

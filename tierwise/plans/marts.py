@@ -231,10 +231,9 @@ def kpi_top_movies(
     ]
     extra = []
     if weighted:
-        mean = voted.agg(F.avg(F.col("vote_average").cast(FRACTION)).cast("double").alias("mean")).first()
+        mean = voted.agg(F.avg(F.col("vote_average").cast(FRACTION)).cast("double"))
         extra.append(
-            weighted_rating(F.col("vote_average"), F.col("vote_count"), min_votes, F.lit(mean["mean"]))
-            .alias("weighted_rating")
+            weighted_rating(F.col("vote_average"), F.col("vote_count"), min_votes, mean.scalar()).alias("weighted_rating")
         )
     return top.join(ranks, "movie_id").select(
         *columns, *[r.name for r in TOP_MOVIE_RANKS], *extra, "_gold_loaded_at",
