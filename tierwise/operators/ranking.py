@@ -50,7 +50,7 @@ class Rank:
 
 
 def _null_safe_join(rows: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on columns in which NULL equals NULL. The small side is written out, so the planner knows its size."""
+    """Join on columns in which NULL equals NULL. Adaptive execution broadcasts the small side when it turns out small."""
     renamed = small.select(*[F.col(c).alias(f"_by_{c}") if c in on else F.col(c) for c in small.columns])
     condition = F.lit(True)
     for c in on:
@@ -99,7 +99,7 @@ def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties:
         .withColumn("_rows", F.sum("n").over(Window.partitionBy(*group)))
         .select(*group, "_chunk", "rows_before", "keys_before", "runs_on", "head_start", "_rows")
     )
-    placed = _null_safe_join(local, cut_lineage(chunks), ["_chunk", *group])
+    placed = _null_safe_join(local, chunks, ["_chunk", *group])
     return placed.select(
         *rows.columns,
         (F.col("rows_before") + F.col("_row")).alias("_pos"),
@@ -265,7 +265,7 @@ def group_medians(
     sketches = [F.percentile_approx(v, ends, MEDIAN_ACCURACY).alias(f"b{i}") for i, v in every]
     bracket = rows.groupBy(*group).agg(*sketches)
     lows_highs = [F.col(f"b{i}")[k].alias(f"{end}{i}") for i, _ in every for k, end in enumerate(("lo", "hi"))]
-    bracket = cut_lineage(bracket.select(*group, *lows_highs))
+    bracket = bracket.select(*group, *lows_highs)
 
     counts = []
     for i, name in every:
