@@ -76,7 +76,10 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
 
 def test_global_ranks_never_use_one_partition_for_the_rows(spark, sf_dir):
     assert "SinglePartition" not in plan(QUERIES["order_ranks"](spark, sf_dir))
-    assert "SinglePartition" not in plan(QUERIES["kpi_top_movies"](spark, sf_dir))
+    # The mean of the weighted rating brings one partial sum per task together, and no rows.
+    lines = plan(QUERIES["kpi_top_movies"](spark, sf_dir)).splitlines()
+    single = [below for line, below in zip(lines, lines[1:]) if "SinglePartition" in line]
+    assert len(single) <= 2 and all("partial_avg" in line for line in single)
 
 
 def test_queries_read_whole_tables(spark, sf_dir):

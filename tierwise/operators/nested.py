@@ -38,9 +38,14 @@ def explode_array(
 
     rows = F.transform(objects, flat)
     if once_per:
-        source, dtype = fields[once_per]
-        seen = F.transform(objects, lambda item: item[source].cast(dtype))
-        rows = F.filter(rows, lambda row: F.array_position(seen, row[once_per]) == row["_at"] + 1)
+        # Sorted by value and place, the first of each value is the one whose predecessor differs. The sorted array is a
+        # column of its own, so that it is built once per document and not per object.
+        keyed = F.transform(rows, lambda row: F.struct(row[once_per].alias("_key"), row["_at"].alias("_place"), row.alias("_row")))
+        known = F.array_sort(F.filter(keyed, lambda k: k["_key"].isNotNull()))
+        df = df.select(*keep, known.alias("_sorted"))
+        before = lambda i: F.get(F.col("_sorted"), i - 1)["_key"]
+        firsts = F.filter("_sorted", lambda k, i: (i == 0) | (before(i) != k["_key"]))
+        rows = F.array_sort(F.transform(firsts, lambda k: k["_row"]))
     explode = F.explode_outer if outer else F.explode
     out = df.select(*keep, explode(rows).alias("_item"))
     at = [F.col("_item._at").alias(position)] if position else []
