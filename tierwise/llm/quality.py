@@ -25,15 +25,33 @@ STEPS = 400
 Condition = tuple[int, bool, float]  # feature, above?, threshold
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a text, none of them null; all zero for an empty text."""
+_COUNTED = {
+    "capitals": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "digits": "0123456789",
+    "symbols": "#$%&*+/<=>@\\^_`~",
+    "bars": "|",
+    "shouts": "!?",
+    "stops": ".",
+    "commas": ",;:",
+}
+
+
+def marks(text: Column) -> Column:
+    """The characters of a text that are counted one by one, a small part of most texts."""
+    return F.regexp_replace(whole_text(text), r"[^A-Z0-9#$%&*+/<=>@\\^_`~|!?.,;:]+", "")
+
+
+def statistics(text: Column, marked: Column | None = None) -> dict[str, Column]:
+    """Statistics of a text, none of them null; all zero for an empty text. ``marked`` may hold its ``marks``."""
+    marked = marks(text) if marked is None else marked
     text = whole_text(text)
     chars = F.length(text).cast("double")
     words = F.filter(F.split(text, f"[{SPACE_CLASS}]+"), lambda w: w != "")
     n_words = F.size(words).cast("double")
 
-    def share(pattern: str) -> Column:
-        return F.when(chars == 0, 0.0).otherwise((chars - F.length(F.translate(text, pattern, ""))) / chars)
+    def share(characters: str) -> Column:
+        found = F.length(marked) - F.length(F.translate(marked, characters, ""))
+        return F.when(chars == 0, 0.0).otherwise(found / chars)
 
     return {
         "chars": chars,
@@ -41,13 +59,7 @@ def statistics(text: Column) -> dict[str, Column]:
         "word_length": F.when(n_words == 0, 0.0).otherwise(F.length(F.translate(text, " \t\n\x0b\x0c\r", "")) / n_words),
         "different_words": F.when(n_words == 0, 0.0).otherwise(F.size(F.array_distinct(words)) / n_words),
         "line_length": chars / F.size(F.split(text, "\n")),
-        "capitals": share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-        "digits": share("0123456789"),
-        "symbols": share("#$%&*+/<=>@\\^_`~"),
-        "bars": share("|"),
-        "shouts": share("!?"),
-        "stops": share("."),
-        "commas": share(",;:"),
+        **{name: share(characters) for name, characters in _COUNTED.items()},
     }
 
 
@@ -172,8 +184,9 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     ids = F.col(id_column)
     voted = labels.where(ids.isNotNull() & F.col(label_column).isNotNull() & ~held_out(ids)).groupBy(id_column).agg((F.avg(label_column) >= 0.5).cast("int").alias("label"))
     sample = voted.orderBy(F.xxhash64(id_column), id_column).limit(max_rows).select(ids.alias("id"), "label")
-    values = statistics(F.col("text"))
+    values = statistics(F.col("text"), F.col("marked"))
     picked = docs.select(ids.alias("id"), F.col(text_column).alias("text")).join(F.broadcast(sample), "id")
+    picked = picked.withColumn("marked", marks(F.col("text")))
     rows = picked.select("id", "label", *[v.alias(k) for k, v in values.items()]).collect()
     rows.sort(key=tuple)
     x = np.array([r[2:] for r in rows], dtype=float).reshape(len(rows), len(values))
@@ -183,11 +196,13 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 def score(docs: DataFrame, model: RuleModel, name: str, text_column: str = "text") -> DataFrame:
     """``docs`` with a column ``name``: the probability, 0 to 1, that the text is of quality. Null counts as empty."""
     parts = {k: free_name(docs, f"stat_{k}") for k in model.features}
-    values = statistics(F.col(text_column))
-    # The statistics get a projection of their own, so that each is computed once and not in every rule.
-    with_parts = docs.select("*", *[values[k].alias(v) for k, v in parts.items()])
+    marked = free_name(docs, "stat_marked")
+    values = statistics(F.col(text_column), F.col(marked))
+    # Marks and statistics get projections of their own, so that each is computed once and not in every rule.
+    with_marks = docs.withColumn(marked, marks(F.col(text_column)))
+    with_parts = with_marks.select("*", *[values[k].alias(v) for k, v in parts.items()])
     scored = with_parts.withColumn(name, model.column({k: F.col(v) for k, v in parts.items()}))
-    return scored.drop(*parts.values())
+    return scored.drop(marked, *parts.values())
 
 
 def keep_good(docs: DataFrame, model: RuleModel, threshold: float = THRESHOLD, text_column: str = "text") -> DataFrame:
