@@ -71,3 +71,9 @@ def test_without_labels_or_one_class(spark, trained):
         model = quality.train(docs.limit(50), few)
         assert model.rules == [] and 0 < quality.score(docs.limit(1), model, "s").first().s < 1
     assert quality.keep_good(docs.limit(0), model).count() == 0
+
+
+def test_the_filter_does_not_repeat_the_statistics(spark, trained):
+    docs, _, model = trained
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (quality.score(docs, model, "s"), quality.keep_good(docs, model))]
+    assert plans[0].count("split(") == plans[1].count("split(") and plans[1].count("regexp_replace(") == 1

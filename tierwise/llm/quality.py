@@ -207,5 +207,10 @@ def score(docs: DataFrame, model: RuleModel, name: str, text_column: str = "text
 
 def keep_good(docs: DataFrame, model: RuleModel, threshold: float = THRESHOLD, text_column: str = "text") -> DataFrame:
     """The rows with a score of ``threshold`` or more, with the columns of ``docs``."""
-    name = free_name(docs, "quality_score")
-    return score(docs, model, name, text_column).where(F.col(name) >= threshold).drop(name)
+    name, kept = free_name(docs, "quality_score"), free_name(docs, "quality_kept")
+    scored = score(docs, model, name, text_column)
+    # A filter on the score itself would be pushed below the projections, and every rule would compute its statistics
+    # anew; it is not pushed below a generator.
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = scored.select(*columns, F.inline(F.array(F.struct(F.col(name).alias(kept)))))
+    return once.where(F.col(kept) >= threshold).select(*columns)
