@@ -37,7 +37,7 @@ def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     """``df`` with ``before``: the sum of ``value`` over the rows of the group that come earlier in ``order``.
 
     Rows are dealt to chunks by range and written once, chunk totals are summed up per group, and rows are summed up
-    within their chunk: a group of any size spreads over many tasks.
+    within their chunk: a group of any size spreads over many tasks. Dealing by range reads ``df`` twice.
     """
     keys = [F.col(c).asc_nulls_last() for c in group]
     chunks = stored(df.repartitionByRange(*keys, *order).withColumn("chunk", F.spark_partition_id()), name)
@@ -86,6 +86,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source_column: str = "source
     size, so repeated rows are interchangeable. An empty table gives no rows; other columns are ignored.
     """
     picked = docs.select(F.col(id_column).alias("id"), F.col(source_column).alias("source"), word_count(F.col(text_column)).alias("size"), (-F.log(uniform(F.col(id_column), seed)) / quality_weight(F.col(text_column))).alias("key"))
+    picked = stored(picked, "mix_sizes")  # reads the texts once
     rows = running_totals(picked, ["source"], [F.col("key").asc(), F.col("id").asc_nulls_last(), F.col("size").asc()], "size", "mix_rows")
     rows = stored(rows, "mix_totals")
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_epochs)
