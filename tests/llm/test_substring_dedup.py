@@ -74,3 +74,12 @@ def test_spans_verify_at_their_source(spark):
 
 def test_empty_table(spark):
     assert substring_dedup.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_word_hashes_do_not_depend_on_the_parts():
+    texts = [b"one two  three", b"", b" two " + b"x" * 500 + b" one", b"three"]
+    whole, firsts = substring_dedup.word_hashes(texts)
+    assert len(whole) == 7 and firsts.tolist() == [0, 3, 3, 6, 7]
+    assert whole[1] == whole[3] and whole[0] == whole[5] and whole[2] == whole[6] and len(set(whole.tolist())) == 4
+    for size in (1, 7, 100):
+        assert (substring_dedup.word_hashes(texts, size)[0] == whole).all()

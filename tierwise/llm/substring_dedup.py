@@ -62,7 +62,7 @@ class _Rolling:
         return _mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64) * np.uint64(_BASE))
 
 
-def word_hashes(texts: list[bytes]):
+def word_hashes(texts: list[bytes], part_bytes: int = CHUNK_BYTES):
     """(hash of every word, its first word's index per text plus the total) of texts, words split at ASCII white space."""
     import numpy as np
 
@@ -72,7 +72,14 @@ def word_hashes(texts: list[bytes]):
     starts, ends = np.flatnonzero(before & ~space), np.flatnonzero(~before & space)
     offsets = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
     firsts = np.searchsorted(starts, offsets)
-    return _Rolling(data.astype(np.uint64) + np.uint64(1), _BASE).of(starts, ends), firsts
+    hashes, i = np.empty(len(starts), dtype=np.uint64), 0
+    while i < len(starts):  # a long text goes in parts, cut between words
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + part_bytes)))
+        a, b = starts[i], ends[j - 1]
+        rolling = _Rolling(data[a:b].astype(np.uint64) + np.uint64(1), _BASE)
+        hashes[i:j] = rolling.of(starts[i:j] - a, ends[i:j] - a)
+        i = j
+    return hashes, firsts
 
 
 def path_labels(words, firsts, window: int = WINDOW, k: int = KMER):
