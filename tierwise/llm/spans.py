@@ -9,8 +9,8 @@ BLOCK = 128
 
 
 def pieces(text: Column, pattern: str) -> tuple[Column, Column]:
-    """The texts between the leftmost non-overlapping matches, and the matches. Both hold every code point once."""
-    return F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """The lengths of the texts between the leftmost non-overlapping matches, and the matches."""
+    return F.transform(F.split(text, pattern, -1), lambda gap: F.length(gap)), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
 def _summed(parts: Column, start: Column) -> Column:
@@ -18,7 +18,7 @@ def _summed(parts: Column, start: Column) -> Column:
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
     def add(state: Column, part: Column) -> Column:
-        begin = state["at"] + F.length(part["gap"])
+        begin = state["at"] + part["gap"]
         end = begin + F.length(part["match"])
         span = F.struct(begin.alias("start"), end.alias("end"), part["match"].alias("value"))
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
@@ -34,7 +34,7 @@ def spans(gaps: Column, matches: Column) -> Column:
     parts = F.zip_with(F.slice(gaps, 1, F.greatest(F.size(matches), F.lit(1))), matches, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
     parts = F.filter(parts, lambda p: p["match"].isNotNull())
     blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / BLOCK).cast("int")), lambda b: F.slice(parts, b * BLOCK + 1, BLOCK))
-    lengths = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, p: n + F.length(p["gap"]) + F.length(p["match"])))
+    lengths = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, p: n + p["gap"] + F.length(p["match"])))
     starts = F.transform(lengths, lambda _, i: F.aggregate(F.slice(lengths, 1, i), F.lit(0), lambda n, x: n + x))
     long = F.flatten(F.zip_with(blocks, starts, lambda b, s: _summed(b, s)))
     return F.when(F.size(matches) <= BLOCK, _summed(parts, F.lit(0))).otherwise(long)
