@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from tierwise.llm.common import stored
 
+#: Links that one task writes at most, give or take skew.
+LINKS_PER_FILE = 200_000
+
 
 def _towards(links: DataFrame) -> DataFrame:
     """Each link in both directions."""
@@ -13,21 +18,28 @@ def _towards(links: DataFrame) -> DataFrame:
 
 
 def _large_star(links: DataFrame) -> DataFrame:
-    """Every larger neighbour of u moves to the smallest neighbour of u, or u itself."""
+    """Every larger neighbour of u moves to the smallest neighbour of u, or u itself. May repeat links."""
     both = _towards(links)
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    moved = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.where("u <> v").distinct()
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    """Every smaller neighbour of u, and u, move to the smallest neighbour of u."""
+    """Every smaller neighbour of u, and u, move to the smallest neighbour of u. Links point down and occur once."""
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
     moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
+def _is_done(links: DataFrame) -> bool:
+    """Whether each node has one link, and to a node without any."""
+    per_node = links.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+    if not per_node.where("n > 1").isEmpty():
+        return False
+    return links.select("v").distinct().join(per_node.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node with a link: root is the smallest node of its component.
 
@@ -36,14 +48,13 @@ def components(links: DataFrame) -> DataFrame:
     the logarithm of the longest path, not with the rows.
     """
     u, v = links.columns
-    now = stored(links.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u <> v").distinct(), "links")
-    mark = None
-    while True:
-        now = stored(_small_star(_large_star(now)), "links")
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == mark or not state[0]:
-            break
-        mark = state
+    now = stored(links.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u <> v"), "links")
+    n = now.count()
+    parts = math.ceil(n / LINKS_PER_FILE)  # no round has more links than the first
+    if n:
+        now = stored(_small_star(now).coalesce(parts), "links")
+        while not _is_done(now):
+            now = stored(_small_star(_large_star(now)).coalesce(parts), "links")
     roots = now.select("v").distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
         roots.select(F.col("v").alias("node"), F.col("v").alias("root"))

@@ -96,7 +96,7 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     buckets = keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("pivot")).where("n > 1")
     members = stored(keyed.join(buckets, ["t", "key"]), "block_members")
     near_pivot = members.where((F.col("fp") != F.col("pivot")) & (_distance("fp", "pivot") <= max_bits))
-    stars = stored(components(near_pivot.select("pivot", "fp").distinct()), "stars")
+    stars = stored(components(near_pivot.select("pivot", "fp")), "stars")
     root = stars.select(F.col("node").alias("fp"), "root")
     open_members = members.where("n > 2").join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     pivot_root = stars.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
@@ -112,7 +112,9 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         (apart.t == other.t) & (apart.key == other.key) & (F.col("root") != F.col("o_root"))
         & (F.col("o_core") | (F.col("fp") < F.col("o_fp"))) & (F.bit_count(differ) <= max_bits) & (first == apart.t)
     )
-    across = apart.join(other, condition).select("root", "o_root").distinct()
+    across = stored(apart.join(other, condition).select("root", "o_root").distinct(), "across")
+    if across.isEmpty():
+        return stars
     merged = components(across).select(F.col("node").alias("root"), F.col("root").alias("top"))
     lone = across.select(F.explode(F.array("root", "o_root")).alias("node")).distinct()
     nodes = stars.unionAll(lone.join(stars, "node", "left_anti").select("node", F.col("node").alias("root")))
