@@ -107,8 +107,11 @@ class PiiModel:
 def candidates(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(tag, id, base, loose): strict spans, and loose candidates with features and whether a strict span equals them."""
     text = docs.select(F.col(id_column).alias("id"), whole_text(F.col(text_column)).alias("text"))
+    # What every match of a pattern holds.
+    text = text.withColumns({"digit": F.col("text").rlike("[0-9]"), "at": F.col("text").rlike(r"@|[(\[](?:at|AT)[)\]]"), "plus": F.contains("text", F.lit("+"))})
+    possible = [F.col(c) for c in ("at", "digit", "digit", "plus", "at", "digit", "digit", "digit")]
     patterns = [*zip((EMAIL, IP, CARD, PHONE), "bbbb", strict=True), *zip(LOOSE, "llll", strict=True)]
-    cut = text.select("id", "text", *[c.alias(f"{n}_{side}{i % 4}") for i, (p, side) in enumerate(patterns) for n, c in zip("gm", spans.pieces(F.col("text"), p), strict=True)])
+    cut = text.select("id", "text", *[c.alias(f"{n}_{side}{i % 4}") for i, (p, side) in enumerate(patterns) for n, c in zip("gm", spans.pieces(F.col("text"), p, possible[i]), strict=True)])
     placed = cut.select("id", "text", *[spans.spans(F.col(f"g_{side}{i}"), F.col(f"m_{side}{i}")).alias(f"{side}{i}") for side in "bl" for i in range(4)])
     checked = placed.select("id", "text", *[F.filter(f"b{i}", partial(passes, i)).alias(f"b{i}") for i in range(4)], *[f"l{i}" for i in range(4)])
 

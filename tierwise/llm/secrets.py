@@ -48,7 +48,11 @@ def owner_of(source: Column) -> Column:
 def candidates(docs: DataFrame, id_column: str, source_column: str, text_column: str) -> DataFrame:
     """(tag, id, repo, owner, found): per row the candidates (ord, kind, start, end, hash, live), without the text."""
     text = docs.select(F.col(id_column).alias("id"), F.col(source_column).cast("string").alias("repo"), whole_text(F.col(text_column)).alias("text"))
-    cut = text.select("id", "repo", *[c.alias(f"{n}{i}") for i, p in enumerate((ASSIGN, ACCESS, HEX, OWNED)) for n, c in zip("gm", spans.pieces(F.col("text"), p), strict=True)])
+    # What every match of a pattern holds; a run of hexadecimal digits needs nothing that is cheaper to find.
+    possible = {"p0": F.col("text").rlike("[:=]"), "p1": F.contains("text", F.lit("AKIA")), "p3": F.col("text").rlike("[0-9]")}
+    text = text.withColumns(possible)
+    patterns = ((ASSIGN, F.col("p0")), (ACCESS, F.col("p1")), (HEX, None), (OWNED, F.col("p3")))
+    cut = text.select("id", "repo", *[c.alias(f"{n}{i}") for i, p in enumerate(patterns) for n, c in zip("gm", spans.pieces(F.col("text"), *p), strict=True)])
     placed = cut.select("id", "repo", *[spans.spans(F.col(f"g{i}"), F.col(f"m{i}")).alias(f"s{i}") for i in range(len(KINDS))])
 
     def entry(i: int, s: Column) -> Column:

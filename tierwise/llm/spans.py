@@ -8,9 +8,16 @@ from pyspark.sql import Column, functions as F
 BLOCK = 128
 
 
-def pieces(text: Column, pattern: str) -> tuple[Column, Column]:
-    """The lengths of the texts between the leftmost non-overlapping matches, and the matches."""
-    return F.transform(F.split(text, pattern, -1), lambda gap: F.length(gap)), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def pieces(text: Column, pattern: str, possible: Column | None = None) -> tuple[Column, Column]:
+    """The lengths of the texts between the leftmost non-overlapping matches, and the matches.
+
+    ``possible`` is a cheap condition without which there is no match: other texts are not searched.
+    """
+    gaps = F.transform(F.split(text, pattern, -1), lambda gap: F.length(gap))
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    if possible is None:
+        return gaps, matches
+    return F.when(possible, gaps).otherwise(F.array(F.lit(0))), F.when(possible, matches).otherwise(F.array().cast("array<string>"))
 
 
 def _summed(parts: Column, start: Column) -> Column:
