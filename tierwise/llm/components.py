@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
 from tierwise.llm.common import stored
 
-#: Links that one task writes at most, give or take skew.
-LINKS_PER_FILE = 200_000
-
 
 def _towards(links: DataFrame) -> DataFrame:
     """Each link in both directions."""
@@ -49,12 +44,10 @@ def components(links: DataFrame) -> DataFrame:
     """
     u, v = links.columns
     now = stored(links.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u <> v"), "links")
-    n = now.count()
-    parts = math.ceil(n / LINKS_PER_FILE)  # no round has more links than the first
-    if n:
-        now = stored(_small_star(now).coalesce(parts), "links")
+    if not now.isEmpty():
+        now = stored(_small_star(now), "links")
         while not _is_done(now):
-            now = stored(_small_star(_large_star(now)).coalesce(parts), "links")
+            now = stored(_small_star(_large_star(now)), "links")
     roots = now.select("v").distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
         roots.select(F.col("v").alias("node"), F.col("v").alias("root"))
