@@ -74,6 +74,38 @@ def test_finds_every_piece_within_its_budget(spark):
             assert dc.normal(texts[r.id][r.start : r.end].encode()) in dc.normal(dict(items)[r.item].encode())
 
 
+CASED = [
+    "à côté de l'église, l'élève préféré récitait à haute voix la fable où le chêne défie le très léger roseau éploré",
+    "die süßen äpfel fielen über nacht auf die große straße, und müde hörten wir, daß draußen löwenmäulchen blühen",
+    "el niño soñó que el pingüino cruzó el océano en un camión pequeño según contó después su tía maría en málaga",
+    "ο παππούς τους λέει πως ο δρόμος προς τις όμορφες πόλεις της ελλάδας είναι μακρύς και γεμάτος ήλιους",
+    "в чащах юга жил бы цитрус, да но фальшивый экземпляр, съешь ещё этих мягких французских булок да выпей чаю",
+    "ŝanĝu ĉiujn ĵaŭdojn, ĥoro ĝojas, źdźbło żółci, příliš žluťoučký kůň úpěl ďábelské ódy, zażółć gęślą jaźń",
+]
+
+
+def test_capitals_of_any_script(spark):
+    before = "İſẞ ﬁ K, %s: " % WORDS[0]  # their folded forms have other lengths
+    rows, want = [], set()
+    for i, item in enumerate(CASED):
+        for text in (item.upper(), item.upper().replace(" ", " \n "), before + item.upper() + " ẞİ", item.title(), item[:40].upper()):
+            rows.append((len(rows), text, "x", 1))
+            # upper() is the test's own folding
+            flat = " ".join(text.upper().split()).encode()
+            pieces = dc.pieces_of(" ".join(item.upper().split()).encode())
+            if any(least_edits(p, flat) <= int(len(p) * dc.EDITS) for p in pieces):
+                want.add((rows[-1][0], i))
+    assert want == {(5 * i + j, i) for i in range(len(CASED)) for j in range(4)}
+    bench = spark.createDataFrame(list(enumerate(CASED)), "item_id long, text string")
+    found = dc.contaminated(spark.createDataFrame(rows, SCHEMA), bench).collect()
+    assert {(r.id, r.item) for r in found} == want and {r.edits for r in found} == {0}
+    for r in found:
+        place = " ".join(rows[r.id][1][r.start : r.end].upper().split())
+        assert len(place) > 30 and place in CASED[r.item].upper()
+    again = dc.contaminated(bench.select(F.col("item_id").alias("doc_id"), "text"), spark.createDataFrame([(i, t.upper()) for i, t in enumerate(CASED)], "item_id long, text string"))
+    assert {(r.id, r.item, r.edits) for r in again.collect()} == {(i, i, 0) for i in range(len(CASED))}
+
+
 def test_pieces_cover_an_item():
     text = bytes(range(40, 240)) * 3
     for size in (1, 60, 119, 120, 121, 180, 300, 600):

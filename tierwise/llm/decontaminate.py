@@ -1,6 +1,6 @@
 """Benchmark decontamination by q-gram counts in diagonal bands.
 
-Texts are compared in lower case with runs of white space as one space. A benchmark item is cut into overlapping pieces,
+Texts are compared with the case of all scripts folded and runs of white space as one space. A benchmark item is cut into overlapping pieces,
 so that a passage is found also when the rest of the item is missing. If a piece of m bytes occurs with at most k edits,
 it shares at least m - q + 1 - kq q-grams with the place (the q-gram lemma), and these lie within k + 1 neighbouring
 diagonals (position in the text minus position in the piece). So shared q-grams are counted in bands of 2(k + 1)
@@ -11,6 +11,7 @@ Documents are scanned in place, without a shuffle. The benchmark travels to them
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -27,10 +28,35 @@ BLOCK_BYTES = 4_000_000
 CHUNK_BYTES = 1_000_000
 _PAIRS = 1_000_000
 _TABLE_BITS = 22
+#: Characters whose folded form has another number of bytes. No letter beyond has a case.
+_UNEVEN = re.compile("([%s])" % "".join(c for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x20000)]) if len(c.casefold().encode()) != len(c.encode())))
+
+
+def _folded(text: bytes):
+    """The text with its case folded and, if some character changes its length, the position in the text of each byte."""
+    import numpy as np
+
+    if text.isascii():
+        return text.lower(), None
+    chars = text.decode("utf-8", "surrogateescape")
+    folded = chars.casefold().encode("utf-8", "surrogateescape")
+    if not _UNEVEN.search(chars):
+        return folded, None
+    where, at = [], 0
+    for i, part in enumerate(_UNEVEN.split(chars)):
+        size = len(part.encode("utf-8", "surrogateescape"))
+        if i % 2:  # one such character: its last byte stands for its end
+            places = np.full(len(part.casefold().encode()), at)
+            places[-1] = at + size - 1
+        else:
+            places = np.arange(at, at + size)
+        where.append(places)
+        at += size
+    return folded, np.concatenate(where)
 
 
 def normal(text: bytes) -> bytes:
-    return b" ".join(text.lower().split())
+    return b" ".join(_folded(text)[0].split())
 
 
 def _budget(size: int, edits: float) -> int:
@@ -151,12 +177,13 @@ def _normal_with_map(text: bytes):
     """The normalised bytes of a text and, for each, its position in the text."""
     import numpy as np
 
-    data = np.frombuffer(text.lower(), dtype=np.uint8)
+    folded, where = _folded(text)
+    data = np.frombuffer(folded, dtype=np.uint8)
     space = (data == 32) | ((data >= 9) & (data <= 13))
     keep = ~space
     keep[1:] |= space[1:] & ~space[:-1]
     at = np.flatnonzero(keep)
-    return np.where(space[at], np.uint8(32), data[at]), at
+    return np.where(space[at], np.uint8(32), data[at]), at if where is None else where[at]
 
 
 def _matches(texts: list[bytes], pieces: Pieces):
