@@ -33,6 +33,28 @@ def test_small_pages(page, text):
     assert html_text.main_text(page or "") == text
 
 
+OTHER_LANGUAGES = [
+    "В чащах юга жил бы цитрус, но фальшивый экземпляр рос у самой дороги, и каждый прохожий мог видеть его плоды. ",
+    "Pchnąć w tę łódź jeża lub ośm skrzyń fig, powiedział stary rybak, który mieszkał niedaleko portu i znał każdą falę. ",
+    "Pijamalı hasta yağız şoföre çabucak güvendi, sonra birlikte şehrin dışındaki eski köprüye kadar yavaşça yürüdüler. ",
+    "いろはにほへとちりぬるをわかよたれそつねならむうゐのおくやまけふこえてあさきゆめみしゑひもせすと昔の人は歌に残しました。",
+]
+
+
+@pytest.mark.parametrize("sentence", OTHER_LANGUAGES)
+def test_pages_in_other_languages_without_main_elements(sentence):
+    first, second = (sentence * 4).strip(), (sentence * 3).strip() + "!"
+    links = "".join('<a href="/%d">%s</a>' % (i, sentence[:20]) for i in range(9))
+    page = f"<body><nav>{links}</nav><div><p>{first}</p><p>{second}</p></div><div>{links}</div><footer>{sentence}</footer></body>"
+    assert html_text.main_text(page) == first + "\n" + second
+
+
+def test_stop_words_count_where_a_listed_language_is_told():
+    prose = "It was the best of times and it was the worst of times, as they say in the book that we have here. " * 3
+    junk = "cheap phones tablets laptops cameras printers monitors keyboards speakers cables " * 4
+    assert html_text.main_text(f"<p>{prose}</p><p>{junk}</p>") == prose.strip()
+
+
 def test_open_blocks_inherit():
     assert html_text._second_pass(["good", "short", "short", "short", "bad"]) == [True, True, False, False, False]
     assert html_text._second_pass(["bad", "near", "good", "head", "bad", "head", "good"]) == [False, True, True, False, False, True, True]

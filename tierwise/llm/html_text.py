@@ -1,8 +1,9 @@
 """Main text of web pages by two passes of block rules.
 
 A page is cut into blocks at block-level tags. The first pass decides a block by where it stands, its link density, its
-length and its share of stop words; short blocks and blocks of a middling share stay open. In the second pass an open
-block takes the label of its nearest decided neighbours.
+length and its share of stop words; short blocks and blocks of a middling share stay open. On a page whose blocks show
+few stop words of any listed language, length alone counts in their place. In the second pass an open block takes the
+label of its nearest decided neighbours.
 """
 
 from __future__ import annotations
@@ -142,11 +143,29 @@ def _first_pass(block: tuple[str, int, bool, bool, bool]) -> str:
         return "good"
     if heading or len(text) < SHORT:
         return "bad" if links else "head" if heading else "short"
-    words = _WORD.findall(text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if stops >= HIGH_STOPS:
+    stops, words = _stops(text)
+    if stops >= HIGH_STOPS * max(1, words):
         return "good" if len(text) > LONG else "near"
-    return "near" if stops >= LOW_STOPS else "bad"
+    return "near" if stops >= LOW_STOPS * max(1, words) else "bad"
+
+
+def _stops(text: str) -> tuple[int, int]:
+    """Stop words and words of a text."""
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def _first_labels(blocks: list[tuple[str, int, bool, bool, bool]]) -> list[str]:
+    """The first pass over a page; if no listed language is told by it, stop words do not count."""
+    labels = [_first_pass(b) for b in blocks]
+    if "good" in labels:
+        return labels
+    long = [i for i, (text, links, frame, main, heading) in enumerate(blocks) if not (frame or heading or len(text) < SHORT) and links <= LINKS * len(text.replace(" ", ""))]
+    counts = [_stops(blocks[i][0]) for i in long]
+    if sum(c[0] for c in counts) < LOW_STOPS * sum(c[1] for c in counts):
+        for i in long:
+            labels[i] = "good" if len(blocks[i][0]) > LONG else "near"
+    return labels
 
 
 def _second_pass(labels: list[str]) -> list[bool]:
@@ -185,7 +204,7 @@ def main_text(html: str) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    kept = _second_pass([_first_pass(b) for b in parser.blocks])
+    kept = _second_pass(_first_labels(parser.blocks))
     return "\n".join(b[0] for b, keep in zip(parser.blocks, kept, strict=True) if keep)
 
 
