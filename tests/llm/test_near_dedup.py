@@ -108,65 +108,6 @@ def test_keep_one_keeps_columns_and_one_of_a_group(spark):
     assert kept.where("doc_id is null").count() == 1
 
 
-def shingled(text):
-    words = " ".join((text or "").lower().split(" ")).split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def firsts_of_similar(rows):
-    """The first id of each component of all pairs with a similarity of 0.8 or more, and how many differ in five bits or more."""
-    sets = {i: shingled(t) for i, t in rows}
-    root, far = {i: i for i in sets}, 0
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for (i, t), (j, u) in itertools.combinations(sorted(rows, key=lambda r: r[0]), 2):
-        a, b = sets[i], sets[j]
-        if (not a and not b) or 5 * len(a & b) >= 4 * len(a | b) > 0:
-            far += (fingerprint(t) ^ fingerprint(u)).bit_count() > 4
-            x, y = sorted((find(i), find(j)))
-            root[y] = x
-    return {i: find(i) for i in sets}, far
-
-
-def edited_corpus(seed=8):
-    rng = random.Random(seed)
-    words = ["w%d" % i for i in range(300)] + ["é%d" % i for i in range(50)]
-    common = [rng.choice(words) for _ in range(40)]
-    texts = [None, "", " \n", "one", "ONE two"]
-    for i in range(60):
-        base = [rng.choice(words) for _ in range(rng.choice([3, 5, 8, 30, 90, 250]))] + (common if i % 3 == 0 else [])
-        for _ in range(rng.choice([1, 2, 3, 25 if i % 20 == 1 else 2])):
-            copy = list(base)
-            for _ in range(rng.randrange(1 + len(base) // 30)):
-                copy[rng.randrange(len(copy))] = "x%d" % rng.randrange(10**6)
-            texts.append(" ".join(copy).upper() if rng.random() < 0.2 else " ".join(copy))
-    rng.shuffle(texts)
-    return list(enumerate(texts))
-
-
-def test_keep_one_equals_all_similar_pairs(spark, monkeypatch):
-    rows = edited_corpus()
-    want, far = firsts_of_similar(rows)
-    assert far > 50  # four bits would not link these
-    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    for sample, common in ((near_dedup.SAMPLE_ROWS, near_dedup.COMMON_SHINGLES), (20, 50)):
-        monkeypatch.setattr(near_dedup, "SAMPLE_ROWS", sample)
-        monkeypatch.setattr(near_dedup, "COMMON_SHINGLES", common)
-        assert {r.id: r.component_id for r in near_dedup.similar_documents(docs).collect()} == want
-    assert {r.doc_id for r in near_dedup.keep_one(docs).collect()} == set(want.values())
-
-
-def test_similarity_of_just_four_fifths_is_enough(spark):
-    nine = ["a%d" % i for i in range(13)]  # nine shingles; with one word more at the end eight of ten are shared
-    rows = [(1, " ".join(nine)), (2, " ".join([*nine[1:], "z"])), (3, " ".join([*nine[2:], "z"])), (4, " ".join([*nine[:-1], "y", "x"]))]
-    got = {r.id: r.component_id for r in near_dedup.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert got == firsts_of_similar(rows)[0] and got[2] == 1
-
-
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert near_dedup.near_duplicates(empty).count() == 0 and near_dedup.keep_one(empty).count() == 0

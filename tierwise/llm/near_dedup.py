@@ -1,24 +1,14 @@
-"""Near duplicates, in two definitions.
-
-``near_duplicates``: SimHash fingerprints, pigeonhole blocks, Hamming distance.
-
-``similar_documents``: Jaccard similarity of the sets of word shingles, exact. Under any one order of all shingles, two
-sets of similarity s share a shingle among the first n - ceil(s n) + 1 of each; so only these are joined, and rare
-shingles come first in the order so that few unlike documents meet. Bounds on the overlap, which no similar pair fails,
-thin the pairs out before the whole sets are compared.
-"""
+"""Near duplicates by SimHash fingerprints: pigeonhole blocks bring close pairs together, the Hamming distance decides."""
 
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tierwise.llm.common import free_name, row_key, slices_by_bytes, stored
+from tierwise.llm.common import free_name, row_key, stored
 from tierwise.llm.components import components
-from tierwise.llm.substring_dedup import _Rolling, word_hashes
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -26,17 +16,6 @@ HASH_SEED = 42
 #: Shingle hashes unpacked at once.
 BIT_ROWS = 4096
 
-SIMILAR_WORDS = 5
-SIMILARITY = 0.8
-CHUNK_BYTES = 2_000_000
-#: Documents that tell which shingles are common, and how many of those travel to the tasks. Both change the cost only.
-SAMPLE_ROWS = 10_000
-COMMON_SHINGLES = 200_000
-#: Parts into which the partners of one document are dealt.
-SALTS = 32
-
-_SHINGLE, _NODE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
-
 
 def simhash(text: bytes, words_per_shingle: int = SHINGLE_WORDS) -> int:
     """The fingerprint of one text: bit i is set if it is set in over half of the shingles' hashes."""
@@ -172,153 +151,16 @@ def _named(found: DataFrame, classes: DataFrame, key: str, links: DataFrame) ->
     return found.join(named, key).select("id", "rk", key, "component_id", "keep_rk")
 
 
-def shingle_sets(texts: list[bytes], width: int = SIMILAR_WORDS):
-    """(node, shingles) of each text: a hash of its words, and the sorted hashes of its shingles.
-
-    Case is folded; a text of fewer words than ``width`` has one shingle, a wordless one none and node 0.
-    """
-    import numpy as np
-
-    words, firsts = word_hashes([t.lower() if t.isascii() else t.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape") for t in texts])
-    rolling = _Rolling(words, _SHINGLE)
-    at = np.arange(max(0, len(words) - width + 1))
-    hashes = rolling.of(at, at + width)
-    starts, ends = firsts[:-1], firsts[1:]
-    whole, nodes = rolling.of(starts, ends), _Rolling(words, _NODE).of(starts, ends)
-    nodes[starts == ends] = 0
-    for i, (a, b) in enumerate(zip(starts, ends, strict=True)):
-        found = whole[i : i + 1] if a < b < a + width else hashes[a : max(a, b - width + 1)]
-        yield int(nodes[i].astype(np.int64)), np.unique(found)
-
-
-def _scan(keyed: DataFrame, schema: str, width: int, row) -> DataFrame:
-    """``row(node, shingles)`` of each text, after the columns id and rk; its last value is an array of hashes."""
-    import pyarrow as pa
-
-    names = [c.split()[0] for c in schema.split(",")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices_by_bytes(batch, "text", CHUNK_BYTES):
-                texts = [t or b"" for t in part.column("text").cast(pa.large_binary()).to_pylist()]
-                *plain, lists = zip(*[row(*x) for x in shingle_sets(texts, width)], strict=True)
-                columns = [*part.select(["id", "rk"]).columns, *[pa.array(c, pa.int64()) for c in plain]]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([x.view("<i8") for x in lists], pa.list_(pa.int64()))], names=names)
-
-    return keyed.mapInArrow(run, schema)
-
-
-def _common(keyed: DataFrame, width: int):
-    """Shingles that several texts of a sample have, sorted, and the number of texts."""
-    import numpy as np
-
-    every = max(1, keyed.count() // SAMPLE_ROWS)
-    sample = _scan(keyed.where(F.pmod("rk", F.lit(every)) == 0), "id long, rk long, node long, shingles array<long>", width, lambda node, s: (node, s))
-    counts = sample.select("node", F.explode("shingles").alias("shingle")).distinct().groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    counts = stored(counts.where("n > 1"), "common_shingles")
-    least, total = None, 0
-    for n, rows in sorted(map(tuple, counts.groupBy("n").count().collect()), reverse=True):
-        total += rows
-        if total > COMMON_SHINGLES:
-            break
-        least = n
-    if least is None:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    table = counts.where(F.col("n") >= least).toArrow()
-    shingles, n = table["shingle"].to_numpy().view(np.uint64), table["n"].to_numpy()
-    order = np.argsort(shingles)
-    return shingles[order], n[order]
-
-
-def _least_overlap(similarity: float, n: Column | str, m: Column | str) -> Column:
-    """Shared shingles that sets of these sizes need, with room for rounding."""
-    return (F.col(n) + F.col(m)) * F.lit(similarity / (1 + similarity)) - F.lit(1e-6)
-
-
-def _overlap(pairs: DataFrame, lists: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, ...) with the number of common entries of their lists; ``lists`` are (node, list)."""
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
-    left = salted.select("a", "salt").distinct().join(lists.select(F.col("node").alias("a"), F.col("list").alias("left")), "a")
-    both = salted.join(left, ["a", "salt"]).join(lists.select(F.col("node").alias("b"), F.col("list").alias("right")), "b")
-    return both.select(*pairs.columns, F.size(F.array_intersect("left", "right")).alias("shared"))
-
-
-def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_per_shingle: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document: id, rk (row key), node (hash of the words), component_id, keep_rk.
-
-    Two documents are linked if the sets of their shingles have a Jaccard similarity of at least ``similarity``; no such
-    pair is missed and no other is linked. component_id and keep_rk as in ``near_duplicates``. Words are split at ASCII
-    white space and compared with case folded. Null and wordless texts are one group; a text of fewer words than a
-    shingle is one shingle. Repeated rows give repeated rows; an empty table gives no rows; other columns are ignored.
-    """
-    import numpy as np
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The documents left when each group of ``near_duplicates`` keeps the one with the smallest id.
 
-    keyed = docs.select(F.col(id_column).cast("long").alias("id"), row_key(id_column, text_column).alias("rk"), F.col(text_column).cast("string").alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(_common(keyed, words_per_shingle))
-
-    def head(node, shingles):
-        common, counts = sent.value
-        if len(common):
-            at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-            seen = np.where(common[at] == shingles, counts[at], 0)
-            shingles = shingles[np.argsort(seen, kind="stable")]
-        n = len(shingles)
-        return node, n, shingles[: n - math.ceil(similarity * n - 1e-9) + 1]
-
-    found = stored(_scan(keyed, "id long, rk long, node long, n long, head array<long>", words_per_shingle, head), "shingle_heads")
-    classes = _classes(found, "node")
-
-    # Members of shared shingles, each with its place in the order of its document.
-    rows = found.select("node", "n", F.posexplode("head").alias("place", "shingle"))
-    shared = rows.groupBy("shingle").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("shingle")
-    members = stored(rows.join(shared, "shingle").dropDuplicates(["shingle", "node"]), "shingle_members")
-
-    def possible(left: str, right: str) -> Column:
-        """The overlap that places and sizes leave open is enough."""
-        n, m, i, j = (F.col(f"{side}{c}") for c in ("n", "place") for side in (left, right))
-        return F.least(i, j) + F.least(n - i, m - j) >= _least_overlap(similarity, f"{left}n", f"{right}n")
-
-    def alike(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b, n, m) that are similar: by their heads first, by the whole sets where that leaves it open."""
-        pairs = stored(pairs.distinct(), f"{name}_pairs")
-        nodes = stored(pairs.select("a").unionAll(pairs.select("b")).distinct().withColumnRenamed("a", "node").join(classes, "node").select("node", F.col("least.rk").alias("rk")), f"{name}_nodes")
-        heads = found.join(nodes.select("rk"), "rk", "left_semi").select("node", F.col("head").alias("list")).dropDuplicates(["node"])
-        rest = F.ceil(F.greatest("n", "m") * F.lit(similarity) - 1e-9) - 1  # shingles behind the head
-        open_ = stored(_overlap(pairs, heads).where(F.col("shared") + rest >= _least_overlap(similarity, "n", "m")).drop("shared"), f"{name}_open")
-        needed = open_.select("a").unionAll(open_.select("b")).distinct().withColumnRenamed("a", "node")
-        texts = keyed.join(nodes.join(needed, "node", "left_semi").select("rk"), "rk", "left_semi").select("id", "rk", "text")
-        whole = _scan(texts, "id long, rk long, node long, list array<long>", words_per_shingle, lambda node, s: (node, s))
-        whole = stored(whole.select("node", "list").dropDuplicates(["node"]), f"{name}_sets")
-        return stored(_overlap(open_, whole).where(F.col("shared") >= _least_overlap(similarity, "n", "m")).select("a", "b"), name)
-
-    # Two pivots of each shingle meet all its members; a dense group becomes a star without all of its pairs.
-    it = F.struct("node", "n", "place")
-    pivots = members.groupBy("shingle").agg(F.min(it).alias("lo"), F.max(it).alias("hi"))
-    met = members.join(pivots, "shingle").select("*", F.explode(F.array("lo", "hi")).alias("p")).select("node", "n", "place", "p.node", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("n", "place")]).toDF("b", "n", "place", "a", "p_n", "p_place")
-    stars = stored(components(alike(met.where((F.col("a") != F.col("b")) & possible("", "p_")).select("a", "b", F.col("p_n").alias("n"), F.col("n").alias("m")), "near_pivots")), "similar_stars")
-
-    # What this leaves apart from the largest star of its shingle meets the members of other stars there.
-    rooted = members.join(stars, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = rooted.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("size"))
-    cores = sizes.groupBy("shingle").agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("stars")).where("stars > 1")
-    cores = cores.join(pivots, "shingle").select("shingle", F.col("top.root").alias("top"), F.col("lo.node").alias("lo"), F.col("hi.node").alias("hi"))
-    left = rooted.join(cores, "shingle").where("node <> lo and node <> hi").select("shingle", "node", "n", "place", "root", (F.col("root") == F.col("top")).alias("core"))
-    left = stored(left, "similar_apart")
-    other = left.select("shingle", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "place", "root", "core")])
-    pairs = left.where("not core").join(other, "shingle").where("root <> o_root and (o_core or node < o_node)").where(possible("", "o_"))
-    across = alike(pairs.select(F.col("node").alias("a"), F.col("o_node").alias("b"), "n", F.col("o_n").alias("m")), "similar_across")
-    if not across.isEmpty():
-        stars = components(stars.select(F.col("root").alias("a"), F.col("node").alias("b")).where("a <> b").unionAll(across))
-    return _named(found.select("id", "rk", "node"), classes, "node", stars)
-
-
-def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents left when each group of ``similar_documents`` keeps the one with the smallest id.
-
-    Columns are those of ``docs``. Of repeated rows with that id and text one stays.
+    Columns are those of ``docs``. Of repeated rows with that id and text one stays. Only ids and keys travel through the
+    search; a row is found again by id and key together, and rows are one only if id and text are equal.
     """
-    groups = similar_documents(docs, id_column, text_column)
-    key = free_name(docs, "row_key")
-    kept = groups.where("rk = keep_rk").select(F.col("rk").alias(key)).distinct()
+    groups = near_duplicates(docs, id_column, text_column, words_per_shingle, max_bits)
+    key, id_ = free_name(docs, "row_key"), free_name(docs, "row_id")
+    kept = groups.where("rk = keep_rk and id <=> component_id").select(F.col("rk").alias(key), F.col("id").alias(id_)).distinct()
     keyed = docs.withColumn(key, row_key(id_column, text_column))
-    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    same = (keyed[key] == kept[key]) & F.col(f"`{id_column}`").cast("long").eqNullSafe(kept[id_])
+    found = keyed.join(kept, same, "left_semi").dropDuplicates([key, id_column, text_column])
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
