@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierwise.llm import decontaminate, exact_dedup, html_text, line_dedup, mixing, near_dedup, pii, quality, secrets, substring_dedup
+from tierwise.llm import decontaminate, exact_dedup, html_text, line_dedup, mixing, near_dedup, packing, pii, quality, secrets, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -138,3 +138,9 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
     found = near_dedup.near_duplicates(_read(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query()
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 1024 tokens."""
+    return packing.pack(_read(spark, sf_dir, "documents")).withColumnsRenamed({"id": "doc_id", "crc": "ids_crc32"})
