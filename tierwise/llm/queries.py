@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierwise.llm import decontaminate, exact_dedup, html_text, line_dedup, mixing, near_dedup, packing, pii, quality, secrets, substring_dedup
+from tierwise.llm import alignment, collocations, decontaminate, exact_dedup, html_text, line_dedup, mixing, near_dedup, packing, pii, quality, secrets, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,6 +140,39 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@_query()
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document, with corpus-wide link counts."""
+    found = alignment.align(_read(spark, sf_dir, "documents"))
+    return found.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})
+
+
+@_query(
+    r"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+    totals AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+    f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f
+        FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, 6) t(k) WHERE len(ws) >= k) GROUP BY ALL HAVING count(*) >= 100),
+    c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+    inside AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS within
+        FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM c, range(2, 5) t(m) WHERE m < k) GROUP BY ALL),
+    cuts AS (SELECT c.lang, c.phrase, a, n, cut, x.f AS l, y.f AS r, (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c JOIN totals USING (lang)
+        JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1:cut], ' ')
+        JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(ws[cut + 1:], ' ')),
+    best AS (SELECT * FROM cuts LEFT JOIN inside USING (lang, phrase) WHERE coalesce(within, 0) * 100 < a * 100
+        QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+    FROM best QUALIFY rank <= 2000
+    """
+)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language whose words belong together most."""
+    return collocations.collocations(_read(spark, sf_dir, "documents"))
+
+
 @_query()
 def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 1024 tokens."""
