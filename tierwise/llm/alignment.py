@@ -61,7 +61,7 @@ class Aligner:
 
         both = [self.tokens(t) for t in texts]
         counts = np.array([[len(a), len(b)] for a, b in both], dtype=np.int64).reshape(-1, 2)
-        a, b = (np.fromiter((i for pair in both for i in pair[side]), dtype=np.int64, count=counts[:, side].sum()) for side in (0, 1))
+        a, b = (np.concatenate([np.array(pair[side], dtype=np.int64) for pair in both]) for side in (0, 1))
         # Both sides of a text have the same bytes, so offsets may run on from text to text.
         ends_a, ends_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
         last_a, last_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
@@ -119,7 +119,7 @@ def opened(maps):
 
 
 def _postings(pair, low, times):
-    """(first id, second id, maps) of the pairs of a chunk: the documents of each, and the digits of its further links."""
+    """(pair, maps) of the pairs of a chunk: the documents of each, and the digits of its further links."""
     import numpy as np
     import pyarrow as pa
 
@@ -140,8 +140,7 @@ def _postings(pair, low, times):
     order = np.argsort(place, kind="stable")
     sizes = np.bincount(place, minlength=first[-1])
     maps = containers(np.concatenate(([0], np.cumsum(sizes))), low[order])
-    lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), maps)
-    return pa.array((pairs >> 32).astype(np.int32)), pa.array((pairs & (2**32 - 1)).astype(np.int32)), lists
+    return pairs, pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), maps)
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", byte_vocabulary: str = BYTE_VOCABULARY, piece_vocabulary: str = PIECE_VOCABULARY, digest: bool = True) -> DataFrame:
@@ -164,7 +163,8 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         chunk, held, entries, kept = TaskContext.get().partitionId() << 32, 0, 0, []
 
         def close() -> pa.RecordBatch:
-            a, b, maps = _postings(*(np.concatenate(x) for x in zip(*kept, strict=True)))
+            pairs, maps = _postings(*(np.concatenate(x) for x in zip(*kept, strict=True)))
+            a, b = (pa.array(x.astype(np.int32)) for x in np.divmod(pairs, len(aligner.b.bytes)))
             return rows(len(a), chunk=pa.array(np.full(len(a), chunk)), a=a, b=b, maps=maps)
 
         for batch in batches:
@@ -176,8 +176,8 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                         yield close()
                         chunk, held, entries, kept = chunk + 1, 0, 0, []
                     n_a, n_b, n_groups, groups, (text, a, b) = aligner.align([t or "" for t in some.column("text").to_pylist()])
-                    links, times = np.unique(np.stack([a << 32 | b, text + held], axis=1), axis=0, return_counts=True) if len(a) else (np.zeros((0, 2), dtype=np.int64), np.zeros(0, dtype=np.int64))
-                    kept.append((links[:, 0], links[:, 1], times))
+                    links, times = np.unique((a * len(aligner.b.bytes) + b) * n + text, return_counts=True)
+                    kept.append((links // n, links % n + held, times))
                     low = pa.array(np.arange(held, held + n, dtype=np.int32))
                     plain = {"n_a": pa.array(n_a), "n_b": pa.array(n_b), "n_groups": pa.array(n_groups), "groups": pa.array(groups, pa.string())}
                     yield rows(n, id=some.column("id"), chunk=pa.array(np.full(n, chunk)), low=low, **plain)
