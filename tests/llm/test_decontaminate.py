@@ -60,7 +60,7 @@ def test_finds_every_piece_within_its_budget(spark):
         t = dc.normal(text.encode())
         for j, item in items:
             x = dc.normal(item.encode())
-            if len(x) >= dc.MIN_BYTES and any(least_edits(p, t) <= int(len(p) * dc.EDITS) for p in dc.pieces_of(x)):
+            if any(least_edits(p, t) <= int(len(p) * dc.EDITS) for p in dc.pieces_of(x)) if len(x) >= dc.MIN_BYTES else b" " + x + b" " in b" " + t + b" ":
                 want.add((i, j))
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -74,6 +74,51 @@ def test_finds_every_piece_within_its_budget(spark):
             assert dc.normal(texts[r.id][r.start : r.end].encode()) in dc.normal(dict(items)[r.item].encode())
 
 
+def spread_edits(rng, text, n):
+    """The text with n substitutions that leave as few whole q-grams as they can, in runs of any length."""
+    chars = list(text)
+    for i in range(n):
+        at = min(len(chars) - 1, (i + 1) * len(chars) // (n + 1) + rng.randrange(-4, 5))
+        chars[at] = "#"
+    return "".join(chars)
+
+
+def test_pieces_of_many_lengths_do_not_hide_each_other(spark):
+    """Exactly the allowed edits, and one more, with items of all lengths in one benchmark and in each of their own."""
+    rng = random.Random(21)
+    items = [(n, "a" + "".join(rng.choice("abcdefghijklm") for _ in range(size - 2)) + "z") for n, size in enumerate([32, 33, 40, 47, 60, 75, 90, 118, 120, 200, 31, 12, 3])]
+    rows, want = [], set()
+    for n, item in items:
+        size = min(len(item), dc.PIECE)
+        for extra in (0, 1):
+            for _ in range(6):
+                passage = spread_edits(rng, item[:size], (int(size * dc.EDITS) if size >= dc.MIN_BYTES else 0) + extra)
+                rows.append((len(rows), prose(rng, 30) + " " + passage + " " + prose(rng, 30)))
+    for i, text in rows:
+        t = dc.normal(text.encode())
+        for n, item in items:
+            x = dc.normal(item.encode())
+            exact = b" " + x + b" " in b" " + t + b" "
+            if exact if len(x) < dc.MIN_BYTES else any(least_edits(p, t) <= int(len(p) * dc.EDITS) for p in dc.pieces_of(x)):
+                want.add((i, n))
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(2)
+    assert len(want) >= 6 * len(items) and {n for _, n in want} == {n for n, _ in items}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block in (dc.BLOCK_BYTES, 1):
+        found = dc.contaminated(docs, bench, block_bytes=block).collect()
+        assert {(r.id, r.item) for r in found} == want and len(found) == len(want)
+    kept = dc.drop_contaminated(docs, bench, block_bytes=150)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({i for i, _ in rows} - {i for i, _ in want})
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[1]
+
+
+def test_short_items_match_whole_words_once(spark):
+    docs = spark.createDataFrame([(1, "  Yes,\n  PLEASE  do yes, please do", "", 0), (2, "yes, pleased", "", 0), (3, "oyes, please", "", 0), (4, "yes, please", "", 0)], SCHEMA)
+    bench = spark.createDataFrame([(5, "yes, please"), (6, " YES,  please "), (7, ""), (8, None)], "item_id long, text string")
+    found = {(r.id, r.item): (r.edits, r.start, r.end) for r in dc.contaminated(docs, bench).collect()}
+    assert found == {(1, 5): (0, 2, 15), (1, 6): (0, 2, 15), (4, 5): (0, 0, 11), (4, 6): (0, 0, 11)}
+
+
 CASED = [
     "à côté de l'église, l'élève préféré récitait à haute voix la fable où le chêne défie le très léger roseau éploré",
     "die süßen äpfel fielen über nacht auf die große straße, und müde hörten wir, daß draußen löwenmäulchen blühen",

@@ -46,7 +46,7 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def slices_by_bytes(batch, column: str, limit: int):
+def slices_by_bytes(batch, column: str | int, limit: int):
     """Parts of an Arrow batch with about ``limit`` bytes of text each, at least one row."""
     import pyarrow.compute as pc
 

@@ -17,7 +17,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierwise.llm.common import free_name, row_key, slices_by_bytes
+from tierwise.llm.common import row_key, slices_by_bytes
 
 Q = 12
 PIECE = 120
@@ -108,6 +108,7 @@ class Pieces:
         # Of the places that fit any piece, some window of the shortest length holds so many hits:
         self.window = int((size + self.k).min())
         self.least = int(np.ceil(self.bound / -(-(size + self.k) // self.window)).min())
+        self.reach = int((size + self.k).max())
 
     def regions(self, data):
         """(piece, band) pairs that reach the bound; band b covers the diagonals from b(k + 1) on, 2(k + 1) of them."""
@@ -122,13 +123,13 @@ class Pieces:
         at, found = at[real], found[real]
         if len(at) < self.least:
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        # A hit counts if some run of `least` hits around it fits into the window.
-        near = at[self.least - 1 :] - at[: len(at) - self.least + 1] < self.window
+        # A place that fits some piece has a run of `least` hits in a window, and all its hits within `reach` of that run.
+        near = np.flatnonzero(at[self.least - 1 :] - at[: len(at) - self.least + 1] < self.window)
         delta = np.zeros(len(at) + 1, dtype=np.int64)
-        np.add.at(delta, np.flatnonzero(near), 1)
-        np.add.at(delta, np.flatnonzero(near) + self.least, -1)
-        dense = np.cumsum(delta[:-1]) > 0
-        at, found = at[dense], found[dense]
+        np.add.at(delta, np.searchsorted(at, at[near] - self.reach, side="left"), 1)
+        np.add.at(delta, np.searchsorted(at, at[near + self.least - 1] + self.reach, side="right"), -1)
+        kept = np.cumsum(delta[:-1]) > 0
+        at, found = at[kept], found[kept]
         keys, totals = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         pairs = np.cumsum(self.counts[found])
         cuts = np.searchsorted(pairs, np.arange(_PAIRS, (pairs[-1] if len(pairs) else 0) + _PAIRS, _PAIRS), side="left") + 1
@@ -186,6 +187,33 @@ def _normal_with_map(text: bytes):
     return np.where(space[at], np.uint8(32), data[at]), at if where is None else where[at]
 
 
+class Short:
+    """Items too short for edits and q-grams: they match whole and exactly, between spaces or the ends of a text."""
+
+    def __init__(self, texts: list[bytes], items: list[int]):
+        import ahocorasick
+
+        self.machine = ahocorasick.Automaton()
+        by_text: dict[bytes, list[int]] = {}
+        for text, item in zip(texts, items, strict=True):
+            by_text.setdefault(text, []).append(item)
+        for text, of in by_text.items():
+            self.machine.add_word(" " + text.decode("latin-1") + " ", (len(text), of))
+        self.machine.make_automaton()
+
+    def matches(self, texts: list[bytes]):
+        """(text index, item, 0, start, end) of the first place of every item in every text; bytes of the text."""
+        for t, text in enumerate(texts):
+            data, where = _normal_with_map(text)
+            seen = set()
+            for end, (size, items) in self.machine.iter(" " + data.tobytes().decode("latin-1").strip(" ") + " "):
+                first = end - size + int(data[:1].tobytes() == b" ") - 1  # without the space put in front, and one cut off
+                for item in items:
+                    if item not in seen:
+                        seen.add(item)
+                        yield t, item, 0, int(where[first]), int(where[first + size - 1]) + 1
+
+
 def _matches(texts: list[bytes], pieces: Pieces):
     """(text index, item, edits, start, end) of every text and item that match, at the best piece; bytes of the text."""
     import numpy as np
@@ -216,31 +244,43 @@ def _matches(texts: list[bytes], pieces: Pieces):
 
 
 def _blocks(benchmark: DataFrame, item_column: str, text_column: str, piece: int, block_bytes: int):
-    """The benchmark as blocks of (item ids, piece texts, item index of each piece), one after the other."""
-    ids, texts, owners, size = [], [], [], 0
+    """The benchmark as blocks of (item ids, piece texts and the item of each, short texts and the item of each), one after the other."""
+    ids, texts, owners, short, short_owners, size = [], [], [], [], [], 0
     for row in benchmark.select(item_column, F.col(text_column).cast("string")).toLocalIterator():
         text = normal((row[1] or "").encode())
-        if len(text) < MIN_BYTES:
+        if not text:
             continue
-        cut = pieces_of(text, piece)
         ids.append(row[0])
-        texts += cut
-        owners += [len(ids) - 1] * len(cut)
-        size += sum(map(len, cut))
+        if len(text) < MIN_BYTES:
+            short, short_owners, size = [*short, text], [*short_owners, len(ids) - 1], size + len(text)
+        else:
+            cut = pieces_of(text, piece)
+            texts += cut
+            owners += [len(ids) - 1] * len(cut)
+            size += sum(map(len, cut))
         if size >= block_bytes:
-            yield ids, texts, owners
-            ids, texts, owners, size = [], [], [], 0
+            yield ids, texts, owners, short, short_owners
+            ids, texts, owners, short, short_owners, size = [], [], [], [], [], 0
     if ids:
-        yield ids, texts, owners
+        yield ids, texts, owners, short, short_owners
+
+
+def _finder(block, edits: float):
+    """A function from texts to their matches (text index, place of the item, edits, start, end) in a block, in order."""
+    _, texts, owners, short, short_owners = block
+    pieces = Pieces(texts, owners, edits) if texts else None
+    exact = Short(short, short_owners) if short else None
+    return lambda raw: sorted([*(_matches(raw, pieces) if pieces else []), *(exact.matches(raw) if exact else [])])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text", piece: int = PIECE, edits: float = EDITS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id, rk, item, edits, start, end): one row per document and benchmark item that it has a passage of.
 
     A passage is a piece of an item, ``piece`` bytes or the whole of a shorter item, within ``edits`` times its length in
-    edits; start and end are code points of the text, at the piece with the fewest edits. Null and empty texts match
-    nothing; items under 32 bytes are too short to tell and match nothing; a null item id comes back null. Repeated
-    rows give repeated rows, tied pieces the first one. Empty tables give no rows; other columns are ignored.
+    edits; start and end are code points of the text, at the piece with the fewest edits. Items under 32 bytes
+    are too short for edits: they match whole and exactly, between spaces. Null and empty texts match nothing, and so do
+    null and empty items; a null item id comes back null. Repeated rows give repeated rows, tied pieces the first one. Empty
+    tables give no rows; other columns are ignored.
     """
     import pyarrow as pa
 
@@ -249,15 +289,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     spark: SparkSession = docs.sparkSession
     item_type = benchmark.schema[item_column].dataType
     found = []
-    for ids, texts, owners in _blocks(benchmark, item_column, item_text_column, piece, block_bytes):
-        sent = spark.sparkContext.broadcast((texts, owners, [None if i is None else str(i) for i in ids]))
+    for block in _blocks(benchmark, item_column, item_text_column, piece, block_bytes):
+        sent = spark.sparkContext.broadcast(([None if i is None else str(i) for i in block[0]], *block[1:]))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            pieces, names = Pieces(*sent.value[:2], edits), sent.value[2]
+            find, names = _finder(sent.value, edits), sent.value[0]
             for batch in batches:
                 for part in slices_by_bytes(batch, "text", CHUNK_BYTES):
                     raw = [t or b"" for t in part.column("text").cast(pa.large_binary()).to_pylist()]
-                    rows = [(t, names[i], e, len(raw[t][:a].decode(errors="ignore")), len(raw[t][:b].decode(errors="ignore"))) for t, i, e, a, b in _matches(raw, pieces)]
+                    rows = [(t, names[i], e, len(raw[t][:a].decode(errors="ignore")), len(raw[t][:b].decode(errors="ignore"))) for t, i, e, a, b in find(raw)]
                     columns = list(zip(*rows, strict=True)) or [()] * 5
                     picked = part.select(["id", "rk"]).take(pa.array(columns[0], pa.int64()))
                     rest = [pa.array(columns[1], pa.string()), *[pa.array(c, pa.int64()) for c in columns[2:]]]
@@ -268,10 +308,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     return rows.withColumn("item", F.col("item").cast(item_type))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """The documents without a benchmark passage, with the columns of ``docs``."""
-    key, id_ = free_name(docs, "row_key"), free_name(docs, "row_id")
-    found = contaminated(docs, benchmark, id_column, text_column, **options).select(F.col("rk").alias(key), F.col("id").alias(id_)).distinct()
-    keyed = docs.withColumn(key, row_key(id_column, text_column))
-    match = (keyed[key] == found[key]) & F.col(id_column).cast("long").eqNullSafe(found[id_])
-    return keyed.join(found, match, "left_anti").drop(key)
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text", piece: int = PIECE, edits: float = EDITS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents without a benchmark passage, with the columns of ``docs``. The scan itself drops the others: nothing is shuffled."""
+    import pyarrow as pa
+
+    place = docs.columns.index(text_column)
+    for block in _blocks(benchmark, item_column, item_text_column, piece, block_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast(([None] * len(block[0]), *block[1:]))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            import numpy as np
+
+            find = _finder(sent.value, edits)
+            for batch in batches:
+                for part in slices_by_bytes(batch, place, CHUNK_BYTES):
+                    raw = [t or b"" for t in part.column(place).cast(pa.large_binary()).to_pylist()]
+                    clean = np.ones(len(raw), dtype=bool)
+                    clean[[t for t, *_ in find(raw)]] = False
+                    yield part.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
