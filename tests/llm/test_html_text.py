@@ -1,6 +1,8 @@
 """Block rules on small pages, and whole pages of the test data against their article elements."""
 
+import collections
 import html as entities
+import random
 import re
 
 import pytest
@@ -33,6 +35,58 @@ def test_small_pages(page, text):
     assert html_text.main_text(page or "") == text
 
 
+SECOND = "Nobody knew what it was that they had seen in the sky over the town, and it was not the last time that it came. " * 3
+OTHER = SECOND.strip()
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # Marks last to the end of their element.
+        (f"<p>{ARTICLE}</p><ul><li class='comment'><p>{SECOND}</p></li><li><p>{SECOND}</p></li></ul>", f"{LINE}\n{OTHER}"),
+        (f"<ul><li class=comment><p>{SECOND}</p><p>{SECOND}</p><li>{ARTICLE}</ul>", LINE),
+        (f"<table><tr><td class='sidebar'><p>{SECOND}</p></td><td><p>{ARTICLE}</p></td></tr></table>", LINE),
+        (f"<table><tr><td class=sidebar><div>{SECOND}</div><td>{ARTICLE}<tr><td>{SECOND}</table>", f"{LINE}\n{OTHER}"),
+        (f"<p class='ad'>{SECOND}<p>{ARTICLE}</p>", LINE),
+        (f"<p class='ad'>{SECOND}<div>{ARTICLE}</div>", LINE),
+        # A class does not hide an article that it names or holds.
+        (f"<article class='post share-on'><p>{ARTICLE}</p><p>Short.</p></article>", f"{LINE}\nShort."),
+        (f"<div class='content promotion'><nav>Home</nav><article><p>One.</p></article></div>", "One."),
+        (f"<div class='sidebar-left'><div><p>{ARTICLE}</p><p>{SECOND}</p></div></div>", f"{LINE}\n{OTHER}"),
+        (f"<div class='widget'><div class='widget'><p>{ARTICLE}</p></div></div><footer>Imprint</footer>", LINE),
+        (f"<p>{ARTICLE}</p><div class='related'><p>{SECOND}</p><p>{SECOND}</p></div>", LINE),
+        (f"<article><p>One.</p><section id='comments'>{SECOND * 9}</section></article>", "One."),
+        (f"<p>Hi.</p><div id='comments'><p>{SECOND * 9}</p></div>", "Hi."),
+        # Short paragraphs without a main element.
+        ("<nav><a href=/>Home</a></nav><div><p>It rained.</p><p>We went home.</p></div><footer>2020</footer>", "It rained.\nWe went home."),
+        # Strings that are no HTML.
+        (f"<p>{ARTICLE}</p><![foo bar]><p>{SECOND}</p>", f"{LINE}\n{OTHER}"),
+        (f"<p>{ARTICLE}</p><![endif]--><![CDATA[x]]><![if !IE]><p>{SECOND}</p><![ never closed", f"{LINE}\n{OTHER}"),
+    ],
+)
+def test_frames_by_class(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_no_string_crashes():
+    rng = random.Random(5)
+    bits = ["<", ">", "<!", "<![", "]]>", "<!--", "-->", "<?", "&", "&#x;", "&#99999999;", "</", "/>", "'", '"', "=", "<p", "<li class=ad>", "<table", "<td>", "<a href=", "<script>", "</div>", "<article>", "\x00", " é", "word. ", "<!DOCTYPE", "<![foo [", "\n"]
+    for _ in range(4000):
+        assert isinstance(html_text.main_text("".join(rng.choice(bits) for _ in range(rng.randrange(40)))), str)
+
+
+def test_rules_without_the_article_element(spark, sf_dir):
+    """The given pages with the article element taken away: the rules alone find nearly all of the text, and little else."""
+    found = wanted = kept = 0
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        blocks = lambda text: collections.Counter(x for x in text.split("\n") if x)
+        whole = blocks(html_text.main_text(r.html))
+        bare = blocks(html_text.main_text(re.sub("</?article>", "", r.html)))
+        size = lambda c: sum(len(x) * n for x, n in c.items())
+        found, wanted, kept = found + size(whole & bare), wanted + size(whole), kept + size(bare)
+    assert found >= 0.9 * wanted and found >= 0.98 * kept, (found / wanted, found / kept)
+
+
 OTHER_LANGUAGES = [
     "В чащах юга жил бы цитрус, но фальшивый экземпляр рос у самой дороги, и каждый прохожий мог видеть его плоды. ",
     "Pchnąć w tę łódź jeża lub ośm skrzyń fig, powiedział stary rybak, który mieszkał niedaleko portu i znał każdą falę. ",
@@ -77,3 +131,5 @@ def test_odd_rows_and_columns(spark):
     got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string, parts int")).collect()
     assert sorted((r.n_chars, r.text[:3]) for r in got) == [(0, ""), (0, ""), (1, "é"), (599_999, "w w")] and got[0].parts == 5
     assert html_text.extract(spark.createDataFrame([], "page_id long, html string")).count() == 0
+    clash = spark.createDataFrame([(1, "<main>a</main>", "old", 7)], "page_id long, HTML string, TEXT string, N_chars int")
+    assert [tuple(r) for r in html_text.extract(clash, "HTML").collect()] == [(1, "a", 1)]
