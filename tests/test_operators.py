@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,9 +175,44 @@ def test_range_lookup_boundaries(spark, rows):
     ]
     assert rows(joins.range_lookup(*args)) == expected
     assert rows(joins.range_lookup(*args, max_intervals=0)) == expected
-    overlapping = tiers.unionByName(spark.createDataFrame([("ODD", 50, 60)], tiers.schema))
-    with pytest.raises(ValueError, match="overlap"):
-        joins.range_lookup(values, "v", overlapping, "lo", "hi", {"tier": "tier"}, max_intervals=0)
+    odd = [("ODD", 50, 100), ("NONE", 60, 60), ("BACK", 70, 50), ("UNKNOWN", None, 80), ("ALL", -5, None)]
+    overlapping = tiers.unionByName(spark.createDataFrame(odd, tiers.schema))
+    expected = [(v, t) for v, t in expected if t] + [(v, "ALL") for v, _ in expected if v is not None] + [(99, "ODD"), (None, None)]
+    for most in (1000, 0):
+        assert sorted(rows(joins.range_lookup(values, "v", overlapping, "lo", "hi", {"tier": "tier"}, max_intervals=most)), key=str) == sorted(expected, key=str)
+    steps = rows(joins.range_lookup(values, "v", tiers, "lo", None, {"tier": "tier", "from": "lo"}))
+    assert steps == [(-1, None, None), (0, "LOW", 0), (9, "LOW", 0), (10, "MID", 10), (99, "MID", 10), (100, "TOP", 100), (5000, "TOP", 100), (None, None, None)]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_range_lookup_with_a_hundred_thousand_overlapping_intervals(spark, monkeypatch, tmp_path, broadcast):
+    import duckdb
+
+    if not broadcast:
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    low = (F.xxhash64("id") % 1_000_000).cast("double") / 7
+    intervals = spark.range(100_000).select("id", low.alias("lo"), (low + F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(9)) * F.col("id") % 40).alias("hi"))
+    intervals = intervals.withColumn("hi", F.when(F.col("id") % 50_000 != 7, F.col("hi")))
+    values = spark.range(6_000).select("id", ((F.xxhash64(F.lit(2), "id") % 1_000_000).cast("double") / 7).alias("v"))
+    values = values.withColumn("v", F.when(F.col("id") % 3 > 0, F.col("v")).otherwise(F.lit(55.5)))  # a third has one value
+    values.write.parquet(f"{tmp_path}/v")
+    intervals.write.parquet(f"{tmp_path}/i")
+    want = duckdb.sql(
+        f"SELECT v.id, count(i.id), sum(i.id) FROM '{tmp_path}/v/*.parquet' v LEFT JOIN '{tmp_path}/i/*.parquet' i ON v >= lo AND (v < hi OR hi IS NULL) GROUP BY 1"
+    ).fetchall()
+    got = joins.range_lookup(values, "v", intervals, "lo", "hi", {"of": "id"}).groupBy("id").agg(F.count("of"), F.sum("of"))
+    assert sorted(map(tuple, got.collect())) == sorted(want) and max(n for _, n, _ in want) > 10
+
+
+@pytest.mark.parametrize(("dtype", "make"), [("string", lambda i: "k%05d" % i), ("date", lambda i: dt.date(2000, 1, 1) + dt.timedelta(days=i)), ("decimal(10,2)", lambda i: Decimal(i) / 4), ("float", lambda i: i / 8), ("timestamp", lambda i: dt.datetime(2001, 1, 1) + dt.timedelta(seconds=i))])
+def test_range_lookup_types(spark, dtype, make):
+    rng = random.Random(3)
+    bounds = [(n, *sorted(rng.sample(range(300), 2))) for n in range(80)]
+    intervals = spark.createDataFrame([(n, make(a), make(b)) for n, a, b in bounds], f"n int, lo {dtype}, hi {dtype}")
+    values = spark.createDataFrame([(i, make(i)) for i in range(300)], f"i int, v {dtype}")
+    got = joins.range_lookup(values, "v", intervals, "lo", "hi", {"n": "n"}, max_intervals=0).collect()
+    want = [(i, n) for i in range(300) for n in ([n for n, a, b in bounds if a <= i < b] or [None])]
+    assert sorted([(r.i, r.n) for r in got], key=str) == sorted(want, key=str)
 
 
 def test_range_lookup_with_many_intervals_gaps_and_outliers(spark):

@@ -9,7 +9,7 @@ from tierwise.operators.audit import RunLog, load_window, models_of_latest_run,
 from tierwise.operators.merge import merge_upsert
 from tierwise.sources import documents, seeds
 from tierwise.sources.shared_folder import scratch_path, shared_folder
-from tierwise.sources.tables import Conflict, TableStore, namespace
+from tierwise.sources.tables import Conflict, State, TableStore, namespace
 from tierwise.streaming.upsert import upsert_stream
 
 LINES = [
@@ -237,3 +237,61 @@ def test_stream_upsert_keeps_the_newest_over_several_runs(spark, store, rows, tm
 
     assert arrive([(1, 1, "a"), (1, 3, "c"), (2, 1, "x")]) == [(1, 3, "c"), (2, 1, "x")]
     assert arrive([(1, 2, "late"), (2, 5, "y"), (3, 1, "new")]) == [(1, 3, "c"), (2, 5, "y"), (3, 1, "new")]
+
+
+def test_a_writer_that_died_stops_nobody(spark, store, rows, tmp_path):
+    store.append(spark.range(1), "GOLD", "t")
+    states = tmp_path / store.database("GOLD") / "t" / "states"
+    (states / "000000000001").write_text("")
+    (states / "000000000002").write_text('{"parts": [')
+    (states / "_left").write_text("")
+    assert store.append(spark.range(5, 6), "GOLD", "t") == 1
+    assert store.state("GOLD", "t").version == 3
+    store.replace(spark.range(7, 8), "GOLD", "t")
+    assert rows(store.read("GOLD", "t")) == [(7,)]
+    assert store.state("GOLD", "t").version == 4
+
+
+def test_a_refused_write_is_no_conflict(spark, store, tmp_path, monkeypatch):
+    store.append(spark.range(1), "GOLD", "t")
+    states = tmp_path / store.database("GOLD") / "t" / "states"
+    kept = {f.name: f.read_bytes() for f in states.iterdir()}
+    for f in list(states.iterdir()):
+        f.unlink()
+    states.rmdir()
+    states.write_text("a file where the folder was")  # nothing can be created below it
+    state = State(0, spark.range(1).schema, ())
+    monkeypatch.setattr(store, "state", lambda *a: state)
+    monkeypatch.setattr(store, "_names", lambda *a: list(kept))
+    with pytest.raises(Exception) as caught:
+        store.append(spark.range(1), "GOLD", "t")
+    assert not isinstance(caught.value, Conflict)
+
+
+def test_appends_give_up_after_many_conflicts(spark, store, monkeypatch):
+    store.append(spark.range(1), "GOLD", "t")
+
+    def taken(*_):
+        raise Conflict("taken")
+
+    monkeypatch.setattr(store, "_commit", taken)
+    with pytest.raises(Conflict):
+        store.append(spark.range(1), "GOLD", "t")
+
+
+def test_rows_worked_out_from_an_older_state_are_refused(spark, store, rows):
+    store.replace_tags(spark.range(2), F.lit("open"), [], "GOLD", "t")
+    read = store.state("GOLD", "t")
+    mine = store.rows("GOLD", "t", read, {"open"})
+    store.append(spark.range(7, 10), "GOLD", "t")
+    with pytest.raises(Conflict):
+        store.replace_tags(mine, F.lit("open"), ["open"], "GOLD", "t", read)
+    with pytest.raises(Conflict):
+        store.replace_tags(spark.range(1), F.lit("open"), [], "GOLD", "t")
+    assert store.read("GOLD", "t").count() == 5
+    store.replace(spark.range(4), "GOLD", "b", ["id"], buckets=2)
+    read = store.state("GOLD", "b")
+    store.append(spark.range(4, 5), "GOLD", "b")
+    with pytest.raises(Conflict):
+        store.update(spark.range(4), lambda past: past.where("id > 1"), "GOLD", "b", read)
+    assert rows(store.read("GOLD", "b")) == [(0,), (1,), (2,), (3,), (4,)]

@@ -287,3 +287,20 @@ def test_fanout_totals_equal_the_literal_pairs(spark):
     assert measured(True) == {
         "G": [900.0, 70.0, 0.89, 3.0, 150.0], "H": [None, 15.0, None, 1.0, None], "I": [None, None, None, 0.0, None],
     }
+
+
+def test_of_two_snapshots_from_one_state_the_second_is_refused(spark, store, monkeypatch):
+    from tierwise.functions.dates import moment
+    from tierwise.plans import snapshots
+    from tierwise.sources.tables import Conflict
+
+    name, warehouse = "snap_dim_genres", Warehouse(store)
+    current = spark.range(3).select(*[F.col("id").alias(c) if c == "genre_id" else F.lit("a").alias(c) for c in snapshots.GENRE_COLUMNS])
+    warehouse._snapshot(name, current, moment(T0))
+    read, real = store.state(None, name), store.state
+    warehouse._snapshot(name, current.withColumn("genre_name", F.lit("b")), moment(T1))
+    stale = [read]
+    monkeypatch.setattr(store, "state", lambda *a: stale.pop() if stale else real(*a))
+    with pytest.raises(Conflict):
+        warehouse._snapshot(name, current.withColumn("genre_name", F.lit("c")), moment(T1 + dt.timedelta(days=1)))
+    assert store.read(None, name).count() == 6 and store.read(None, name).where("genre_name = 'c'").isEmpty()

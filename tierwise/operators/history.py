@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tierwise.functions.keys import version_id
+from tierwise.operators.sequences import framed
 
 VERSION_COLUMNS = ("scd_id", "updated_at", "valid_from", "valid_to")
 
@@ -100,3 +101,38 @@ def version_status(history: DataFrame, prefix: str = "", column: str = "version_
     """Add ACTIVE or EXPIRED to every version."""
     is_open = F.col(f"{prefix}valid_to").isNull()
     return history.withColumn(column, F.when(is_open, F.lit("ACTIVE")).otherwise(F.lit("EXPIRED")))
+
+
+def dated_versions(history: DataFrame | None, arrived: DataFrame, key: str, moment: str, prefix: str = "") -> DataFrame:
+    """Next state of a version table whose rows carry the moment of their change; rows may arrive late.
+
+    Each different moment of a key is a version from then on until the key's next one. A row that arrives late splits the
+    version in force at its moment; a row older than all becomes the first. Of several rows of a key with one moment the
+    one that is last by its values stays, so the history does not depend on the order or number of arrivals. Rows without a
+    key or a moment are left out. Keys that did not arrive keep their versions untouched.
+
+    Intervals are repaired per key along (key, moment) in blocks of equal size, so a key may have any share of the versions.
+    """
+    added = ("scd_id", "updated_at", "valid_from", "valid_to")
+    values = [c for c in arrived.columns]
+    fresh = arrived.where(F.col(key).isNotNull() & F.col(moment).isNotNull())
+    kept = None
+    if history is not None:
+        missing = set(history.columns) - {f"{prefix}{c}" for c in added} - set(values)
+        if missing:
+            raise ValueError(f"the arrived rows lack the columns {sorted(missing)}")
+        keys = fresh.select(F.col(key).alias("_key")).distinct()
+        touched = history.join(keys, F.col(key) == F.col("_key"), "left_semi")
+        kept = history.join(keys, F.col(key) == F.col("_key"), "left_anti")
+        old = [c for c in values if c in history.columns]
+        fresh = fresh.unionByName(touched.select(*old), allowMissingColumns=True)
+    rest = [c for c in values if c not in (key, moment)]
+    one = fresh.groupBy(key, moment).agg(F.max(F.struct(*rest, F.lit(0).alias("_one"))).alias("_rest"))
+    one = one.select(key, moment, *[F.col(f"_rest.`{c}`").alias(c) for c in rest]).select(*values)
+    stamp = F.col(moment).cast("timestamp_ntz")
+    dated = one.select(
+        "*", version_id(F.col(key), stamp).alias(f"{prefix}scd_id"), stamp.alias(f"{prefix}updated_at"), stamp.alias(f"{prefix}valid_from")
+    )
+    start, end = f"{prefix}valid_from", f"{prefix}valid_to"
+    repaired = framed(dated, [key, moment], [start], {end: (F.first(start), 1, 1)}, partition=[key])
+    return repaired if kept is None else kept.unionByName(repaired, allowMissingColumns=True)

@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tierwise.sources.shared_folder import cut_lineage
 
-#: Intervals that a range join broadcasts at most; more are joined by a sort.
+#: Intervals that a range join compares one by one at most; more are joined through a tree of slots.
 MAX_INTERVALS = 1_000
+#: Parts of the line in a range join, and tree nodes that are broadcast at most; beyond, probes are dealt over so many tasks.
+MAX_PARTS = 2048
+BROADCAST_ROWS = 200_000
+PROBE_WAYS = 8
 _NULL_WAYS = 4096
 
 
@@ -61,22 +65,39 @@ def lookup(
     return joined.select(*keep, *found)
 
 
-def _last_before(points: DataFrame, order: Sequence[str], value: str) -> DataFrame:
-    """Add ``_last``: the newest non-null ``value`` of an earlier row by ``order``, over all rows.
+def _cuts(points: DataFrame, column: str, parts: int) -> list[str]:
+    """Ascending values, as text, that cut the points into about equal parts; a value that fills several parts comes as often."""
+    kind = points.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        # A sample of the different values, those with the smallest hashes.
+        some = points.select(column).distinct().orderBy(F.xxhash64(column)).limit(parts - 1)
+        return sorted((r[0] for r in some.collect()), key=str.encode)
+    shares = [i / parts for i in range(1, parts)]
+    plain = points.where(~F.isnan(column)) if isinstance(kind, (T.DoubleType, T.FloatType)) else points
+    found = plain.agg(F.percentile_approx(column, shares, 10 * parts).alias("cuts"))
+    return found.select(F.transform("cuts", lambda x: x.cast("string")).alias("cuts")).first()["cuts"] or []
 
-    Rows are dealt to chunks by range, and written once; within a chunk a window carries the value on, and the last
-    value of each chunk is handed to the next ones.
-    """
-    dealt = points.repartitionByRange(*order).withColumn("_chunk", F.spark_partition_id())
-    dealt = cut_lineage(dealt)
-    earlier = Window.partitionBy("_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    tails = dealt.filter(F.col(value).isNotNull()).groupBy("_chunk").agg(F.max_by(value, F.struct(*order)).alias("_tail"))
-    # One row per chunk from here on.
-    chunks = dealt.select("_chunk").distinct().join(tails, "_chunk", "left")
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = chunks.select("_chunk", F.last("_tail", ignorenulls=True).over(before).alias("_carried"))
-    inside = dealt.withColumn("_near", F.last(value, ignorenulls=True).over(earlier))
-    return inside.join(carried, "_chunk").select(*points.columns, F.coalesce("_near", "_carried").alias("_last"))
+
+def _part(column: str, cuts: Sequence[str], kind: T.DataType) -> str:
+    """SQL for the number of ``cuts`` at or below a value, by halving."""
+    literals = ["CAST('" + c.replace("\\", "\\\\").replace("'", "\\'") + f"' AS {kind.simpleString()})" for c in cuts]
+
+    def tree(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        mid = (low + high) // 2
+        return f"if({column} >= {literals[mid]}, {tree(mid + 1, high)}, {tree(low, mid)})"
+
+    return tree(0, len(literals))
+
+
+def _segments(placed: DataFrame, levels: int) -> DataFrame:
+    """The nodes (level, node) that cover the slots from ``_i`` up to ``_j``: at most two of each level of a binary tree."""
+    left, right = "shiftright(_i + shiftleft(1L, k) - 1, k)", "shiftright(_j, k)"
+    odd_left = f"if({left} < {right} and {left} % 2 = 1, {left}, -1L)"
+    odd_right = f"if({left} < {right} and {right} % 2 = 1, {right} - 1, -1L)"
+    nodes = f"flatten(transform(sequence(0, {levels - 1}), k -> array(struct(k as level, {odd_left} as node), struct(k as level, {odd_right} as node))))"
+    return placed.select(F.expr(f"inline(filter({nodes}, x -> x.node >= 0))"), "_out")
 
 
 def range_lookup(
@@ -84,39 +105,88 @@ def range_lookup(
     value: str,
     intervals: DataFrame,
     low: str,
-    high: str,
+    high: str | None,
     columns: Mapping[str, str],
     max_intervals: int = MAX_INTERVALS,
 ) -> DataFrame:
-    """Left join on ``low <= value < high``; a NULL ``high`` is open.
-
-    Up to ``max_intervals`` intervals (counted here) are broadcast. Any number beyond that must not overlap; rows and
-    lower bounds are then sorted together by range, and each row gets the last bound at or below its value. A value
-    that a large share of the rows has may run over many tasks.
+    """Left join on ``low <= value < high``; a NULL ``high`` is open, and without ``high`` an interval ends where the next begins.
+
+    Intervals may overlap, in any number; a row gets one output row for each that holds its value, or one with NULLs.
+    Up to ``max_intervals`` intervals (counted here) are broadcast and compared one by one. Beyond, the bounds cut the line
+    into slots. An interval is written as the few nodes of a binary tree over the slots that cover it exactly, and a row
+    whose slot is s meets the node s >> level on every level that some interval uses, by an equi-join. A row's slot
+    comes from a window over parts of the line, which hold equal shares of rows and bounds; a value that fills several
+    parts is dealt over as many tasks.
     """
     keep = rows.columns
-    side = intervals.select(
-        F.col(low).alias("_low"),
-        F.col(high).alias("_high"),
-        *[F.col(c).alias(f"_out_{name}") for name, c in columns.items()],
-    )
-    open_end = F.col("_high").isNull()
-    if intervals.limit(max_intervals + 1).count() <= max_intervals:
-        inside = (F.col(value) >= F.col("_low")) & ((F.col(value) < F.col("_high")) | open_end)
-        found = [F.col(f"_out_{name}").alias(name) for name in columns]
-        return rows.join(F.broadcast(side), inside, "left").select(*keep, *found)
-    bounds = side.select(F.col("_low").alias("_at"), F.struct(*side.columns).alias("_interval"))
-    previous = _last_before(bounds, ["_at"], "_interval").select("_at", "_last.*", F.col("_last").isNotNull().alias("_some"))
-    if not previous.filter(F.col("_some") & (open_end | (F.col("_high") > F.col("_at")))).isEmpty():
-        raise ValueError("the intervals overlap")
-    at = rows.select(F.col(value).alias("_at"), F.struct(*[F.col(c) for c in keep]).alias("_row"))
-    tie = F.when(F.col("_row").isNull(), 0).otherwise(F.pmod(F.xxhash64("_row"), F.lit(2**31)) + 1)
-    points = at.filter("_at is not null").unionByName(bounds, allowMissingColumns=True).withColumn("_tie", tie)
-    last = _last_before(points, ["_at", "_tie"], "_interval").filter("_row is not null")
-    fits = F.col("_last").isNotNull() & (F.col("_last._high").isNull() | (F.col("_at") < F.col("_last._high")))
-    found = [F.when(fits, F.col(f"_last._out_{name}")).alias(name) for name in columns]
-    placed = last.select("_row.*", *found)
-    return placed.unionByName(rows.filter(F.col(value).isNull()), allowMissingColumns=True)
+    outs = [F.col(c).alias(name) for name, c in columns.items()]
+    side = intervals.select(F.col(low).alias("_low"), (F.col(high) if high else F.lit(None)).alias("_high"), F.struct(*outs).alias("_out"))
+    if high and intervals.limit(max_intervals + 1).count() <= max_intervals:
+        inside = (F.col(value) >= F.col("_low")) & ((F.col(value) < F.col("_high")) | F.col("_high").isNull())
+        return rows.join(F.broadcast(side), inside, "left").select(*keep, *[F.col(f"_out.{name}").alias(name) for name in columns])
+    side = side.where("_low is not null and (_high is null or _high > _low)")
+
+    # All values that matter in one type; starts and ends of intervals at each bound.
+    at = rows.select(F.col(value).alias("_at"))
+    bounds = side.select(F.col("_low").alias("_at"), F.lit(1).alias("_starts"))
+    if high:
+        bounds = bounds.unionByName(side.where("_high is not null").select(F.col("_high").alias("_at"), F.lit(-1).alias("_starts")))
+    bounds = cut_lineage(bounds.groupBy("_at").agg(F.sum("_starts").alias("_starts")))
+    points = at.unionAll(bounds.select("_at")).where("_at is not null")
+    kind = points.schema["_at"].dataType
+    parts = min(MAX_PARTS, max(16, 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    found = _cuts(points, "_at", parts)
+    cuts = list(dict.fromkeys(found))
+    part = F.expr(_part("_at", cuts, kind)).alias("_part")
+
+    # Slots and open intervals at every bound: numbered in each part, shifted by the totals of the parts before.
+    bounds = bounds.select(F.col("_at").cast(kind).alias("_at"), "_starts").select("*", part)
+    totals = {r._part: r for r in bounds.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.sum("_starts").alias("d")).collect()}
+    table, slots, cover = [], 0, 0
+    for p in range(len(cuts) + 1):
+        table.append((p, slots, cover, found.count(cuts[p - 1]) if p else 1))
+        slots, cover = (slots + totals[p].n, cover + totals[p].d) if p in totals else (slots, cover)
+    by_part = F.broadcast(rows.sparkSession.createDataFrame(table, "_part int, _slots long, _cover long, _ways int"))
+    along = Window.partitionBy("_part").orderBy("_at")
+    bounds = bounds.join(by_part, "_part").select(
+        "_part", "_at", "_ways", (F.col("_slots") + F.row_number().over(along) - 1).alias("_slot"),
+        (F.col("_cover") + F.sum("_starts").over(along.rowsBetween(Window.unboundedPreceding, 0))).alias("_open"),
+    )
+    bounds = cut_lineage(bounds)
+
+    first = bounds.select(F.col("_at").alias("_low_at"), F.col("_slot").alias("_i"))
+    placed = side.join(first, F.col("_low").cast(kind) == F.col("_low_at"))
+    if high:
+        last = bounds.select(F.col("_at").alias("_high_at"), F.col("_slot").alias("_end"))
+        placed = placed.join(last, F.col("_high").cast(kind) == F.col("_high_at"), "left").withColumn("_j", F.coalesce("_end", F.lit(slots)))
+    else:
+        placed = placed.withColumn("_j", F.col("_i") + 1)
+    nodes = cut_lineage(_segments(placed, slots.bit_length() + 1))
+    per_level = {r.level: r["count"] for r in nodes.groupBy("level").count().collect()}  # as many as the tree has at most
+    levels = sorted(per_level)
+
+    # Rows and bounds of a part in one order: a row's slot is that of the last bound at or below it.
+    own = rows.where(F.col(value).isNotNull()).select(F.col(value).cast(kind).alias("_at"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"))
+    own = own.select("*", part).join(by_part, "_part")
+    own = own.select("_part", "_at", "_row", F.pmod(F.xxhash64("_row"), "_ways").cast("int").alias("_way"), "_slots", "_cover", F.lit(1).alias("_side"))
+    marks = bounds.select("_part", "_at", F.explode(F.sequence(F.lit(0), F.col("_ways") - 1)).alias("_way"), F.struct("_slot", "_open").alias("_mark"), F.lit(0).alias("_side"))
+    here = Window.partitionBy("_part", "_way").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    joined = own.unionByName(marks, allowMissingColumns=True).withColumn("_mark", F.last("_mark", ignorenulls=True).over(here)).where("_side = 1")
+    joined = joined.select("_row", F.coalesce("_mark._slot", F.col("_slots") - 1).alias("_slot"), (F.coalesce("_mark._open", "_cover") > 0).alias("_covered"))
+
+    # A row outside of all intervals keeps one copy, with a node that no interval has.
+    wanted = F.when(F.col("_covered"), F.array(*[F.lit(x) for x in levels])).otherwise(F.array(F.lit(-1)))
+    probes = joined.select("_row", "_covered", "_slot", F.explode(wanted).alias("level"))
+    node = F.when(F.col("_covered"), F.expr("shiftright(_slot, greatest(level, 0))")).otherwise(-1 - F.pmod(F.xxhash64("_row"), F.lit(_NULL_WAYS)))
+    probes = probes.withColumn("node", node)
+    if sum(per_level.values()) <= BROADCAST_ROWS:
+        met = probes.join(F.broadcast(nodes), ["level", "node"], "left")
+    else:  # slots that hold many rows are dealt over several tasks
+        probes = probes.withColumn("_way", F.pmod(F.xxhash64("_row", F.lit(1)), F.lit(PROBE_WAYS)).cast("int"))
+        dealt = nodes.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(PROBE_WAYS - 1))))
+        met = probes.join(dealt, ["level", "node", "_way"], "left")
+    met = met.where("_out is not null or not _covered").select("_row.*", *[F.col(f"_out.{name}").alias(name) for name in columns])
+    return met.unionByName(rows.where(F.col(value).isNull()), allowMissingColumns=True)
 
 
 def point_in_time(

@@ -114,10 +114,10 @@ class Warehouse:
     def _merge(self, name: str, build: Callable, stamp: str, keys, full_refresh: bool, children_of=None):
         """Bring a keyed table up to date from the recent part of bronze, in the buckets that it touches."""
         layer, bronze_rows = LAYERS[name], self.table("bronze_movies_raw")
-        target = self.store.find(layer, name)
-        if target is None or full_refresh:
+        read = self.store.state(layer, name)
+        if read is None or full_refresh:
             return self.store.replace(build(bronze_rows), layer, name, children_of or keys, self.buckets)
-        mark = high_water_mark(target, stamp)
+        mark = high_water_mark(self.store.rows(layer, name, read), stamp)
         recent = since_lookback(bronze_rows, "ingested_at", mark, self.lookback_days)
         incoming = build(recent)
         if children_of:
@@ -126,21 +126,24 @@ class Warehouse:
         else:
             combine = lambda past: merge_upsert(past, incoming, keys)
             touched = incoming
-        self.store.update(touched, combine, layer, name)
+        self.store.update(touched, combine, layer, name, read)
         return self.table(name).count()
 
     def _snapshot(self, name: str, current: DataFrame, at) -> int:
-        """Rewrite the open versions of a version table and add those that closed; older closed ones stay as they are."""
+        """Rewrite the open versions of a version table and add those that closed; older closed ones stay as they are.
+
+        Of two snapshots that started from one state the second is refused.
+        """
         key, check, columns = snapshots.TABLES[name]
         current = current.select(*columns).filter(F.col(key).isNotNull())
-        past = self.store.find(None, name)
-        if past is None:
+        read = self.store.state(None, name)
+        if read is None:
             rows = open_versions(current, key, at, snapshots.PREFIX)
         else:
-            opened = self.store.read(None, name, {"open"})
+            opened = self.store.rows(None, name, read, {"open"})
             rows = next_versions(opened, current, key, check, at, prefix=snapshots.PREFIX)
         tag = F.when(F.col(f"{snapshots.PREFIX}valid_to").isNull(), "open").otherwise("closed")
-        self.store.replace_tags(rows, tag, ["open"], None, name)
+        self.store.replace_tags(rows, tag, ["open"], None, name, read)
         return self.table(name).count()
 
     def build(self, name: str, now: dt.datetime, full_refresh: bool = False) -> int:
@@ -263,7 +266,8 @@ class Warehouse:
         if self.store.exists(LAYERS["raw_movies"], "raw_movies"):
             combine = lambda past: purge_keys(past, movie_ids, ["movie_id"])
             self.store.update(movie_ids, combine, LAYERS["raw_movies"], "raw_movies")
-        if self.store.exists(None, "snap_silver_movies"):
-            kept = purge_keys(self.table("snap_silver_movies"), movie_ids, ["movie_id"])
+        read = self.store.state(None, "snap_silver_movies")
+        if read is not None:
+            kept = purge_keys(self.store.rows(None, "snap_silver_movies", read), movie_ids, ["movie_id"])
             tag = F.when(F.col(f"{snapshots.PREFIX}valid_to").isNull(), "open").otherwise("closed")
-            self.store.replace_tags(kept, tag, ["open", "closed"], None, "snap_silver_movies")
+            self.store.replace_tags(kept, tag, ["open", "closed"], None, "snap_silver_movies", read)

@@ -10,7 +10,6 @@ from tierwise.functions.measures import decimal_sum, rounded_mean
 from tierwise.operators.calendar import date_dimension
 from tierwise.operators.history import snapshot
 from tierwise.operators.joins import lookup, point_in_time, range_lookup, unmatched
-from tierwise.operators.ranking import Key, Rank, global_ranks
 from tierwise.plans.gold import budget_tiers
 from tierwise.registry.catalog import mean6, query, read
 
@@ -39,16 +38,24 @@ FROM (SELECT *, l_extendedprice / l_quantity AS unit FROM lineitem) l
 LEFT JOIN bands ON unit >= lo AND (unit < hi OR hi IS NULL)"""
 )
 def unit_price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A range join whose intervals grow with the data: rows and lower bounds are sorted together."""
+    """A range join whose intervals grow with the data; each ends where the next begins."""
     prices = read(spark, sf_dir, "part").groupBy("p_retailprice").agg(F.min("p_partkey").alias("p_partkey"))
-    order = (Key("p_retailprice"),)
-    ranked = prices.join(global_ranks(prices, ["p_partkey"], [Rank("n", "row_number", order)]), "p_partkey")
-    above = ranked.select((F.col("n") - 1).alias("n"), F.col("p_retailprice").alias("high"))
-    bands = ranked.join(above, "n", "left")
     lines = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit")
     )
-    return range_lookup(lines, "unit", bands, "p_retailprice", "high", {"band": "p_partkey"}, max_intervals=0)
+    return range_lookup(lines, "unit", prices, "p_retailprice", None, {"band": "p_partkey"})
+
+
+@query(
+    """SELECT c_custkey, p_partkey FROM customer
+LEFT JOIN part ON c_acctbal >= p_retailprice AND c_acctbal < p_retailprice + p_size / 10.0"""
+)
+def balance_price_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range join with overlapping intervals, one per part: every customer meets all parts around the balance."""
+    parts = read(spark, sf_dir, "part").withColumn("high", F.col("p_retailprice") + F.col("p_size") / 10.0)
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    met = range_lookup(customers, "c_acctbal", parts, "p_retailprice", "high", {"p_partkey": "p_partkey"}, max_intervals=0)
+    return met.drop("c_acctbal")
 
 
 @query(
