@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierwise.functions.cleaning import (

@@ -67,7 +67,7 @@ FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey
 def unmatched_to_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts outside a short calendar, or with a filtered customer, go to the unknown member.
 
-    The customer lookup is salted by order, as one customer may place a large share of them.
+    Orders without a customer are dealt over many tasks; a customer with a large share of them is left to adaptive execution.
     """
     orders = read(spark, sf_dir, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
     calendar = date_dimension(spark, dt.date(1997, 1, 1), dt.date(2000, 1, 1))
