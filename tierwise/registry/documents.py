@@ -153,6 +153,18 @@ class Movies:
             self.fact = cut_lineage(self.fact)
 
 
+_BUILT: dict[tuple[str, ...], Movies] = {}
+
+
+def stored_movies(spark: SparkSession, sf_dir: str) -> Movies:
+    """The tables with the fact written out, built once per session and set of input files, as marts and reports of a warehouse
+    read one stored fact."""
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(), *sorted(read(spark, sf_dir, "part").inputFiles()))
+    if key not in _BUILT:
+        _BUILT[key] = Movies(spark, sf_dir, keep_fact=True)
+    return _BUILT[key]
+
+
 _TITLE = "CASE WHEN k % 97 = 0 THEN '' ELSE '  ' || p_name || ' ' || k || ' ' END"
 _ROI6 = half_up("revenue_usd - budget_usd", "budget_usd", 6)
 
