@@ -68,3 +68,21 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a", "x", 1)], SCHEMA)
     text = exact_dedup.exact_groups(docs)._jdf.queryExecution().toString()
     assert "Python" not in text and "Pandas" not in text
+
+
+def test_owners_decide(spark):
+    """What the owners of the buckets say is the result: links of one text meet there, and bytes that differ are refused."""
+    link = "h long, sha binary, n long, top struct<id: long, tag: long>, text string, same_bytes long"
+    rows = [(7, b"a", 2, (1, 1), None, 0), (7, b"a", 1, (9, 4), None, 0), (7, b"a", 0, None, "one", 3), (7, b"b", 1, (3, 3), None, 0), (-1, b"c", 1, (None, 8), None, 0)]
+    index = exact_dedup.write_index(spark.createDataFrame(rows, link), 1, decide=exact_dedup._chained)
+    assert sorted((r.h, bytes(r.sha), r.n, tuple(r.top)) for r in index.collect()) == [(-1, b"c", 1, (None, 8)), (7, b"a", 3, (9, 4)), (7, b"b", 1, (3, 3))]
+    for wrong in ((7, b"a", 0, None, "two", 1), (7, b"a", 0, None, "one", 1)):
+        with pytest.raises(Exception, match="share a hash"):
+            exact_dedup.write_index(spark.createDataFrame([*rows, wrong], link), 1, decide=exact_dedup._chained)
+
+
+def test_the_result_is_read_from_the_index(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a", "x", 1), (2, "A", "x", 1)], SCHEMA)
+    right = exact_dedup._chained
+    monkeypatch.setattr(exact_dedup, "_chained", lambda owned: right(owned).withColumn("n", F.col("n") + 5))
+    assert {r.group_size for r in exact_dedup.exact_groups(docs).collect()} == {7}

@@ -1,21 +1,25 @@
 """Exact dedup with an extendible-hash index on shared files, built with DataFrame operations only.
 
-Every text hashes to 64 bits. The directory maps a prefix of the hash to a bucket; a bucket with more entries than it may
-hold is split by one more bit, which doubles the directory there, until none is overfull. A bucket is a range of hashes,
-and each task that writes the index owns whole buckets, sorted by hash. An entry is one link of the chain of texts with
-its hash: copies are summed up before they move, so a text that makes up a third of the corpus is one entry. Links
-shared by several rows are compared byte by byte: rows are grouped by hash and text, and the sizes must agree.
+Every text hashes to 64 bits. The directory maps a prefix of the hash to a bucket; a bucket with more links than it may
+hold is split by one more bit, which doubles the directory there, until none is overfull. A bucket is a range of hashes.
+Links are routed through the directory to the task that owns their bucket, and only there is decided: the owner chains
+the links of one hash, compares the bytes of texts that share it, sums up the copies and picks the row that stays. Links
+are summed up within the scan tasks before they move, so a text that makes up a third of the corpus reaches its owner as
+a few links. The decided chains are the index, written so that a file holds whole buckets in hash order.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tierwise.llm.common import lower_ascii, stored, whole_text
 
-BUCKET_ENTRIES = 250_000
+BUCKET_ENTRIES = 16_384
+#: Links of one text that reach its owner at most.
+SHARES = 8
 #: Hashes of copied texts that are broadcast at most, to keep texts without a copy out of the byte comparison.
 BROADCAST_HASHES = 2_000_000
 
@@ -44,17 +48,37 @@ def directory(entries: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataF
         depth += 1
 
 
-def write_index(entries: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
-    """``entries`` with the first hash of their bucket, written so that each file holds whole buckets in hash order."""
-    buckets = directory(entries, bucket_entries)
-    depths = [r.depth for r in buckets.select("depth").distinct().collect()]  # at most 65
-    slots = F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), _prefix(d).alias("prefix")) for d in sorted(depths)])) if depths else None
-    if slots is None:
+def routed(entries: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``entries`` with ``bucket``, the first hash of the bucket that the directory ``buckets`` names for them."""
+    least = buckets.agg(F.min("depth")).first()[0]
+    if least is None:
         return entries.withColumn("bucket", F.lit(0).cast("long"))
-    placed = entries.select("*", slots.alias("slot")).select("*", "slot.depth", "slot.prefix").drop("slot")
     start = F.when(F.col("depth") > 0, F.expr("shiftleft(prefix, 64 - depth)")).otherwise(F.lit(0).cast("long"))
-    owned = placed.join(buckets.select("depth", "prefix"), ["depth", "prefix"]).withColumn("bucket", start).drop("depth", "prefix")
-    return stored(owned.repartitionByRange("bucket").sortWithinPartitions("bucket", "h"), "hash_index")
+    named = buckets.select("depth", "prefix", start.alias("bucket"), F.expr(f"shiftrightunsigned(prefix, depth - {least})").alias("least"))
+    own_prefix = F.when(F.col("depth") > 0, F.expr("shiftrightunsigned(h, 64 - depth)")).otherwise(F.lit(0).cast("long"))
+    return entries.withColumn("least", _prefix(least)).join(named, "least").where(own_prefix == F.col("prefix")).drop("least", "depth", "prefix")
+
+
+def write_index(entries: DataFrame, bucket_entries: int = BUCKET_ENTRIES, buckets: DataFrame | None = None, decide: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``entries`` with the first hash of their bucket, written so that each file holds whole buckets in hash order.
+
+    ``decide`` works on the entries where they lie with the owners of their buckets, and may group by ``bucket``.
+    """
+    owned = routed(entries, directory(entries, bucket_entries) if buckets is None else buckets).repartition("bucket")
+    return stored((decide(owned) if decide else owned).sortWithinPartitions("bucket", "h"), "hash_index")
+
+
+def _chained(owned: DataFrame) -> DataFrame:
+    """(bucket, h, sha, n, top) of every text: an owner chains the links of a hash and compares the bytes that came along.
+
+    A digest that stands for two texts, or for other numbers of rows than its text, is an error.
+    """
+    sums = [F.sum("n").alias("n"), F.max("top").alias("top"), F.sum("same_bytes").alias("same_bytes")]
+    texts = owned.groupBy("bucket", "h", "sha", "text").agg(*sums)
+    chains = texts.groupBy("bucket", "h", "sha").agg(*sums, F.count("text").alias("ways"))
+    right = (F.col("ways") == 0) | ((F.col("ways") == 1) & (F.col("n") == F.col("same_bytes")))
+    size = F.when(right, F.col("n")).otherwise(F.raise_error(F.lit("two texts share a hash and a digest")).cast("long"))
+    return chains.select("bucket", "h", "sha", size.alias("n"), "top")
 
 
 def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", bucket_entries: int = BUCKET_ENTRIES, key_bits: int = 64) -> DataFrame:
@@ -70,19 +94,21 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     texts = docs.select(F.col(id_column).alias("id"), text.alias("text")).select("id", "text", h.alias("h"))
     keyed = texts.select("id", "h", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"), F.monotonically_increasing_id().alias("tag"))
     rows = stored(keyed, "hash_rows")
-    entries = stored(rows.groupBy("h", "sha").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("id", "tag")).alias("top")), "entries")
-    index = write_index(entries, bucket_entries)
-    copied = index.where("n > 1")
-    hashes = copied.select("h").distinct()
-    compared = texts.select("h", "text")
+    share = F.pmod(F.xxhash64("tag"), F.lit(SHARES)).alias("share")
+    one_text = rows.groupBy("h", "sha", share).agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("id", "tag")).alias("top"))
+    links = stored(one_text.drop("share"), "links")
+    copied = stored(links.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "copied_hashes")
+    compared = texts.select("h", "text", F.pmod(F.xxhash64("id"), F.lit(SHARES)).alias("share"))
     if copied.count() <= BROADCAST_HASHES:
-        compared = compared.join(F.broadcast(hashes), "h", "left_semi")
-    links = compared.groupBy("h", "text").agg(F.count(F.lit(1)).alias("same_bytes"))
-    links = links.select("h", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"), "same_bytes")
-    differ = F.raise_error(F.lit("two texts share a hash and a digest"))
-    size = F.when(F.col("n") == F.col("same_bytes"), F.col("n")).otherwise(differ.cast("long"))
-    groups = copied.join(links, ["h", "sha"]).select("h", "sha", size.alias("group_size"), "top")
-    joined = rows.join(stored(groups, "groups"), ["h", "sha"], "left")
+        copied = F.broadcast(copied)
+    same = compared.join(copied, "h", "left_semi").groupBy("h", "text", "share").agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(None)
+    narrow = links.select("*", none.cast("string").alias("text"), F.lit(0).cast("long").alias("same_bytes"))
+    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+    wide = same.select("h", digest.alias("sha"), F.lit(0).cast("long").alias("n"), none.cast(links.schema["top"].dataType).alias("top"), "text", F.col("n").alias("same_bytes"))
+    index = write_index(narrow.unionAll(wide), buckets=directory(links, bucket_entries), decide=_chained)
+    groups = index.where("n > 1").select("h", "sha", F.col("n").alias("group_size"), "top")
+    joined = rows.join(groups, ["h", "sha"], "left")
     return joined.select(
         "id",
         F.when(F.col("top").isNull(), F.col("id")).otherwise(F.col("top.id")).alias("keep_id"),
