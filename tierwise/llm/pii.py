@@ -2,9 +2,11 @@
 
 Loose patterns propose overlapping candidates. Each gets format features (digits, separators, length) and context
 features (the characters and the word around it), all of few values, so that the candidates of a whole corpus sum up to
-a table of feature cells with counts, of bounded size. Boosted trees are grown on that table against the strict rules
-for e-mail, IP address, card and phone numbers; the trees become a Spark column, a threshold per kind is calibrated on
-candidates that the trees have not seen, and loose candidates above it are redacted besides the strict ones.
+a table of feature cells with counts, of bounded size. Boosted trees are grown on that table. Their target is whether a
+candidate says an address or number in other signs: brought to its plain form it passes the check of its kind. Each
+strict span also takes part masked, in the signs in which people write it to escape the strict patterns. The trees become
+a Spark column, a threshold per kind is calibrated on documents that the trees have not seen, and loose candidates above it
+are redacted besides the strict ones.
 """
 
 from __future__ import annotations
@@ -64,12 +66,36 @@ def passes(kind: int, span: Column) -> Column:
     return n.between(16, 19) & luhn(_digits(value)) if kind == 2 else n.between(8, 15)
 
 
+def plain(kind: int, value: Column) -> Column:
+    """Whether a loose candidate, brought to the plain form of its kind, passes the check of the kind."""
+    if kind == 0:
+        return F.regexp_replace(value, r"\s?[(\[](?:at|AT)[)\]]\s?", "@").rlike(r"^[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++$")
+    if kind == 1:
+        dotted = F.translate(value, ":", ".")
+        return dotted.rlike(r"^[0-9]++(?:\.[0-9]++){3}$") & passes(1, F.struct(dotted.alias("value")))
+    if kind == 2:
+        return passes(2, F.struct(value.alias("value")))
+    # A number, also one with an extension of up to six digits behind a space.
+    number, short = (F.length(F.regexp_replace(_digits(v), "^00", "")) for v in (value, F.regexp_replace(value, r"\x20[0-9]{1,6}$", "")))
+    return value.rlike(r"^(?:\+|00)") & (number.between(8, 15) | short.between(8, 15))
+
+
+def masked(kind: int, value: Column) -> Column:
+    """A strict span in signs that the strict pattern of its kind does not know, but the loose one does."""
+    if kind == 0:
+        return F.regexp_replace(value, "@", " (at) ")
+    if kind == 1:
+        return F.translate(value, ".", ":")
+    if kind == 2:
+        return F.regexp_replace(_digits(value), "([0-9]{4})(?=[0-9]{2})", "$1.")
+    return F.regexp_replace(value, r"^\+", "00")
+
+
 def _bins(value: Column, edges: tuple[int, ...]) -> Column:
     return reduce(lambda a, b: a + b, [(value >= e).cast("int") for e in edges])
 
 
-def _features(kind: int, s: Column, text_before: Column, text_after: Column) -> list[Column]:
-    value = s["value"]
+def _features(kind: int, value: Column, text_before: Column, text_after: Column) -> list[Column]:
     last = F.substring(text_before, -1, 1)
     first = F.substring(text_after, 1, 1)
     glyph = lambda c: F.when(c == "", 0).when(c.rlike(r"\s"), 1).when(c.rlike(r"[\p{L}\p{Nd}]"), 2).otherwise(3)
@@ -78,7 +104,7 @@ def _features(kind: int, s: Column, text_before: Column, text_after: Column) ->
         _bins(F.length(_digits(value)), (4, 8, 10, 11, 13, 16, 20)),
         _bins(F.length(F.regexp_replace(value, r"[\p{L}\p{Nd}]", "")), (1, 2, 3, 4, 6)),
         _bins(F.length(value), (8, 12, 16, 20, 32)),
-        F.when(value.startswith("+"), 1).when(value.rlike(r"[.:][0-9]+[.:]"), 2).when(value.rlike(r"@[^@]+\.[A-Za-z]{2,}$"), 3).otherwise(0),
+        F.when(value.startswith("+"), 1).when(value.startswith("00"), 4).when(value.rlike(r"[(\[](?:at|AT)[)\]]\s?[^@]+\.[A-Za-z]{2,}$"), 5).when(value.rlike(r"[.:][0-9]+[.:]"), 2).when(value.rlike(r"@[^@]+\.[A-Za-z]{2,}$"), 3).otherwise(0),
         glyph(last),
         glyph(first),
         text_before.rlike(words).cast("int"),
@@ -105,15 +131,24 @@ class PiiModel:
 
 
 def candidates(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(tag, id, base, loose): strict spans, and loose candidates with features and whether a strict span equals them."""
+    """(tag, half, id, base, loose, masks): strict spans, loose candidates with features and whether their plain form
+    passes, and the features of the masked strict spans. Context goes as far as the candidate before and after.
+    """
     text = docs.select(F.col(id_column).alias("id"), whole_text(F.col(text_column)).alias("text"))
     # What every match of a pattern holds.
     text = text.withColumns({"digit": F.col("text").rlike("[0-9]"), "at": F.col("text").rlike(r"@|[(\[](?:at|AT)[)\]]"), "plus": F.contains("text", F.lit("+"))})
     possible = [F.col(c) for c in ("at", "digit", "digit", "plus", "at", "digit", "digit", "digit")]
     patterns = [*zip((EMAIL, IP, CARD, PHONE), "bbbb", strict=True), *zip(LOOSE, "llll", strict=True)]
-    cut = text.select("id", "text", *[c.alias(f"{n}_{side}{i % 4}") for i, (p, side) in enumerate(patterns) for n, c in zip("gm", spans.pieces(F.col("text"), p, possible[i]), strict=True)])
-    placed = cut.select("id", "text", *[spans.spans(F.col(f"g_{side}{i}"), F.col(f"m_{side}{i}")).alias(f"{side}{i}") for side in "bl" for i in range(4)])
-    checked = placed.select("id", "text", *[F.filter(f"b{i}", partial(passes, i)).alias(f"b{i}") for i in range(4)], *[f"l{i}" for i in range(4)])
+    half = F.pmod(F.xxhash64("id", "text"), F.lit(HALVES)).alias("half")  # rows with equal id and text go together
+    cut = text.select("id", half, *[c.alias(f"{n}_{side}{i % 4}") for i, (p, side) in enumerate(patterns) for n, c in zip("gm", spans.pieces(F.col("text"), p, possible[i], AROUND), strict=True)])
+
+    def around(name: str) -> Column:
+        gaps = F.col(f"g_{name}")
+        with_context = lambda s, k: s.withField("before", gaps[k]["tail"]).withField("after", gaps[k + 1]["head"])
+        return F.transform(spans.spans(gaps["n"], F.col(f"m_{name}")), with_context).alias(name)
+
+    placed = cut.select("id", "half", *[around(f"{side}{i}") for side in "bl" for i in range(4)])
+    checked = placed.select("id", "half", *[F.filter(f"b{i}", partial(passes, i)).alias(f"b{i}") for i in range(4)], *[f"l{i}" for i in range(4)])
 
     def mark(i: int, s: Column) -> Column:
         return F.struct(F.lit(i).alias("ord"), F.lit(KINDS[i]).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
@@ -121,17 +156,17 @@ def candidates(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     def loose(i: int, s: Column) -> Column:
         # rtrim of what the generator takes too much at the end of a sentence
         value = F.regexp_replace(s["value"], r"[^\p{L}\p{Nd})]+$", "")
-        end = s["start"] + F.length(value)
-        inner = F.struct(s["start"].alias("start"), end.alias("end"), value.alias("value"))
-        before = F.substring(F.col("text"), F.greatest(s["start"] - AROUND, F.lit(0)) + 1, F.least(s["start"], F.lit(AROUND)))
-        after = F.substring(F.col("text"), end + 1, F.lit(1))
-        features = F.array(*_features(i, inner, before, after))
-        same = F.exists(f"b{i}", lambda b: (b["start"] == s["start"]) & (b["end"] == end))
-        return F.struct(F.lit(i).alias("ord"), F.lit(KINDS[i]).alias("kind"), s["start"].alias("start"), end.alias("end"), features.alias("x"), same.alias("strict"))
+        n = F.length(value)
+        after = F.when(n < F.length(s["value"]), F.substr(s["value"], n + 1, F.lit(1))).otherwise(s["after"])
+        features = F.array(*_features(i, value, s["before"], after))
+        return F.struct(F.lit(i).alias("ord"), F.lit(KINDS[i]).alias("kind"), s["start"].alias("start"), (s["start"] + n).alias("end"), features.alias("x"), plain(i, value).alias("passes"))
 
-    base = F.concat(*[F.transform(f"b{i}", partial(mark, i)) for i in range(4)])
-    found = F.concat(*[F.transform(f"l{i}", partial(loose, i)) for i in range(4)])
-    return stored(checked.select(F.monotonically_increasing_id().alias("tag"), "id", base.alias("base"), found.alias("loose")), "pii_candidates")
+    def mask(i: int, s: Column) -> Column:
+        return F.struct(F.lit(i).alias("ord"), F.array(*_features(i, masked(i, s["value"]), s["before"], s["after"])).alias("x"))
+
+    lists = [F.concat(*[F.transform(f"{side}{i}", partial(entry, i)) for i in range(4)]) for side, entry in (("b", mark), ("l", loose), ("b", mask))]
+    named = [c.alias(n) for c, n in zip(lists, ("base", "loose", "masks"), strict=True)]
+    return stored(checked.select(F.monotonically_increasing_id().alias("tag"), "half", "id", *named), "pii_candidates")
 
 
 def fit(rows: DataFrame, precision: float = PRECISION) -> PiiModel:
@@ -139,8 +174,9 @@ def fit(rows: DataFrame, precision: float = PRECISION) -> PiiModel:
 
     The cells are counted over all candidates; their number is bounded by the product of the features' values.
     """
-    half = F.pmod(F.xxhash64("tag"), F.lit(HALVES)).alias("half")
-    single = rows.select(half, F.explode("loose").alias("c")).select("half", "c.ord", "c.x", F.col("c.strict").cast("long").alias("s"))
+    seen = rows.select("half", F.explode("loose").alias("c")).select("half", "c.ord", "c.x", F.col("c.passes").cast("long").alias("s"))
+    hidden = rows.select("half", F.explode("masks").alias("c")).select("half", "c.ord", "c.x", F.lit(1).cast("long").alias("s"))
+    single = seen.unionAll(hidden)
     cells = single.groupBy("half", "ord", "x").agg(F.count(F.lit(1)).alias("n"), F.sum("s").alias("s")).collect()
     cells.sort(key=lambda r: (r.half, r.ord, r.x))
     base, leaves, thresholds = [], [], []
@@ -176,19 +212,21 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         keeps = F.lit(False)
         for kind in range(len(KINDS)):
             keeps = keeps | ((x["ord"] == kind) & model.keeps(kind, x["x"]))
-        return keeps & ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-
-    scored = rows.select("id", "base", F.filter("loose", added).alias("more"))
-
-    def first(x: Column) -> Column:
-        return ~F.exists("more", lambda o: (o["ord"] < x["ord"]) & (o["start"] < x["end"]) & (x["start"] < o["end"]))
+        return keeps
 
-    def plain(x: Column, is_strict: bool) -> Column:
+    def entry(x: Column, is_strict: bool) -> Column:
         return F.struct(x["ord"].alias("ord"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), F.lit(is_strict).alias("strict"))
 
-    strict_ones = F.transform("base", lambda x: plain(x, True))
-    others = F.transform(F.filter("more", first), lambda x: plain(x, False))
-    return scored.select("id", F.array_sort(F.concat(strict_ones, others)).alias("found"))
+    both = [F.transform("base", lambda x: entry(x, True)), F.transform(F.filter("loose", added), lambda x: entry(x, False))]
+    scored = rows.select("tag", F.explode(F.concat(*both)).alias("x")).select("tag", "x.*")
+    free = scored.withColumn("hit", spans.overlaps(F.col("strict"), "tag")).where("strict or not hit")
+    second = F.lit(False)
+    for kind in range(1, len(KINDS)):
+        second = F.when(F.col("ord") == kind, spans.overlaps(~F.col("strict") & (F.col("ord") < kind), "tag")).otherwise(second)
+    left = free.withColumn("second", second).where("strict or not second")
+    lists = left.groupBy("tag").agg(F.array_sort(F.collect_list(F.struct("ord", "start", "end", "kind", "strict"))).alias("found"))
+    none = F.array().cast(lists.schema["found"].dataType)
+    return rows.select("tag", "id").join(lists, "tag", "left").select("id", F.coalesce("found", none).alias("found"))
 
 
 def redact(text: Column, found: Column) -> Column:

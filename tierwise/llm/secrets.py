@@ -84,16 +84,11 @@ def scan(docs: DataFrame, id_column: str = "doc_id", source_column: str = "sourc
     counts = stored(ownership(rows), "secret_owners")
     single = rows.select("tag", F.explode("found").alias("x")).select("tag", "x.*")
     state = F.when(F.col("owners") > max_owners, "copied").when(F.col("live"), "live").otherwise("owned")
-    known = single.join(counts, "hash").select("tag", F.struct("start", "ord", "end", "kind", "repos", "owners", state.alias("state")).alias("x"))
-    lists = known.groupBy("tag").agg(F.array_sort(F.collect_list("x")).alias("all"))
-    base = F.filter("all", lambda x: x["ord"] < 3)
-    lists = lists.select("tag", "all", base.alias("base"))
-
-    def stays(x: Column) -> Column:
-        overlaps = F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-        return (x["ord"] < 3) | ((x["state"] == "live") & ~overlaps)
-
-    lists = lists.select("tag", F.filter("all", stays).alias("found"))
+    known = single.join(counts, "hash").select("tag", "start", "ord", "end", "kind", "repos", "owners", state.alias("state"))
+    free = (F.col("state") == "live") & ~spans.overlaps(F.col("ord") < 3, "tag")
+    known = known.withColumn("stays", (F.col("ord") < 3) | free).where("stays")
+    entry = F.struct("start", "ord", "end", "kind", "repos", "owners", "state")
+    lists = known.groupBy("tag").agg(F.array_sort(F.collect_list(entry)).alias("found"))
     none = F.array().cast(lists.schema["found"].dataType)
     return rows.select("tag", "id").join(lists, "tag", "left").select("id", F.coalesce("found", none).alias("found"))
 
