@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierwise.llm import substring_dedup
 
@@ -72,6 +73,31 @@ def test_spans_verify_at_their_source(spark):
         assert f" {passage} " in f" {' '.join(texts[r.source])} "
 
 
+def test_nonbranching_paths_are_compacted(spark):
+    """A copied passage is one path however long it is, and ends where a branch leaves it."""
+    long = ["w%d" % i for i in range(3000)]
+    half = long[:1500] + ["x%d" % i for i in range(60)]
+    docs = spark.createDataFrame([(1, " ".join(long), "", 0), (2, " ".join(["head", *long]), "", 0), (2, " ".join(["head", *long]), "", 0)], SCHEMA)
+    spans = {(r.id, r.start, r.length, r.source) for r in substring_dedup.repeated_spans(docs).collect()}
+    assert max(n for _, _, n, _ in spans) > 2900 and len([s for s in spans if s[2] > 50]) < 4
+    docs = docs.unionByName(spark.createDataFrame([(3, " ".join(half), "", 0)], SCHEMA))
+    spans = [(r.id, r.start, r.length) for r in substring_dedup.repeated_spans(docs).distinct().collect() if r.length > 50]
+    assert max(n for i, _, n in spans if i == 3) <= 1500
+    assert 1200 < max(n for i, _, n in spans if i == 2) <= 1700
+
+
+def test_words_are_compared_at_their_source(spark, monkeypatch):
+    """Equal hashes of different words remove nothing."""
+    honest = substring_dedup.repeated_spans
+    wrong = F.when(F.col("high").isNotNull(), F.col("high") + 1).alias("high")
+    monkeypatch.setattr(substring_dedup, "repeated_spans", lambda *a: honest(*a).where("high is not null").withColumn("high", wrong))
+    text = " ".join("w%d" % i for i in range(300))
+    docs = spark.createDataFrame([(1, text, "", 0), (2, text, "", 0)], SCHEMA)
+    assert [r.n_removed for r in substring_dedup.remove_repeats(docs).collect()] == [0, 0]
+    monkeypatch.setattr(substring_dedup, "repeated_spans", honest)
+    assert sorted(r.n_removed for r in substring_dedup.remove_repeats(docs).collect()) == [0, 300]
+
+
 def test_empty_table(spark):
     assert substring_dedup.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
