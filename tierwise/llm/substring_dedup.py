@@ -30,6 +30,8 @@ CHUNK_BYTES = 2_000_000
 
 _BASE, _EDGE, _LABEL = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 _NODE = ["anchor", "label"]
+#: Places of one path that a task of a join reads at most, about.
+HOT = 20_000
 
 
 def _powers(base: int, n: int):
@@ -175,10 +177,17 @@ def read_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return docs.mapInArrow(run, "id long, rk long, start int, anchor long, label long, high long, low long")
 
 
+def _spread(places: DataFrame, paths: DataFrame) -> DataFrame:
+    """Join places (id, rk, start, parts, ...) with paths (parts, ...) by path; one of many places is dealt over ``parts`` tasks."""
+    dealt = places.withColumn("part", F.pmod(F.xxhash64("id", "rk", "start"), F.col("parts"))).drop("parts")
+    copies = paths.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    return dealt.join(copies, [*_NODE, "part"]).drop("part")
+
+
 def compacted(runs: DataFrame) -> DataFrame:
-    """(anchor, label, n): the first path of every maximal nonbranching path, and the windows of all of it.
+    """(anchor, label, parts, n): the first path of every maximal nonbranching path, and the windows of all of it.
 
-    ``runs`` has (id, rk, start, n, anchor, label), each place once. A path goes on in a document where its next window
+    ``runs`` has (id, rk, start, n, anchor, label, parts), each place once; ``parts`` is the same at all places of a path. A path goes on in a document where its next window
     starts another one. Paths merge where all occurrences of the one go on with the other and both occur equally often,
     so all occurrences of a compacted path are whole. Documents end, so no cycle is left.
     """
@@ -186,7 +195,7 @@ def compacted(runs: DataFrame) -> DataFrame:
     after = F.lead(F.struct("start", *_NODE)).over(along)
     steps = runs.withColumn("after", after).withColumn("after", F.when(F.col("after.start") == F.col("start") + F.col("n"), F.col("after")))
     ends = [f(F.col(f"after.{c}")).alias(f"{name}_{c}") for name, f in (("low", F.min), ("high", F.max)) for c in _NODE]
-    nodes = stored(steps.groupBy(*_NODE).agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("times"), F.count("after").alias("goes_on"), *ends), "nodes")
+    nodes = stored(steps.groupBy(*_NODE).agg(F.first("n").alias("n"), F.first("parts").alias("parts"), F.count(F.lit(1)).alias("times"), F.count("after").alias("goes_on"), *ends), "nodes")
     one_way = nodes.where("goes_on = times and low_anchor = high_anchor and low_label = high_label")
     back = one_way.select(F.col("low_anchor").alias("anchor"), F.col("low_label").alias("label"), "times", F.col("anchor").alias("to_anchor"), F.col("label").alias("to_label"), F.col("n").cast("long").alias("away"))
     # Every node but a first one points back; each round points twice as far, until all point to a first one.
@@ -203,7 +212,7 @@ def compacted(runs: DataFrame) -> DataFrame:
             break
     reach = links.groupBy(F.col("to_anchor").alias("anchor"), F.col("to_label").alias("label")).agg(F.max(F.col("away") + F.col("n")).alias("all_n"))
     firsts = nodes.join(links.select(*_NODE), _NODE, "left_anti")
-    return firsts.join(reach, _NODE, "left").select(*_NODE, F.coalesce("all_n", "n").cast("int").alias("n"))
+    return firsts.join(reach, _NODE, "left").select(*_NODE, "parts", F.coalesce("all_n", "n").cast("int").alias("n"))
 
 
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -224,25 +233,26 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     texts = _keyed(docs, id_column, text_column)
     runs = stored(labels(texts, window, k), "path_labels")
-    paths = stored(runs.groupBy(*_NODE).agg(F.min("id").alias("source"), F.max("id").alias("last")), "paths")
+    paths = stored(runs.groupBy(*_NODE).agg(F.min("id").alias("source"), F.max("id").alias("last"), F.count(F.lit(1)).alias("times")), "paths")
     shared = paths.groupBy("anchor").agg(F.count(F.lit(1)).alias("ways"), F.min("source").alias("a"), F.max("last").alias("b")).where("a < b")
     repeated = (F.col("source") < F.col("last")).alias("repeated")
-    known = paths.join(shared.select("anchor", (F.col("ways") > 1).alias("branch")), "anchor").select(*_NODE, "source", "branch", repeated).where("branch or repeated")
+    known = paths.join(shared.select("anchor", (F.col("ways") > 1).alias("branch")), "anchor").select(*_NODE, "source", "branch", repeated, (1 + F.floor(F.col("times") / HOT)).alias("parts")).where("branch or repeated")
     # Rows of one document lie together, each place once, for the joins along the text.
     placed = runs.join(known, _NODE).repartition("id", "rk").dropDuplicates(["id", "rk", "start"])
     placed = stored(placed, "placed_runs")
 
-    several = placed.where("repeated").select("id", "rk", "start", "n", *_NODE, "source")
-    whole = stored(several.drop("n").join(compacted(several.drop("source")), _NODE), "compacted_paths")
-    first = whole.where("id = source").groupBy(*_NODE, "id", "n").agg(F.min(F.struct("rk", "start")).alias("at"))
-    first = first.select("id", "at.rk", "at.start", "n", *_NODE)
+    several = placed.where("repeated").select("id", "rk", "start", "n", *_NODE, "source", "parts")
+    whole = stored(_spread(several.drop("n"), compacted(several.drop("source"))), "compacted_paths")
+    first = whole.where("id = source").groupBy(*_NODE, "id", "n", "parts").agg(F.min(F.struct("rk", "start")).alias("at"))
+    first = stored(first.select("id", "at.rk", "at.start", "n", *_NODE, "parts"), "first_places")
     branches = placed.where("branch and id = source").select("id", "rk", "start", "n", "anchor", F.lit(None).cast("long").alias("label"))
-    asked = _per_document(first.unionByName(branches), F.struct("start", "n", *_NODE), "asked")
+    asked = _per_document(first.drop("parts").unionByName(branches), F.struct("start", "n", *_NODE), "asked")
     places = stored(read_places(texts.join(asked, ["id", "rk"]).select("id", "rk", "text", "asked"), window), "places")
 
     digests = places.where("label is not null").groupBy(*_NODE).agg(F.min("high").alias("high"), F.min("low").alias("low"))
+    digests = digests.join(first.select(*_NODE, "parts"), _NODE)
     length = (F.col("n") + window - 1).alias("length")
-    whole = whole.where("id > source").join(digests, _NODE).select("id", "rk", "start", length, "source", "high", "low")
+    whole = _spread(whole.where("id > source"), digests).select("id", "rk", "start", length, "source", "high", "low")
     single = places.where("label is null")
     key = ["anchor", "high", "low"]
     again = single.groupBy(*key).agg(F.min("id").alias("source"), F.max("id").alias("last")).where("source < last")
