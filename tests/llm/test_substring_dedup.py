@@ -86,14 +86,6 @@ def test_nonbranching_paths_are_compacted(spark):
     assert 1200 < max(n for i, _, n in spans if i == 2) <= 1700
 
 
-def test_hot_paths_are_dealt(spark, monkeypatch):
-    monkeypatch.setattr(substring_dedup, "HOT", 5)
-    rows = corpus(6)
-    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
-    got = sorted((tuple(r) for r in substring_dedup.remove_repeats(docs).collect()), key=repr)
-    assert got == expected(rows, 50)
-
-
 def test_words_are_compared_at_their_source(spark, monkeypatch):
     """Equal hashes of different words remove nothing."""
     honest = substring_dedup.repeated_spans
