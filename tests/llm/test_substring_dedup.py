@@ -1,11 +1,12 @@
 """Repeated passages against all windows of all documents."""
 
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from tierwise.llm import substring_dedup
+from tierwise.llm import common, substring_dedup
 
 SCHEMA = "doc_id long, text string, id string, opened int"
 
@@ -98,6 +99,15 @@ def test_words_are_compared_at_their_source(spark, monkeypatch):
     assert sorted(r.n_removed for r in substring_dedup.remove_repeats(docs).collect()) == [0, 300]
 
 
+def test_stored_tables_go_when_they_are_read(spark, tmp_path, monkeypatch):
+    """Only the tables that the spans are read from stay on the disk."""
+    docs = spark.createDataFrame([(*r, "x", 1) for r in corpus(5)], SCHEMA)
+    monkeypatch.setattr(common, "scratch_path", lambda _, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    spans = substring_dedup.repeated_spans(docs)
+    left = sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir())
+    assert spans.count() > 0 and left == ["compacted_paths", "places"]
+
+
 def test_empty_table(spark):
     assert substring_dedup.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tierwise.llm.common import LAST_ID, row_key, slices_by_bytes, stored
+from tierwise.llm.common import LAST_ID, discard, row_key, slices_by_bytes, stored
 
 WINDOW = 50
 KMER = 12
@@ -176,7 +176,7 @@ def read_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def compacted(runs: DataFrame) -> DataFrame:
-    """(anchor, label, n): the first path of every maximal nonbranching path, and the windows of all of it.
+    """(anchor, label, n): the first path of every maximal nonbranching path, and the windows of all of it. Stored.
 
     ``runs`` has (id, rk, start, n, anchor, label), each place once. A path goes on in a document where its next window
     starts another one. Paths merge where all occurrences of the one go on with the other and both occur equally often,
@@ -198,12 +198,15 @@ def compacted(runs: DataFrame) -> DataFrame:
             (F.col("away") + F.coalesce("more", F.lit(0))).alias("away"), F.col("more").isNotNull().alias("moved"),
         )
         moved = stored(moved, "links")
+        discard(links)
         links, done = moved.drop("moved"), moved.where("moved").isEmpty()
         if done:
             break
     reach = links.groupBy(F.col("to_anchor").alias("anchor"), F.col("to_label").alias("label")).agg(F.max(F.col("away") + F.col("n")).alias("all_n"))
     firsts = nodes.join(links.select(*_NODE), _NODE, "left_anti")
-    return firsts.join(reach, _NODE, "left").select(*_NODE, F.coalesce("all_n", "n").cast("int").alias("n"))
+    found = stored(firsts.join(reach, _NODE, "left").select(*_NODE, F.coalesce("all_n", "n").cast("int").alias("n")), "path_ends")
+    discard(nodes, links)
+    return found
 
 
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -231,14 +234,18 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str
     # Rows of one document lie together, each place once, for the joins along the text.
     placed = runs.join(known, _NODE).repartition("id", "rk").dropDuplicates(["id", "rk", "start"])
     placed = stored(placed, "placed_runs")
+    discard(runs, paths)
 
     several = placed.where("repeated").select("id", "rk", "start", "n", *_NODE, "source")
-    whole = stored(several.drop("n").join(compacted(several.drop("source")), _NODE), "compacted_paths")
+    ends = compacted(several.drop("source"))
+    whole = stored(several.drop("n").join(ends, _NODE), "compacted_paths")
+    discard(ends)
     first = whole.where("id = source").groupBy(*_NODE, "id", "n").agg(F.min(F.struct("rk", "start")).alias("at"))
     first = first.select("id", "at.rk", "at.start", "n", *_NODE)
     branches = placed.where("branch and id = source").select("id", "rk", "start", "n", "anchor", F.lit(None).cast("long").alias("label"))
     asked = _per_document(first.unionByName(branches), F.struct("start", "n", *_NODE), "asked")
     places = stored(read_places(texts.join(asked, ["id", "rk"]).select("id", "rk", "text", "asked"), window), "places")
+    discard(placed)
 
     digests = places.where("label is not null").groupBy(*_NODE).agg(F.min("high").alias("high"), F.min("low").alias("low"))
     length = (F.col("n") + window - 1).alias("length")
