@@ -405,3 +405,16 @@ def test_ranks_by_date_time_text_and_flag(spark, rows):
     got = global_ranks(df, ["id"], ranks)
     names = [r.name for r in ranks]
     assert rows(got, "id", *names) == rows(window_ranks(df, ["id"], ranks), "id", *names)
+
+
+def test_chunks_hold_no_more_rows_in_larger_tables(spark, rows, monkeypatch):
+    """The chunks that tasks sort are as many as the rows need, and ranks run on from one to the next."""
+    assert [ranking._chunks(n) for n in (0, 100_001, 10**8, 10**9)] == [1, 2, 200, 500]
+    monkeypatch.setattr(ranking, "CHUNK_ROWS", 7)
+    stored, cut = [], ranking.cut_lineage
+    monkeypatch.setattr(ranking, "cut_lineage", lambda df: stored.append(cut(df)) or stored[-1])
+    df = spark.createDataFrame([(i, i * 7 % 10) for i in range(60)], "id long, v long")
+    ranks = [Rank("r", "rank", (Key("v"),)), Rank("d", "dense_rank", (Key("v"),)), Rank("n", "row_number", (Key("v"),))]
+    assert rows(global_ranks(df, ["id"], ranks)) == rows(window_ranks(df, ["id"], ranks).drop("v"))
+    numbered = next(t for t in stored if "_chunk" in t.columns)
+    assert 5 < numbered.select("_chunk").distinct().count() <= 9

@@ -58,26 +58,40 @@ def _null_safe_join(rows: DataFrame, small: DataFrame, on: Sequence[str], how: s
     return rows.join(renamed, condition, how).drop(*[f"_by_{c}" for c in on])
 
 
-def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties: Sequence[str]) -> DataFrame:
+# Rows that a task sorts and numbers. Up to 200 partitions a shuffle writes without sorting, so larger chunks come before
+# more of them.
+CHUNK_ROWS, MOST_CHUNK_ROWS, CHUNKS = 100_000, 2_000_000, 200
+
+
+def _chunks(rows: int) -> int:
+    """How many chunks ``rows`` rows are dealt to, so that the memory of a task does not grow with the table."""
+    return max(1, min(-(-rows // CHUNK_ROWS), CHUNKS), -(-rows // MOST_CHUNK_ROWS))
+
+
+def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties: Sequence[str], chunks: int) -> DataFrame:
     """Add ``_pos``, ``_rank``, ``_dense`` and ``_rows`` (group size) by ascending ``keys``.
 
     ``ties`` make every row distinct, so range partitioning can also cut through a run of equal keys
-    that is larger than a task should hold.
+    that is larger than a task should hold. ``chunks`` is said outright: adaptive execution merges partitions by their
+    compressed bytes, which may be many times as much in memory.
     """
-    chunked = rows.repartitionByRange(*group, *keys, *ties).withColumn("_chunk", F.spark_partition_id())
+    chunked = rows.repartitionByRange(chunks, *group, *keys, *ties).withColumn("_chunk", F.spark_partition_id())
+    chunked = chunked.repartition(chunks, "_chunk")
     here = Window.partitionBy("_chunk", *group)
     local = chunked.select(
         "*",
         F.row_number().over(here.orderBy(*keys, *ties)).alias("_row"),
         F.rank().over(here.orderBy(*keys)).alias("_first"),
         F.dense_rank().over(here.orderBy(*keys)).alias("_nth"),
+        F.lead(F.lit(False), 1, True).over(here.orderBy(*keys, *ties)).alias("_end"),
     )
     # Range bounds come from a sample and differ between runs. The numbers are read twice below and
     # must agree, also after a lost executor, so the numbered rows are written out here.
     local = cut_lineage(local)
+    # All that is known of a chunk stands in its first and last row.
     key = F.struct(*keys)
-    chunks = local.groupBy("_chunk", *group).agg(
-        F.count(F.lit(1)).alias("n"),
+    chunks = local.where((F.col("_row") == 1) | F.col("_end")).groupBy("_chunk", *group).agg(
+        F.max("_row").alias("n"),
         F.max("_nth").alias("d"),
         F.max("_first").alias("last_start"),
         F.min_by(key, "_row").alias("head"),
@@ -99,7 +113,8 @@ def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties:
         .withColumn("_rows", F.sum("n").over(Window.partitionBy(*group)))
         .select(*group, "_chunk", "rows_before", "keys_before", "runs_on", "head_start", "_rows")
     )
-    placed = _null_safe_join(local, chunks, ["_chunk", *group])
+    # Written out, its size is known: a small one is broadcast and the rows stay where they are.
+    placed = _null_safe_join(local, cut_lineage(chunks), ["_chunk", *group])
     return placed.select(
         *rows.columns,
         (F.col("rows_before") + F.col("_row")).alias("_pos"),
@@ -213,12 +228,14 @@ def global_ranks(df: DataFrame, identity: Sequence[str], ranks: Sequence[Rank])
         stacked.append(F.struct(*columns, *_sort_columns(order, df.schema, types, layout)))
     rows = df.select(*identity, F.inline(F.array(*stacked)))
     keys = [c for c in rows.columns if c.startswith(("_f", "_v"))]
-    placed = _positions(rows, ["_order", "_part"], keys, identity)
+    chunks = _chunks(df.count() * len(orders))
+    placed = _positions(rows, ["_order", "_part"], keys, identity, chunks)
     values = [
         F.max(F.when(F.col("_order") == orders.index((r.partition, r.order)), _value(r))).alias(r.name)
         for r in ranks
     ]
-    return placed.groupBy(*identity).agg(*values)
+    # The rows of one identity lie far apart, so nothing is gained by grouping before the shuffle.
+    return placed.repartition(chunks, *identity).groupBy(*identity).agg(*values)
 
 
 def window_ranks(df: DataFrame, identity: Sequence[str], ranks: Sequence[Rank]) -> DataFrame:
@@ -301,7 +318,8 @@ def group_medians(
         taken = F.when(lo.isNull() | ((v > lo) & (v < hi)), v)
         inner.append(F.struct(F.lit(i).alias("_m"), taken.alias("_v")))
     middle = _null_safe_join(rows, sizes, group).select(*group, *identity, F.inline(F.array(*inner)))
-    placed = _positions(middle.filter("_v is not null"), ["_m", *group], ["_v"], identity)
+    inside = sizes.agg(*[F.sum(f"inside{i}") for i, _ in every]).first()
+    placed = _positions(middle.filter("_v is not null"), ["_m", *group], ["_v"], identity, _chunks(sum(n or 0 for n in inside)))
     picks = [
         F.max(F.when((F.col("_m") == i) & (F.col("_pos") == F.col(f"{p}{i}")), F.col("_v"))).alias(f"_{p}{i}")
         for i, _ in every

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tierwise.operators.ranking import _positions
+from tierwise.operators.ranking import _chunks, _positions
 from tierwise.sources.shared_folder import cut_lineage
 
 #: Rows of a block of neighbours.
@@ -103,7 +103,7 @@ def framed(
     at = F.col("_pos") - 1
     home, place = F.call_function("div", at, F.lit(size).cast("long")), at % size
     blocks = F.array(home, F.when(place >= size - before, home + 1), F.when(place < behind, home - 1))
-    placed = _positions(df, partition, order, identity)
+    placed = _positions(df, partition, order, identity, _chunks(df.count()))
     copies = placed.select(*df.columns, "_pos", home.alias("_home"), F.explode(F.array_compact(blocks)).alias("_block"))
     along = Window.partitionBy(*partition, "_block").orderBy("_pos")
     added = [value.over(along.rowsBetween(first, last)).alias(name) for name, (value, first, last) in values.items()]
