@@ -418,3 +418,17 @@ def test_chunks_hold_no_more_rows_in_larger_tables(spark, rows, monkeypatch):
     assert rows(global_ranks(df, ["id"], ranks)) == rows(window_ranks(df, ["id"], ranks).drop("v"))
     numbered = next(t for t in stored if "_chunk" in t.columns)
     assert 5 < numbered.select("_chunk").distinct().count() <= 9
+
+
+def test_medians_leave_rows_where_they_are(spark, monkeypatch):
+    """Few groups of many rows are not shuffled by group to meet their bounds."""
+    plans, join = [], ranking._null_safe_join
+    monkeypatch.setattr(ranking, "_null_safe_join", lambda *a: plans.append(plan(out := join(*a))) or out)
+    df = spark.range(20_000).selectExpr("id", "id % 3 AS g", "CAST(hash(id) AS DECIMAL(18,2)) AS v")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        assert group_medians(df, ["g"], ["v"], ["id"]).count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]

@@ -282,7 +282,8 @@ def group_medians(
     sketches = [F.percentile_approx(v, ends, MEDIAN_ACCURACY).alias(f"b{i}") for i, v in every]
     bracket = rows.groupBy(*group).agg(*sketches)
     lows_highs = [F.col(f"b{i}")[k].alias(f"{end}{i}") for i, _ in every for k, end in enumerate(("lo", "hi"))]
-    bracket = bracket.select(*group, *lows_highs)
+    # Written out, its size is known: a small one is broadcast, else all rows of a group would meet in one task.
+    bracket = cut_lineage(bracket.select(*group, *lows_highs))
 
     counts = []
     for i, name in every:
