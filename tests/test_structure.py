@@ -81,3 +81,17 @@ def test_drift(spark):
         ("$.b", "whole", "lost", 1, 0), ("$.c", "array", "kept", 1, 1), ("$.c[]", "whole", "kept", 1, 1),
         ("$.e", "object", "added", 0, 1), ("$.e.f", "null", "added", 0, 1),
     }
+
+
+def test_only_counts_and_deeper_nodes_are_stored(spark, monkeypatch):
+    """The nodes of a document are counted where it is read, not written out."""
+    from tierwise.operators import structure
+
+    stored, cut = [], structure.cut_lineage
+    monkeypatch.setattr(structure, "cut_lineage", lambda df: stored.append(df.columns) or cut(df))
+    texts = ['{"a":[{"b":1},{"b":null}]}', '{"a":{"a":{"a":{"a":{"a":[1, 1.5]}}}}}']
+    docs = spark.createDataFrame([(t,) for t in texts], "t string").select(F.parse_json("t").alias("doc"))
+    got = {tuple(r) for r in path_types(docs, "doc").collect()}
+    assert got == {n[1:] for n in expected([(None, t) for t in texts])}
+    counts = ["path", "kind", "n_documents", "n_values"]
+    assert stored == [counts, ["_open"], counts]

@@ -10,40 +10,47 @@ from tierwise.sources.shared_folder import cut_lineage
 
 #: Levels of nesting that are opened in one pass over the documents.
 LEVELS = 4
-# Kinds by the first word of the type that Spark gives a VARIANT.
-_KINDS = {"OBJECT": "object", "ARRAY": "array", "STRING": "string", "BOOLEAN": "boolean", "VOID": "null"}
-_NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+# Kinds by the type that Spark gives a VARIANT without members or items.
+_KINDS = {"STRING": "string", "BOOLEAN": "boolean", "VOID": "null"}
 _NODE = "array<struct<path string, value variant>>"
 
 
-def _kind(schema: Column, value: Column) -> Column:
-    """The kind of one VARIANT. Numbers go by their value, not by how they are written: 1, 1.0 and 1e0 are whole."""
-    first = F.regexp_extract(schema, "^[A-Z_]+", 0)
-    names = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
-    real = F.try_variant_get(value, "$", "double")
-    whole = (first == "BIGINT") | schema.rlike(r"^DECIMAL\(\d+,0\)") | (first.isin("DOUBLE", "FLOAT") & (real == F.rint(real)))
-    number = F.when(whole, F.lit("whole")).otherwise(F.lit("fraction"))
-    return F.when(first.isin(*_NUMBERS), number).otherwise(F.coalesce(names[first], F.lower(first)))
+def _kind(node: Column) -> Column:
+    """The kind of one opened node. Numbers go by their value, not by how they are written: 1, 1.0 and 1e0 are whole."""
+    schema = node["schema"]
+    real = F.try_variant_get(node["value"], "$", "double")
+    number = lambda whole: F.when(whole, F.lit("whole")).otherwise(F.lit("fraction"))
+    kind = F.when(node["members"].isNotNull(), "object").when(node["items"].isNotNull(), "array").when(schema == "BIGINT", "whole")
+    for name, known in _KINDS.items():
+        kind = kind.when(schema == name, known)
+    kind = kind.when(schema.isin("DOUBLE", "FLOAT"), number(real == F.rint(real)))
+    kind = kind.when(schema.startswith("DECIMAL"), number(schema.rlike(r"^DECIMAL\(\d+,0\)")))
+    return kind.otherwise(F.lower(F.regexp_extract(schema, "^[A-Z_]+", 0)))
 
 
 def _children(node: Column) -> Column:
     """The members of an object by key, the items of an array under one path, nothing of anything else."""
-    path, value = node["path"], node["value"]
+    path = node["path"]
     members = F.transform(
-        F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")),
+        F.map_entries(node["members"]),
         lambda e: F.struct(F.concat(path, F.lit("."), e["key"]).alias("path"), e["value"].alias("value")),
     )
-    items = F.transform(
-        F.try_variant_get(value, "$", "array<variant>"),
-        lambda v: F.struct(F.concat(path, F.lit("[]")).alias("path"), v.alias("value")),
-    )
-    return F.when(node["kind"] == "object", members).when(node["kind"] == "array", items).otherwise(F.array().cast(_NODE))
+    items = F.transform(node["items"], lambda v: F.struct(F.concat(path, F.lit("[]")).alias("path"), v.alias("value")))
+    return F.coalesce(members, items, F.array().cast(_NODE))
 
 
 def _with_kinds(nodes: Column) -> Column:
-    """The nodes with their kinds; the type of a value is worked out once, in a step of its own."""
-    typed = F.transform(nodes, lambda n: F.struct(n["path"].alias("path"), F.schema_of_variant(n["value"]).alias("schema"), n["value"].alias("value")))
-    return F.transform(typed, lambda n: F.struct(n["path"].alias("path"), _kind(n["schema"], n["value"]).alias("kind"), n["value"].alias("value")))
+    """The nodes with their kinds and what is below them. Objects and arrays are told by opening them: the type of one
+    would be put together from all that it holds, on each level again."""
+    below = lambda n, kind: F.try_variant_get(n["value"], "$", kind)
+    opened = F.transform(
+        nodes, lambda n: F.struct(n["path"].alias("path"), below(n, "map<string,variant>").alias("members"), below(n, "array<variant>").alias("items"), n["value"].alias("value"))
+    )
+    single = lambda n: n["members"].isNull() & n["items"].isNull()
+    typed = F.transform(
+        opened, lambda n: F.struct(n["path"].alias("path"), n["members"].alias("members"), n["items"].alias("items"), n["value"].alias("value"), F.when(single(n), F.schema_of_variant(n["value"])).alias("schema"))
+    )
+    return F.transform(typed, lambda n: F.struct(n["path"].alias("path"), _kind(n).alias("kind"), n["members"].alias("members"), n["items"].alias("items")))
 
 
 def path_types(df: DataFrame, doc: str, by: Sequence[str] = ()) -> DataFrame:
@@ -55,30 +62,33 @@ def path_types(df: DataFrame, doc: str, by: Sequence[str] = ()) -> DataFrame:
     Documents that are NULL are not counted, and a NULL in ``by`` is a group like any other.
 
     The nodes of a document are opened level by level inside its row and told apart there, so only counts are shuffled,
-    summed per task first. What is nested deeper than LEVELS goes to another pass, a row per document again, until
+    summed per task first, and stored. What is nested deeper than LEVELS goes to another pass, a row per document again, until
     nothing is left; a path has one depth, so it is counted by one pass.
     """
     keys = [*by, "path", "kind"]
     root = F.array(F.struct(F.lit("$").alias("path"), F.col(doc).alias("value")))
     # A filter of rows would be pushed below the parsing of the documents and parse them once more.
     pending = df.select(*by, F.filter(root, lambda n: n["value"].isNotNull()).alias("_open"))
-    found = []
+    counted = []
     while True:
         levels = pending.withColumn("_n0", _with_kinds(F.col("_open")))
         for level in range(1, LEVELS + 1):
             below = F.flatten(F.transform(f"_n{level - 1}", _children))
             levels = levels.withColumn(f"_n{level}", _with_kinds(below) if level < LEVELS else below)
         seen = F.flatten(F.array(*[F.transform(f"_n{i}", lambda n: F.struct(n["path"].alias("path"), n["kind"].alias("kind"))) for i in range(LEVELS)]))
-        opened = cut_lineage(levels.select(*by, F.array_sort(seen).alias("_seen"), F.col(f"_n{LEVELS}").alias("_open")))
-        # In sorted order the first value of a path and kind is the one that differs from the value before it.
+        opened = levels.select(*by, F.array_sort(seen).alias("_seen"), F.col(f"_n{LEVELS}").alias("_open"))
+        # In sorted order the first value of a path and kind is the one that differs from the value before it. Documents
+        # that go on below are counted on the way, under no path; only their open nodes are ever written out.
         first = F.transform(
             "_seen", lambda n, i: F.struct(n["path"].alias("path"), n["kind"].alias("kind"), ((i == 0) | (F.get(F.col("_seen"), i - 1) != n)).cast("long").alias("first"))
         )
-        found.append(opened.select(*by, F.inline(first)))
-        pending = opened.where(F.size("_open") > 0).select(*by, "_open")
-        if pending.isEmpty():
+        deeper = F.when(F.size("_open") > 0, F.array(F.struct(F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("kind"), F.lit(0).cast("long").alias("first"))))
+        nodes = opened.select(*by, F.inline(F.concat(first, F.coalesce(deeper, F.array().cast("array<struct<path string, kind string, first bigint>>")))))
+        counts = cut_lineage(nodes.groupBy(*keys).agg(F.sum("first").alias("n_documents"), F.count(F.lit(1)).alias("n_values")))
+        counted.append(counts.where("path is not null"))
+        if counts.where("path is null").isEmpty():
             break
-    counted = [f.groupBy(*keys).agg(F.sum("first").alias("n_documents"), F.count(F.lit(1)).alias("n_values")) for f in found]
+        pending = cut_lineage(opened.where(F.size("_open") > 0).select(*by, "_open"))
     out = counted[0]
     for more in counted[1:]:
         out = out.unionByName(more)
