@@ -409,7 +409,7 @@ def test_ranks_by_date_time_text_and_flag(spark, rows):
 
 def test_chunks_hold_no_more_rows_in_larger_tables(spark, rows, monkeypatch):
     """The chunks that tasks sort are as many as the rows need, and ranks run on from one to the next."""
-    assert [ranking._chunks(n) for n in (0, 100_001, 10**8, 10**9)] == [1, 2, 200, 500]
+    assert [ranking._chunks(n) for n in (0, 300_001, 10**8, 10**9)] == [2, 4, 200, 500]
     monkeypatch.setattr(ranking, "CHUNK_ROWS", 7)
     stored, cut = [], ranking.cut_lineage
     monkeypatch.setattr(ranking, "cut_lineage", lambda df: stored.append(cut(df)) or stored[-1])

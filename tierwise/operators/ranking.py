@@ -65,7 +65,7 @@ CHUNK_ROWS, MOST_CHUNK_ROWS, CHUNKS = 100_000, 2_000_000, 200
 
 def _chunks(rows: int) -> int:
     """How many chunks ``rows`` rows are dealt to, so that the memory of a task does not grow with the table."""
-    return max(1, min(-(-rows // CHUNK_ROWS), CHUNKS), -(-rows // MOST_CHUNK_ROWS))
+    return max(2, min(-(-rows // CHUNK_ROWS), CHUNKS), -(-rows // MOST_CHUNK_ROWS))
 
 
 def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties: Sequence[str], chunks: int) -> DataFrame:
