@@ -379,6 +379,28 @@ def test_incremental_aggregates_rebuild_whole_groups(spark, rows):
     assert rows(fresh, "k", "n") == [(1, 2), (2, 1)]
 
 
+def test_groups_are_rebuilt_in_a_stated_number_of_partitions(spark):
+    """Merged by their compressed bytes, all rows of this size would be joined and rebuilt in one task."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        source = spark.range(300_001).select((F.col("id") % 1000).alias("k"), F.lit(DAY[0]).alias("t"))
+        places = []
+
+        def build(df):
+            places.append(df.withColumn("p", F.spark_partition_id()))
+            return df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("t"))
+
+        target = build(source)
+        fresh = merge.incremental(build, source, "t", target, "t", ["k"], lookback_days=0, group_by=["k"])
+        assert fresh.count() == 1000 and fresh.agg(F.sum("n")).first()[0] == 300_001
+        assert places[-1].select("p").distinct().count() == 4
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_median_of_the_null_group(spark, rows):
     data = spark.createDataFrame([(g, i, float(v)) for i, (g, v) in enumerate([("a", 1), ("a", 3), (None, 5), (None, 9), (None, 7)])], "g string, i int, v double")
     from tierwise.operators.ranking import group_medians

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tierwise.operators.dedup import keep_latest
+from tierwise.operators.ranking import _chunks
 
 
 def high_water_mark(target: DataFrame, stamp: str) -> str | None:
@@ -96,7 +97,12 @@ def incremental(
         return build(source)
     recent = since_lookback(source, source_stamp, high_water_mark(target, target_stamp), lookback_days)
     if group_by:
-        recent = source.join(recent.select(*group_by).distinct(), list(group_by), "left_semi")
+        # Said outright: adaptive execution merges partitions by their compressed bytes, which may be many times as much
+        # in memory, and whole groups are joined, sorted and rebuilt in them. A semi join would be moved before the
+        # repartition, into merged partitions again; the groups are distinct, so an inner one gives the same rows.
+        parts = max(_chunks(source.count()), int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        groups = recent.select(*group_by).distinct().repartition(parts, *group_by)
+        recent = source.repartition(parts, *group_by).join(groups, list(group_by)).select(*source.columns)
     incoming = build(recent)
     if children_of:
         return add_rows(purge_keys(target, recent, children_of), incoming)
