@@ -304,3 +304,49 @@ def test_of_two_snapshots_from_one_state_the_second_is_refused(spark, store, mon
     with pytest.raises(Conflict):
         warehouse._snapshot(name, current.withColumn("genre_name", F.lit("c")), moment(T1 + dt.timedelta(days=1)))
     assert store.read(None, name).count() == 6 and store.read(None, name).where("genre_name = 'c'").isEmpty()
+
+
+def _documents(spark, n, batch="b"):
+    lines = spark.range(n).select(F.format_string('{"id": %d, "title": "t%d", "deep": {"a": [%d]}}', F.col("id") + 1, "id", "id").alias("value"))
+    return stamp_batch(parse_documents(lines)[0], batch, T0, "url")
+
+
+def _parquet_columns(path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    return {c.path for f in glob.glob(f"{path}/**/*.parquet", recursive=True) for c in pq.ParquetFile(f).schema}
+
+
+def test_documents_are_written_whole(spark, store):
+    """Columns for each path of a document cost more to write and to put together than they save."""
+    from tierwise.sources.shared_folder import cut_lineage
+
+    name = "spark.sql.variant.inferShreddingSchema"
+    before = spark.conf.get(name)
+    cut = cut_lineage(_documents(spark, 50))
+    assert [f for f in cut.inputFiles() if any("typed_value" in c for c in _parquet_columns(f.removeprefix("file://")))] == []
+    store.replace(_documents(spark, 50), "BRONZE", "raw", ["movie_id"], 4)
+    columns = _parquet_columns(store.folder("BRONZE", "raw"))
+    assert "raw_data.value" in columns and not any("typed_value" in c for c in columns)
+    assert spark.conf.get(name) == before
+    assert cut.selectExpr("sum(variant_get(raw_data, '$.deep.a[0]', 'int'))").first()[0] == sum(range(50))
+
+
+def test_setting_is_put_back_after_writes_side_by_side(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tierwise.sources.shared_folder import write_parquet
+
+    name = "spark.sql.variant.inferShreddingSchema"
+    spark.conf.set(name, "true")
+    try:
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(lambda i: write_parquet(_documents(spark, 20 + i), f"{tmp_path}/{i}"), range(4)))
+        with pytest.raises(Exception):
+            write_parquet(_documents(spark, 5), f"{tmp_path}/0")
+        assert spark.conf.get(name) == "true"
+        assert not any("typed_value" in c for c in _parquet_columns(str(tmp_path)))
+    finally:
+        spark.conf.unset(name)

@@ -8,9 +8,13 @@ from tierwise.functions.keys import document_hash
 from tierwise.operators.dedup import keep_latest
 
 
-def bronze_movies_raw(raw: DataFrame) -> DataFrame:
-    """Documents of one movie in one batch are told apart by their hash, so the pick repeats."""
-    newest = keep_latest(raw, ["movie_id"], "ingested_at", ["batch_id", document_hash(F.col("raw_data"))])
+def bronze_movies_raw(raw: DataFrame, unique: bool = False) -> DataFrame:
+    """Documents of one movie in one batch are told apart by their hash, so the pick repeats.
+
+    ``unique`` vouches that no movie occurs twice; the documents then stay where they are.
+    """
+    hashed = raw.withColumn("row_hash", document_hash(F.col("raw_data")))
+    newest = hashed if unique else keep_latest(hashed, ["movie_id"], "ingested_at", ["batch_id", "row_hash"])
     return newest.select(
         "movie_id",
         "raw_data",
@@ -18,5 +22,5 @@ def bronze_movies_raw(raw: DataFrame) -> DataFrame:
         "ingested_at",
         F.col("ingested_at").cast("date").alias("ingestion_date"),
         "batch_id",
-        document_hash(F.col("raw_data")).alias("row_hash"),
+        "row_hash",
     )
