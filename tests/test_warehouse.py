@@ -350,3 +350,34 @@ def test_setting_is_put_back_after_writes_side_by_side(spark, tmp_path):
         assert not any("typed_value" in c for c in _parquet_columns(str(tmp_path)))
     finally:
         spark.conf.unset(name)
+
+
+def test_documents_meet_and_are_hashed_only_where_keys_repeat(spark, rows):
+    from tierwise.plans import bronze
+    from tierwise.sources.documents import newest_documents
+    from tierwise.sources.shared_folder import cut_lineage
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    once = cut_lineage(_documents(spark, 30))
+    assert "Exchange" not in plan(bronze.bronze_movies_raw(once)) and "md5" not in plan(newest_documents(once))
+    later = once.withColumn("ingested_at", F.lit(T1).cast("timestamp")).withColumn("batch_id", F.lit("c"))
+    resent = cut_lineage(once.withColumn("ingested_at", F.col("ingested_at").cast("timestamp")).unionByName(later))
+    assert "md5" not in plan(newest_documents(resent))
+    assert rows(newest_documents(resent).groupBy("batch_id").count()) == [("c", 30)]
+    twice = cut_lineage(once.unionByName(once))
+    assert "md5" in plan(newest_documents(twice)) and newest_documents(twice).count() == 30
+
+
+def test_few_tags_are_written_by_many_tasks(spark, store):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1b")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        wide = spark.range(0, 4000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"))
+        store.replace(wide, "SILVER", "wide", ["id"], 2)
+        rows_of = store.read("SILVER", "wide")
+        assert len(rows_of.inputFiles()) >= 4 and rows_of.distinct().count() == 4000
+        assert {t for t, _ in store.state("SILVER", "wide").parts} == {"0", "1"}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -28,9 +28,14 @@ def since_lookback(source: DataFrame, stamp: str, mark: str | None, days: int =
     return source.filter(F.col(stamp) >= bound)
 
 
+def repeated_key(df: DataFrame, keys: Sequence[str]) -> list:
+    """One key that occurs twice, if there is any. Of the rows only the key columns are read."""
+    return df.groupBy(*keys).count().filter("count > 1").limit(1).collect()
+
+
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise when a key occurs twice: a merge must not pick a row at random."""
-    twice = df.groupBy(*keys).count().filter("count > 1").limit(1).collect()
+    twice = repeated_key(df, keys)
     if twice:
         raise ValueError(f"duplicate merge key {twice[0].asDict()}")
 

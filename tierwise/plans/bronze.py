@@ -5,22 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tierwise.functions.keys import document_hash
-from tierwise.operators.dedup import keep_latest
+from tierwise.sources.documents import newest_documents
 
 
-def bronze_movies_raw(raw: DataFrame, unique: bool = False) -> DataFrame:
-    """Documents of one movie in one batch are told apart by their hash, so the pick repeats.
-
-    ``unique`` vouches that no movie occurs twice; the documents then stay where they are.
-    """
-    hashed = raw.withColumn("row_hash", document_hash(F.col("raw_data")))
-    newest = hashed if unique else keep_latest(hashed, ["movie_id"], "ingested_at", ["batch_id", "row_hash"])
-    return newest.select(
+def bronze_movies_raw(raw: DataFrame) -> DataFrame:
+    """Documents of one movie in one batch are told apart by their hash, so the pick repeats."""
+    return newest_documents(raw).select(
         "movie_id",
         "raw_data",
         "source_url",
         "ingested_at",
         F.col("ingested_at").cast("date").alias("ingestion_date"),
         "batch_id",
-        "row_hash",
+        document_hash(F.col("raw_data")).alias("row_hash"),
     )

@@ -100,11 +100,11 @@ class Warehouse:
         stay, bronze keeps the newest, and the load costs as much as the batch.
         """
         name, layer = "raw_movies", LAYERS["raw_movies"]
+        rows = documents if append else land_upsert(None, documents)
         if append or not self.store.exists(layer, name):
-            rows = documents if append else land_upsert(None, documents)
             self.store.append(rows, layer, name, ["movie_id"], self.buckets)
         else:
-            self.store.update(documents, lambda past: land_upsert(past, documents), layer, name)
+            self.store.update(rows, lambda past: merge_upsert(past, rows, ["movie_id"]), layer, name)
         require_rows(self.table(name), name)
 
     def load_genres(self, snapshot_row: DataFrame) -> None:

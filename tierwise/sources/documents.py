@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tierwise.functions.dates import moment
 from tierwise.functions.keys import document_hash
 from tierwise.operators.dedup import keep_first, keep_latest
-from tierwise.operators.merge import merge_upsert
+from tierwise.operators.merge import merge_upsert, repeated_key
+from tierwise.sources.shared_folder import cut_lineage
 
 
 def stamp_batch(
@@ -72,12 +73,25 @@ def read_array_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
     return exploded.select(text.alias("value")).filter("value is not null")
 
 
+def newest_documents(documents: DataFrame, key: str = "movie_id") -> DataFrame:
+    """The newest document per key; of several in one batch the one with the highest hash.
+
+    Documents are wide and their hash costs more than parsing them, so whether any key repeats is asked first: documents
+    meet only if one does, and are hashed only if it does so within a batch. Keys are read up to three times; pass rows that
+    are written out.
+    """
+    if not repeated_key(documents, [key]):
+        return documents
+    ties = ["batch_id"]
+    if repeated_key(documents, [key, "ingested_at", "batch_id"]):
+        ties.append(document_hash(F.col("raw_data")))
+    return keep_latest(documents, [key], "ingested_at", ties)
+
+
 def land_upsert(target: DataFrame | None, documents: DataFrame, key: str = "movie_id") -> DataFrame:
     """Raw table after one load: the newest document per key wins, of several the one with the highest hash."""
-    ties = ["batch_id", document_hash(F.col("raw_data"))]
-    if target is None:
-        return keep_latest(documents, [key], "ingested_at", ties)
-    return merge_upsert(target, documents, [key], "ingested_at", ties)
+    newest = newest_documents(cut_lineage(documents), key)
+    return newest if target is None else merge_upsert(target, newest, [key])
 
 
 def land_snapshot(
