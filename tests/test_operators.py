@@ -454,3 +454,24 @@ def test_medians_leave_rows_where_they_are(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+
+
+MIRRORED = [
+    Rank("a_up", "ntile", (Key("a"),)), Rank("a_down", "dense_rank", (Key("a", True, True),)), Rank("a_down_null", "dense_rank", (Key("a", True),)),
+    Rank("b_up", "percent_rank", (Key("b"),), ("g",), places=4), Rank("b_down", "dense_rank", (Key("b", True),), ("g",)),
+    Rank("ab_down", "dense_rank", (Key("a", True), Key("b", True, True))), Rank("ab_up", "dense_rank", (Key("a", False, True), Key("b"))),
+    Rank("c_down", "row_number", (Key("c", True),)), Rank("c_up", "dense_rank", (Key("c"),)), Rank("c_up_null", "dense_rank", (Key("c", False, True),)),
+]
+
+
+@pytest.mark.parametrize("with_null", [True, False])
+def test_dense_ranks_are_read_off_the_order_from_the_other_end(spark, rows, monkeypatch, with_null):
+    orders, _ = ranking._placed_orders(MIRRORED)
+    assert len(orders) == 4 and len({(r.partition, r.order) for r in MIRRORED}) == 10
+    monkeypatch.setattr(ranking, "CHUNK_ROWS", 40)
+    rng = random.Random(3)
+    none = [None] if with_null else []
+    data = [(i, rng.choice([*none, 1, 2, 3, 3]), rng.choice([*none, float("nan"), -1.5, 0.0, 2.5]), rng.choice([None, 0, 1]), rng.randint(0, 9)) for i in range(150)]
+    df = spark.createDataFrame(data, "id int, a bigint, b double, g int, c int")
+    got = global_ranks(df, ["id"], MIRRORED)
+    assert rows(got) == rows(window_ranks(df, ["id"], MIRRORED).select(*got.columns))

@@ -97,3 +97,14 @@ def test_a_check_that_breaks_at_run_time_is_alone_in_error(spark):
     assert got == {"known": (1, "fail"), "cast": (None, "error"), "positive": (1, "fail"), "few": (1, "fail"), "ids": (0, "pass")}
     failed = stored_failures({"t": df}, [c for c in checks if c.name != "cast"]).collect()
     assert sorted((r["t"] or "", r["n_rows"], r["failed_checks"]) for r in failed) == [("", 3, ["few"]), ("3", None, ["known"]), ("4", None, ["positive"])]
+
+
+def test_checks_run_side_by_side(spark, table, monkeypatch):
+    """Each of two checks of keys waits until the other has begun."""
+    import threading
+
+    both, begin = threading.Barrier(2, timeout=60), Check.failing_rows
+    monkeypatch.setattr(Check, "failing_rows", lambda check, tables: both.wait() is not None and begin(check, tables))
+    checks = [Check("t", "ids", "unique", "id"), Check("t", "kind", "not_null", "kind"), Check("t", "kinds", "unique", "kind")]
+    got = quality.run_checks(spark, {"t": table}, checks).collect()
+    assert [r["check"] for r in got] == ["ids", "kind", "kinds"] and "error" not in {r["status"] for r in got}

@@ -381,3 +381,38 @@ def test_few_tags_are_written_by_many_tasks(spark, store):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_documents_are_hashed_when_they_are_loaded(spark, store, rows):
+    """A run takes the hash from the raw table, and works it out for documents that were stored without one."""
+    from tierwise.functions.keys import document_hash
+    from tierwise.plans import bronze
+
+    documents = batch(spark, [KNOWN, PENDING], 1, T0)
+    store.append(documents.where("movie_id = 501"), "BRONZE", "raw_movies", ["movie_id"], 2)
+    warehouse = Warehouse(store, buckets=2)
+    warehouse.load_documents(documents.where("movie_id = 502"), append=True)
+    stored = {r["movie_id"]: r["row_hash"] for r in warehouse.table("raw_movies").collect()}
+    made = {r["movie_id"]: r["h"] for r in documents.select("movie_id", document_hash(F.col("raw_data")).alias("h")).collect()}
+    assert stored == {501: None, 502: made[502]}
+    assert {r["movie_id"]: r["row_hash"] for r in bronze.bronze_movies_raw(warehouse.table("raw_movies")).collect()} == made
+    warehouse.load_documents(batch(spark, [KNOWN, UPDATED], 2, T1))
+    assert warehouse.table("raw_movies").where("row_hash IS NULL").isEmpty()
+    warehouse.build("bronze_movies_raw", T1)
+    again = bronze.bronze_movies_raw(warehouse.table("raw_movies").drop("row_hash"))
+    assert rows(warehouse.table("bronze_movies_raw"), "movie_id", "row_hash") == rows(again, "movie_id", "row_hash")
+
+
+def test_picked_rows_are_worked_out_once_for_a_merge(spark, store, monkeypatch):
+    """A merge reads the incoming rows three times; companies are picked out of all documents."""
+    warehouse = Warehouse(store, buckets=2)
+    warehouse.load_documents(batch(spark, [KNOWN, PENDING], 1, T0))
+    for now in (T0, T1):
+        warehouse.build("bronze_movies_raw", now)
+        plans, update = [], store.update
+        monkeypatch.setattr(store, "update", lambda touched, *a: plans.append(touched._jdf.queryExecution().optimizedPlan().toString()) or update(touched, *a))
+        warehouse.build("silver_production_companies", now)
+        monkeypatch.setattr(store, "update", update)
+        warehouse.load_documents(batch(spark, [UPDATED], 2, T1))
+    assert len(plans) == 1 and "Window" not in plans[0] and "variant_get" not in plans[0]
+    assert {r["company_id"] for r in warehouse.table("silver_production_companies").collect()} == {71, 72, 73}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -164,28 +165,38 @@ def _failures(tables: Mapping[str, DataFrame], table: str, checks: Sequence[Chec
         return [_failures(tables, table, [c])[0] for c in checks]
 
 
+def _key_failures(tables: Mapping[str, DataFrame], check: Check) -> list[int | None]:
+    """Failures of a check that groups its table by key, None when it breaks off."""
+    try:
+        return [check.failing_rows(tables).count()]
+    except Exception:  # noqa: BLE001
+        return [None]
+
+
 def run_checks(
-    spark: SparkSession, tables: Mapping[str, DataFrame], checks: Sequence[Check]
+    spark: SparkSession, tables: Mapping[str, DataFrame], checks: Sequence[Check], threads: int = 4
 ) -> DataFrame:
     """Summary of a suite, one row per check: failures and pass, warn, fail or error.
 
     A check never stops the others: one that cannot be analysed (an absent table or column) or that fails
-    while it runs (a bad cast) is reported as error, with no count. The row-level checks of a table share one pass.
+    while it runs (a bad cast) is reported as error, with no count. The row-level checks of a table share one pass;
+    passes and checks of keys do not read each other and run side by side, ``threads`` at a time.
     """
     found: dict[int, int | None] = {}
     scans: dict[str, list[int]] = {}
+    keyed: list[int] = []
     for i, check in enumerate(checks):
         if check.missing(tables):
             found[i] = None
         elif check.kind in ("unique", "relationships"):
-            try:
-                found[i] = check.failing_rows(tables).count()
-            except Exception:  # noqa: BLE001
-                found[i] = None
+            keyed.append(i)
         else:
             scans.setdefault(check.table, []).append(i)
-    for table, numbers in scans.items():
-        found |= dict(zip(numbers, _failures(tables, table, [checks[i] for i in numbers]), strict=True))
+    with ThreadPoolExecutor(threads) as pool:
+        running = [([i], pool.submit(_key_failures, tables, checks[i])) for i in keyed]
+        running += [(ns, pool.submit(_failures, tables, table, [checks[i] for i in ns])) for table, ns in scans.items()]
+    for numbers, result in running:
+        found |= dict(zip(numbers, result.result(), strict=True))
     status = lambda n, c: "error" if n is None else "pass" if n == 0 else c.severity
     rows = [(c.table, c.name, found[i], status(found[i], c)) for i, c in enumerate(checks)]
     return spark.createDataFrame(rows, SUMMARY)

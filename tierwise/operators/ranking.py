@@ -69,7 +69,8 @@ def _chunks(rows: int) -> int:
 
 
 def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties: Sequence[str], chunks: int) -> DataFrame:
-    """Add ``_pos``, ``_rank``, ``_dense`` and ``_rows`` (group size) by ascending ``keys``.
+    """Add ``_pos``, ``_rank``, ``_dense``, ``_rows`` (group size), ``_keys`` (different keys of the group) and ``_least`` (the
+    lowest of them) by ascending ``keys``.
 
     ``ties`` make every row distinct, so range partitioning can also cut through a run of equal keys
     that is larger than a task should hold. ``chunks`` is said outright: adaptive execution merges partitions by their
@@ -111,7 +112,9 @@ def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties:
         )
         .withColumn("head_start", F.last("tail_start", ignorenulls=True).over(before))
         .withColumn("_rows", F.sum("n").over(Window.partitionBy(*group)))
-        .select(*group, "_chunk", "rows_before", "keys_before", "runs_on", "head_start", "_rows")
+        .withColumn("_keys", F.sum("new_keys").over(Window.partitionBy(*group)))
+        .withColumn("_least", F.min_by("head", "_chunk").over(Window.partitionBy(*group)))
+        .select(*group, "_chunk", "rows_before", "keys_before", "runs_on", "head_start", "_rows", "_keys", "_least")
     )
     # Written out, its size is known: a small one is broadcast and the rows stay where they are.
     placed = _null_safe_join(local, cut_lineage(chunks), ["_chunk", *group])
@@ -123,6 +126,8 @@ def _positions(rows: DataFrame, group: Sequence[str], keys: Sequence[str], ties:
         .alias("_rank"),
         (F.col("keys_before") - F.col("runs_on").cast("int") + F.col("_nth")).alias("_dense"),
         "_rows",
+        "_keys",
+        "_least",
     )
 
 
@@ -207,14 +212,48 @@ def _value(rank: Rank) -> Column:
     ).otherwise(F.floor((position - 1 - (size - small * rank.buckets)) / F.greatest(small, F.lit(1))) + 1)
 
 
+def _mirrored(order: Sequence[Key]) -> tuple[Key, ...]:
+    """The same order from its other end."""
+    return tuple(Key(k.column, not k.descending, not k.nulls_last) for k in order)
+
+
+def _read_backwards(rank: Rank, orders: Sequence[tuple]) -> tuple[int, Column] | None:
+    """The number of an order that has a dense rank's keys the other way round, and the rank as it is worked out there.
+
+    The keys of a group are counted from its end. Where NULL comes first both ways, it stays the first.
+    """
+    from_end = F.col("_keys") + 1 - F.col("_dense")
+    mirror = (rank.partition, _mirrored(rank.order))
+    if mirror in orders:
+        return orders.index(mirror), from_end
+    turned = (rank.partition, tuple(Key(k.column, not k.descending, k.nulls_last) for k in rank.order))
+    if len(rank.order) == 1 and not rank.order[0].nulls_last and turned in orders:
+        return orders.index(turned), F.when(F.col("_null"), 1).otherwise(from_end + F.col("_nulls").cast("int"))
+    return None
+
+
+def _placed_orders(ranks: Sequence[Rank]) -> tuple[list[tuple], list[tuple[int, Column]]]:
+    """The orders that rows must be sorted in and, for each rank, the number of one of them and the rank's value there."""
+    orders = list(dict.fromkeys((r.partition, r.order) for r in ranks if r.kind != "dense_rank"))
+    for r in ranks:
+        if (r.partition, r.order) not in orders and _read_backwards(r, orders) is None:
+            orders.append((r.partition, r.order))
+    values = []
+    for r in ranks:
+        own = (r.partition, r.order)
+        values.append((orders.index(own), _value(r)) if own in orders else _read_backwards(r, orders))
+    return orders, values
+
+
 def global_ranks(df: DataFrame, identity: Sequence[str], ranks: Sequence[Rank]) -> DataFrame:
     """``identity`` columns plus one column per rank, over all rows of ``df``.
 
     ``identity`` must be unique and known. All sort orders are stacked into narrow rows and
     range-partitioned together, so any number of ranks costs one range shuffle and one regrouping by
-    identity. Join the result back on ``identity`` for the other columns.
+    identity. A dense rank whose keys another rank sorts the other way round is read off that one's order. Join the result
+    back on ``identity`` for the other columns.
     """
-    orders = list(dict.fromkeys((r.partition, r.order) for r in ranks))
+    orders, found = _placed_orders(ranks)
     used = {key.column for _, order in orders for key in order}
     types = {f.name: _slot_type(f.dataType) for f in df.schema.fields if f.name in used}
     layout = [
@@ -230,10 +269,9 @@ def global_ranks(df: DataFrame, identity: Sequence[str], ranks: Sequence[Rank])
     keys = [c for c in rows.columns if c.startswith(("_f", "_v"))]
     chunks = _chunks(df.count() * len(orders))
     placed = _positions(rows, ["_order", "_part"], keys, identity, chunks)
-    values = [
-        F.max(F.when(F.col("_order") == orders.index((r.partition, r.order)), _value(r))).alias(r.name)
-        for r in ranks
-    ]
+    values = [F.max(F.when(F.col("_order") == n, value)).alias(r.name) for r, (n, value) in zip(ranks, found, strict=True)]
+    nulls = {"_null": F.col("_f0") == 0, "_nulls": F.col("_least._f0") == 0}
+    placed = placed.withColumns(nulls).drop("_least")
     # The rows of one identity lie far apart, so nothing is gained by grouping before the shuffle.
     return placed.repartition(chunks, *identity).groupBy(*identity).agg(*values)
 

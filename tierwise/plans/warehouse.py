@@ -17,6 +17,7 @@ from tierwise.plans import bronze, gold, marts, silver, snapshots
 from tierwise.plans.checks import declared_checks
 from tierwise.plans.reference_data import LOOKBACK_DAYS
 from tierwise.sources.documents import land_upsert
+from tierwise.sources.shared_folder import cut_lineage
 from tierwise.sources.tables import BUCKETS, TableStore
 
 LAYERS = {
@@ -97,10 +98,12 @@ class Warehouse:
         """Merge stamped documents into the raw table; the newest per movie wins.
 
         A merge rewrites the hash buckets of the movies in the batch. ``append`` only adds the batch: earlier documents
-        stay, bronze keeps the newest, and the load costs as much as the batch.
+        stay, bronze keeps the newest, and the load costs as much as the batch. Documents are stored with their hash, so
+        that a run does not hash all documents again.
         """
         name, layer = "raw_movies", LAYERS["raw_movies"]
         rows = documents if append else land_upsert(None, documents)
+        rows = bronze.with_hash(rows)
         if append or not self.store.exists(layer, name):
             self.store.append(rows, layer, name, ["movie_id"], self.buckets)
         else:
@@ -111,15 +114,18 @@ class Warehouse:
         """Append one reference-list row."""
         self.store.append(snapshot_row, LAYERS["raw_genres"], "raw_genres")
 
-    def _merge(self, name: str, build: Callable, stamp: str, keys, full_refresh: bool, children_of=None):
-        """Bring a keyed table up to date from the recent part of bronze, in the buckets that it touches."""
+    def _merge(self, name: str, build: Callable, stamp: str, keys, full_refresh: bool, children_of=None, picked: bool = False):
+        """Bring a keyed table up to date from the recent part of bronze, in the buckets that it touches.
+
+        Incoming rows that are ``picked`` out of many are written once, as a merge reads them three times.
+        """
         layer, bronze_rows = LAYERS[name], self.table("bronze_movies_raw")
         read = self.store.state(layer, name)
         if read is None or full_refresh:
             return self.store.replace(build(bronze_rows), layer, name, children_of or keys, self.buckets)
         mark = high_water_mark(self.store.rows(layer, name, read), stamp)
         recent = since_lookback(bronze_rows, "ingested_at", mark, self.lookback_days)
-        incoming = build(recent)
+        incoming = cut_lineage(build(recent)) if picked else build(recent)
         if children_of:
             combine = lambda past: add_rows(purge_keys(past, recent, children_of), incoming)
             touched = recent
@@ -165,7 +171,7 @@ class Warehouse:
         if name == "silver_production_companies":
             return self._merge(
                 name, lambda b: silver.silver_production_companies(b, at), "ingested_at",
-                ["company_id"], full_refresh,
+                ["company_id"], full_refresh, picked=True,
             )
         if name == "silver_movie_companies":
             return self._merge(
@@ -241,7 +247,8 @@ class Warehouse:
 
     def snapshot(self, now: dt.datetime) -> dict[str, int]:
         """Bring the version tables up to the current models."""
-        return {name: self.build(name, now) for name in SNAPSHOTS}
+        with ThreadPoolExecutor(self.threads) as pool:
+            return dict(zip(SNAPSHOTS, pool.map(lambda name: self.build(name, now), SNAPSHOTS), strict=True))
 
     def test(self, now: dt.datetime, store_failures: bool = True) -> list:
         """Run all declared checks; rows that fail one are kept in the AUDIT table of the checked table.
@@ -249,13 +256,16 @@ class Warehouse:
         Nothing is raised: the summary rows (table, check, failures, status) are returned.
         """
         tables, checks = self.tables(), declared_checks(now.date())
-        summary = run_checks(self.store.spark, tables, checks).collect()
+        summary = run_checks(self.store.spark, tables, checks, self.threads).collect()
         if store_failures:
             failing = {(r["table"], r["check"]) for r in summary if r["failures"]}
-            for table in {t for t, _ in failing}:
+
+            def keep(table: str) -> None:
                 mine = [c for c in checks if (c.table, c.name) in failing and c.table == table]
-                rows = stored_failures(tables, mine)
-                self.store.replace(rows, "AUDIT", f"{table}__failures")
+                self.store.replace(stored_failures(tables, mine), "AUDIT", f"{table}__failures")
+
+            with ThreadPoolExecutor(self.threads) as pool:
+                list(pool.map(keep, sorted({t for t, _ in failing})))
         return summary
 
     def purge(self, movie_ids: DataFrame) -> None:
